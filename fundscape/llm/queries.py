@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate as dec, packing, urls, warc
+from . import decontaminate as dec, neardup, packing, urls, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +30,11 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path=public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), shingle_words=2)
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     small_batches(spark)
     manifest = warc.write_archive(warc.with_revisits(table(spark, sf_dir, "pages")))
@@ -45,6 +50,6 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"), URL_RULES).drop("block_score")
 
 
-QUERIES = {"op1_decontaminate": op1_decontaminate, "op3_packing": op3_packing, "op7_warc": op7_warc, "op9_url_filter": op9_url_filter}
+QUERIES = {"op1_decontaminate": op1_decontaminate, "op3_packing": op3_packing, "op5_near_duplicates": op5_near_duplicates, "op7_warc": op7_warc, "op9_url_filter": op9_url_filter}
 
 ORACLE_SQL: dict[str, str] = {}
