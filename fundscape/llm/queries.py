@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate as dec, neardup, packing, urls, warc
+from . import decontaminate as dec, neardup, packing, quality, toxicity, urls, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +23,18 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(ids, 256).alias("items_sha256"), "contaminated")
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    scored = quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    scored = toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("restored")
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -50,6 +62,6 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"), URL_RULES).drop("block_score")
 
 
-QUERIES = {"op1_decontaminate": op1_decontaminate, "op3_packing": op3_packing, "op5_near_duplicates": op5_near_duplicates, "op7_warc": op7_warc, "op9_url_filter": op9_url_filter}
+QUERIES = {"op1_decontaminate": op1_decontaminate, "op2_quality": op2_quality, "op3_packing": op3_packing, "op4_toxicity": op4_toxicity, "op5_near_duplicates": op5_near_duplicates, "op7_warc": op7_warc, "op9_url_filter": op9_url_filter}
 
 ORACLE_SQL: dict[str, str] = {}
