@@ -12,6 +12,9 @@ ignored.
 
 from __future__ import annotations
 
+import re
+import sys
+import types
 import zlib
 from collections.abc import Iterator
 
@@ -31,30 +34,61 @@ CACHE_WORDS = 400_000
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, k int, part int, idx long"
 
 
+#: Characters whose lower case, composition and class are plain: ASCII, and the letters of Latin-1.
+UNUSUAL = re.compile("[^\\x00-\\x7fÀ-ÖØ-öø-ÿ]")
+#: The tokenizer's own split, over lower-cased texts of these characters.
+WORDS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^ \\t\\n\\x0b\\x0c\\ra-z0-9ß-öø-ÿ]+")
+BLANKS = re.compile("[^ \\t\\n\\x0b\\x0c\\r]+")
+
+
 class WordIds(dict):
-    """Code of each word seen, and the ids of each code. The tokenizer splits at white space, so words are independent."""
+    """Code of each word seen, and the ids of each code. Words are what the tokenizer itself splits texts into, so each
+    has its own ids; in texts with unusual characters or the strings of special tokens they are what stands between blanks, marked by a newline.
+    """
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
 
-    def __init__(self, tokenizer):
         super().__init__()
-        self.tokenizer, self.fresh = tokenizer, []
+        self.tokenizer, self.fresh = Tokenizer.from_file(path), []
         self.first, self.ids = np.zeros(1, np.int64), np.zeros(0, np.uint32)
 
-    def __missing__(self, word: bytes) -> int:
+    @staticmethod
+    def split(text: str) -> list[str]:
+        return ["\n" + w for w in BLANKS.findall(text)] if "<|" in text or UNUSUAL.search(text) else WORDS.findall(text.lower())
+
+    def __missing__(self, word: str) -> int:
         self[word] = code = len(self)
         self.fresh.append(word)
         return code
 
     def learn(self) -> None:
-        if self.fresh:
-            found = self.tokenizer.encode_batch_fast([w.decode() for w in self.fresh], add_special_tokens=False)
-            ids = [e.ids for e in found]
-            sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-            self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(sizes)])
-            flat = np.fromiter((i for x in ids for i in x), np.uint32, int(sizes.sum()))
-            self.ids = np.concatenate([self.ids, flat])
+        """Encode the words not seen before, many in one text with blanks between."""
+        sizes, ids = [], []
+        for i in range(0, len(self.fresh), 2000):
+            some = self.fresh[i : i + 2000]
+            if any(w[0] == "\n" for w in some):
+                found = [self.tokenizer.encode(w.removeprefix("\n"), add_special_tokens=False).ids for w in some]
+                sizes.append(np.array([len(x) for x in found], np.int64))
+                ids += [np.array(x, np.uint32) for x in found]
+            else:
+                found = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
+                sizes.append(np.bincount(np.array(found.word_ids, np.int64), minlength=len(some)))
+                ids.append(np.array(found.ids, np.uint32))
+        if sizes:
+            self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(np.concatenate(sizes))])
+            self.ids = np.concatenate([self.ids, *ids])
             self.fresh = []
 
 
+def _known(path: str) -> WordIds:
+    """What this worker process has learned of the tokenizer, in this task or before."""
+    kept = sys.modules.setdefault("_word_ids_kept", types.ModuleType("_word_ids_kept")).__dict__
+    if path not in kept or len(kept[path]) > CACHE_WORDS:
+        kept[path] = WordIds(path)
+    return kept[path]
+
+
 def _plan(n: int, capacity: int) -> list[tuple[int, int, int]]:
     """(start, length, class) of the pieces of ``n`` ids."""
     out, start, k = [], 0, 1
@@ -70,20 +104,16 @@ def _plan(n: int, capacity: int) -> list[tuple[int, int, int]]:
 
 
 def _pieces(path: str, end_id: int, capacity: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    from tokenizers import Tokenizer
-
-    vocab = WordIds(Tokenizer.from_file(path))
     part, count = TaskContext.get().partitionId(), {}
     for batch in batches:
         data, offsets = utf8(batch.column(1))
         ids_col = batch.column(0)
         for i, j in row_slices(offsets):
-            if len(vocab) > CACHE_WORDS:
-                vocab = WordIds(vocab.tokenizer)
+            vocab = _known(path)
             raw = data[offsets[i] : offsets[j]].tobytes()
             words, n_words = [], np.zeros(j - i, np.int64)
             for d in range(i, j):
-                own = raw[offsets[d] - offsets[i] : offsets[d + 1] - offsets[i]].split()
+                own = vocab.split(raw[offsets[d] - offsets[i] : offsets[d + 1] - offsets[i]].decode())
                 n_words[d - i] = len(own)
                 words += own
             codes = np.fromiter(map(vocab.__getitem__, words), np.int64, len(words))
