@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate as dec, neardup, packing, quality, toxicity, urls, warc
+from . import decontaminate as dec, linededup, neardup, packing, quality, toxicity, urls, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -12,8 +12,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Fewer rows per Arrow batch than by default, as texts are long."""
+    """Fewer rows per Arrow batch than by default, as texts are long; shuffle files go when the step that made them ends."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,6 +63,12 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"), URL_RULES).drop("block_score")
 
 
-QUERIES = {"op1_decontaminate": op1_decontaminate, "op2_quality": op2_quality, "op3_packing": op3_packing, "op4_toxicity": op4_toxicity, "op5_near_duplicates": op5_near_duplicates, "op7_warc": op7_warc, "op9_url_filter": op9_url_filter}
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    found = linededup.dedup_lines(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+QUERIES = {"op1_decontaminate": op1_decontaminate, "op2_quality": op2_quality, "op3_packing": op3_packing, "op4_toxicity": op4_toxicity, "op5_near_duplicates": op5_near_duplicates, "op7_warc": op7_warc, "op9_url_filter": op9_url_filter, "op10_line_dedup": op10_line_dedup}
 
 ORACLE_SQL: dict[str, str] = {}
