@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import LOWER, byte_prefix, byte_table, prefix, row_slices, runs, span_hash, utf8
+from .common import LOWER, cut, byte_prefix, byte_table, prefix, row_slices, runs, span_hash, utf8
 
 WORD = byte_table(bytes(range(0x30, 0x3A)) + bytes(range(0x61, 0x7B)) + bytes(range(0x80, 0x100)))
 WORD_PATTERN = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -171,3 +171,11 @@ def remove_spans(docs: DataFrame, found: DataFrame) -> DataFrame:
     spans = found.where("n_hit > 0").select("doc_id", F.col("spans").alias("_spans"))
     joined = docs.join(spans, "doc_id", "left")
     return joined.select(*[F.when(F.col("_spans").isNotNull(), kept(F.col("text"), F.col("_spans"))).otherwise(F.col("text")).alias("text") if c == "text" else joined[c] for c in docs.columns])
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, *, window: int = 13, one_in: int = 20) -> DataFrame:
+    """The rows of ``docs``, as they are, that are not contaminated; rows are told apart by (doc_id, text)."""
+    mark = F.xxhash64("text")
+    numbered = docs.select(mark.alias("doc_id"), "text")
+    bad = verdicts(decontaminate(numbered, benchmark, window=window), one_in=one_in).where("contaminated").select(F.col("doc_id").alias("_bad")).distinct()
+    return docs.join(cut(bad, "bad"), mark == F.col("_bad"), "left_anti")

@@ -184,3 +184,9 @@ def near_duplicates(docs: DataFrame, *, shingle_words: int = 5, percent: int = 8
     out = every.select("doc_id", "n_shingles", "f1", "f2").join(named, ["f1", "f2", "n_shingles"], "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), component.eqNullSafe(F.col("doc_id")).alias("kept"))
+
+
+def drop_near_duplicates(docs: DataFrame, *, shingle_words: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs``, as they are, whose document is the first of its component."""
+    gone = near_duplicates(docs, shingle_words=shingle_words, percent=percent).where("not kept and doc_id is not null").select(F.col("doc_id").alias("_gone")).distinct()
+    return docs.join(cut(gone, "gone"), docs["doc_id"].cast("long") == F.col("_gone"), "left_anti")

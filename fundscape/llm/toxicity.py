@@ -268,15 +268,34 @@ def _score(state: dict, model: np.ndarray, batches: Iterator[pa.RecordBatch]) ->
             yield pa.RecordBatch.from_arrays([batch.column(0)[i:j], pa.array(scorer.score(tuple(hashes), rows, j - i)), pa.array(restored, pa.list_(span))], names=["doc_id", "score", "restored"])
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", per_class: int = 2000) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, text): held_out, score (the probability of label 1), restored spans."""
+def fit(docs: DataFrame, labels: DataFrame, label: str, per_class: int):
+    """The language model of all texts and the word model of the labelled sample, both broadcast; both have a fixed or
+    bounded size."""
     context = docs.sparkSession.sparkContext
     model = context.broadcast(language_model(docs))
     few, counts = sample(docs, labels, label, per_class)
     found = few.select("doc_id", "text", "y").mapInArrow(lambda batches: _gather(model.value, batches), EVIDENCE).collect()  # 2 * per_class rows
     found.sort(key=lambda r: (r["doc_id"], bytes(r["words"])))
     rows = [(r["y"], *(np.frombuffer(r[c], np.uint64) for c in ("words", "heads4", "heads5"))) for r in found]
-    scorer = context.broadcast(WordModel(rows, counts).__dict__)
+    return model, context.broadcast(WordModel(rows, counts).__dict__)
+
+
+def score_toxicity(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", per_class: int = 2000) -> DataFrame:
+    """One row per row of ``docs`` (doc_id, text): held_out, score (the probability of label 1), restored spans."""
+    model, scorer = fit(docs, labels, label, per_class)
     schema = "doc_id long, score double, restored array<struct<start:long,stop:long,text:string>>"
     scored = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(lambda batches: _score(scorer.value, model.value, batches), schema)
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "restored")
+
+
+def _keep(state: dict, model: np.ndarray, text: int, threshold: float, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        scores = [x.column(1) for x in _score(state, model, iter([pa.RecordBatch.from_arrays([batch.column(text)] * 2, names=["doc_id", "text"])]))]
+        yield batch.filter(pa.array(np.concatenate(scores) < threshold)) if scores else batch
+
+
+def drop_toxic(docs: DataFrame, labels: DataFrame, *, threshold: float = 0.3, label: str = "toxic", per_class: int = 2000) -> DataFrame:
+    """The rows of ``docs``, as they are, that score below ``threshold``."""
+    model, scorer = fit(docs, labels, label, per_class)
+    at = docs.columns.index("text")
+    return docs.mapInArrow(lambda batches: _keep(scorer.value, model.value, at, threshold, batches), docs.schema)
