@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate as dec, linededup, neardup, packing, quality, toxicity, urls, warc
+from . import ann, decontaminate as dec, linededup, neardup, packing, quality, toxicity, urls, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,6 +55,11 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op8_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 #: (verdict, host and path).
 URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")]
 
@@ -69,6 +74,6 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
-QUERIES = {"op1_decontaminate": op1_decontaminate, "op2_quality": op2_quality, "op3_packing": op3_packing, "op4_toxicity": op4_toxicity, "op5_near_duplicates": op5_near_duplicates, "op7_warc": op7_warc, "op9_url_filter": op9_url_filter, "op10_line_dedup": op10_line_dedup}
+QUERIES = {"op1_decontaminate": op1_decontaminate, "op2_quality": op2_quality, "op3_packing": op3_packing, "op4_toxicity": op4_toxicity, "op5_near_duplicates": op5_near_duplicates, "op7_warc": op7_warc, "op8_nearest": op8_nearest, "op9_url_filter": op9_url_filter, "op10_line_dedup": op10_line_dedup}
 
 ORACLE_SQL: dict[str, str] = {}
