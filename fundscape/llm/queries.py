@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import ann, decontaminate as dec, linededup, neardup, packing, quality, toxicity, urls, warc
+from . import ann, decontaminate as dec, linededup, neardup, packing, quality, suffix, toxicity, urls, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,6 +48,11 @@ def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), shingle_words=2)
 
 
+def op6_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    return suffix.remove_repeats(table(spark, sf_dir, "documents"), keep_bytes=False).drop("kept")
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     small_batches(spark)
     manifest = warc.write_archive(warc.with_revisits(table(spark, sf_dir, "pages")))
@@ -74,6 +79,6 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
-QUERIES = {"op1_decontaminate": op1_decontaminate, "op2_quality": op2_quality, "op3_packing": op3_packing, "op4_toxicity": op4_toxicity, "op5_near_duplicates": op5_near_duplicates, "op7_warc": op7_warc, "op8_nearest": op8_nearest, "op9_url_filter": op9_url_filter, "op10_line_dedup": op10_line_dedup}
+QUERIES = {"op1_decontaminate": op1_decontaminate, "op2_quality": op2_quality, "op3_packing": op3_packing, "op4_toxicity": op4_toxicity, "op5_near_duplicates": op5_near_duplicates, "op6_repeated_strings": op6_repeated_strings, "op7_warc": op7_warc, "op8_nearest": op8_nearest, "op9_url_filter": op9_url_filter, "op10_line_dedup": op10_line_dedup}
 
 ORACLE_SQL: dict[str, str] = {}
