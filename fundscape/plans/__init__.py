@@ -1 +1,3 @@
+"""Registered queries; importing the package registers all."""
 
+from . import panel_queries  # noqa: F401
