@@ -8,8 +8,9 @@ A document is its set of distinct n-word shingles (the whole sequence, if it has
 3. A pair's signatures are compared batch by batch; with a uniform prior the posterior that the similarity reaches the
    threshold after m of n agreements is a binomial tail, and the pair is dropped once it falls below ``miss``.
 4. Survivors are confirmed on the full sets, and confirmed links are joined to components.
-5. Buckets that still hold several components give their remaining cross-component pairs, which go through 3 and 4.
-   Links inside a component are not looked at again, as they change nothing.
+5. Buckets that still hold several components go, with all their members, to the component that has most members
+   there. Such a group is compared block by block inside tasks, by 3 and 4, and only links that join components come
+   out. Links inside a component are not looked at again, as they change nothing; no pairs are written out.
 
 Joins on bucket, class and document are between scans, so Spark splits the partitions of a hot key.
 
@@ -31,6 +32,8 @@ from .components import components
 
 BANDS, ROWS = 20, 4
 BATCH = 16
+#: Documents of a block in which, or between two of which, one task compares.
+GROUP_ROWS = 1500
 _SPACE = b" \t\n\x0b\x0c\r"
 WORD = ~byte_table(_SPACE)
 _A = np.random.default_rng(5).integers(0, 1 << 31, BANDS * ROWS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -128,55 +131,83 @@ def _sets(n: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             yield pa.RecordBatch.from_arrays([batch.column(0)[i:j], pa.array([raw[a * 8 : b * 8] for a, b in zip(at[:-1], at[1:], strict=True)], pa.binary())], names=["doc_id", "members"])
 
 
+def _similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * both >= percent * (len(x) + len(y) - both)
+
+
 def _confirm(percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        good = []
-        for k in range(batch.num_rows):
-            x, y = (np.frombuffer(batch.column(c)[k].as_buffer(), np.uint64) for c in (2, 3))
-            both = len(x) + len(y) - len(np.union1d(x, y))
-            good.append(100 * both >= percent * (len(x) + len(y) - both))
+        x, y = ([np.frombuffer(v.as_buffer(), np.uint64) for v in batch.column(c)] for c in (2, 3))
+        good = [_similar(a, b, percent) for a, b in zip(x, y, strict=True)]
         yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
 
-def _links(pairs: DataFrame, signed: DataFrame, docs: DataFrame, n: int, percent: int, miss: float) -> DataFrame:
-    """The pairs (a, b) of ``pairs`` whose full sets are similar enough, written."""
-    side = lambda c, x: signed.select(F.col("doc_id").alias(c), F.col("signature").alias(x), F.col("n_shingles").alias("n" + x))
-    near = pairs.join(side("a", "x"), "a").join(side("b", "y"), "b")
-    near = near.where(100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny"))
-    needed = least_matches(percent / 100, miss)
-    near = cut(near.select("a", "b", "x", "y").mapInArrow(lambda batches: _plausible(needed, batches), "a long, b long").distinct(), "near")
-    wanted = cut(near.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "wanted")
-    sets = docs.join(wanted, "doc_id", "left_semi").mapInArrow(lambda batches: _sets(n, batches), "doc_id long, members binary")
-    full = near.join(sets.select(F.col("doc_id").alias("b"), F.col("members").alias("y")), "b")
-    full = full.join(sets.select(F.col("doc_id").alias("a"), F.col("members").alias("x")), "a")
-    return cut(full.select("a", "b", "x", "y").mapInArrow(lambda batches: _confirm(percent, batches), "a long, b long").distinct(), "links")
+def _compare(needed: list[tuple[int, int]], percent: int, key, rows: pa.Table) -> pa.Table:
+    """Links that join components of a group: between the rows of its two blocks, or in its one block.
+
+    Every row outside the group's main component is compared with all rows of the other block by signature batches;
+    what stays plausible is confirmed on the full sets, likeliest first, unless the two are joined by then.
+    """
+    main, one, two = (k.as_py() for k in key)
+    rows = rows.sort_by([("doc_id", "ascending")])
+    ids, block, size = (rows[c].to_numpy() for c in ("doc_id", "block", "n_shingles"))
+    label = rows["component"].to_numpy()
+    signature = np.frombuffer(b"".join(rows["signature"].to_pylist()), np.uint32).reshape(len(ids), -1)
+    sets = [np.frombuffer(v.as_buffer(), np.uint64) for c in rows["members"].chunks for v in c]
+    names, own = np.unique(label, return_inverse=True)
+    links: list[tuple[int, int]] = []
+    for i in np.flatnonzero(label != main):
+        other = np.flatnonzero((block == (two if block[i] == one else one)) & (own != own[i]) & (100 * np.minimum(size, size[i]) >= percent * np.maximum(size, size[i])))
+        matches = np.zeros(len(other), np.int64)
+        for n, least in needed:
+            matches += (signature[other, n - BATCH : n] == signature[i, n - BATCH : n]).sum(1)
+            other, matches = other[matches >= least], matches[matches >= least]
+        for j in other[np.argsort(-matches, kind="stable")]:
+            if own[i] != own[j] and _similar(sets[i], sets[j], percent):
+                links.append((min(ids[i], ids[j]), max(ids[i], ids[j])))
+                own[own == own[i]] = own[j]
+    return pa.table({c: pa.array([link[k] for link in links], pa.int64()) for k, c in enumerate(("a", "b"))})
 
 
 def near_duplicates(docs: DataFrame, *, shingle_words: int = 5, percent: int = 80, miss: float = 1e-6) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): n_shingles, component_id, kept."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    needed = least_matches(percent / 100, miss)
     every = cut(docs.mapInArrow(lambda batches: _sign(shingle_words, batches), SIGNED), "signed")
     full = every.where("n_shingles > 0")
     classes = cut(full.groupBy("f1", "f2", "n_shingles").agg(F.min("doc_id").alias("rep")), "classes")
-    heads = classes.where("rep is not null").select(F.col("rep").alias("doc_id")).distinct()
-    signed = cut(full.join(heads, "doc_id", "left_semi").dropDuplicates(["doc_id", "f1", "f2"]), "heads")
-    keys = signed.select("doc_id", F.explode("bands").alias("key"))
-    shared = cut(keys.groupBy("key").agg(F.min("doc_id").alias("head"), F.max("doc_id").alias("tail")).where("head < tail").select("key", "head"), "buckets")
-    members = cut(keys.join(shared, "key"), "members")
+    heads = cut(classes.where("rep is not null").select(F.col("rep").alias("doc_id")).distinct(), "heads")
+    keys = full.select("doc_id", F.explode("bands").alias("key")).join(heads, "doc_id", "left_semi")
+    shared = keys.groupBy("key").agg(F.min("doc_id").alias("head"), F.max("doc_id").alias("tail")).where("head < tail").select("key", "head")
+    members = cut(keys.join(cut(shared, "buckets"), "key").distinct(), "members")
+    # Signatures and full sets of the documents that share a bucket with any other.
+    wanted = cut(members.select("doc_id").distinct(), "wanted")
+    sets = docs.join(wanted, "doc_id", "left_semi").mapInArrow(lambda batches: _sets(shingle_words, batches), "doc_id long, members binary")
+    signed = full.select("doc_id", "n_shingles", "signature").join(wanted, "doc_id", "left_semi")
+    profiles = cut(signed.join(sets, "doc_id").where(F.octet_length("members") == 8 * F.col("n_shingles")).dropDuplicates(["doc_id", "signature"]), "profiles")
     stars = members.where("doc_id <> head").select(F.col("head").alias("a"), F.col("doc_id").alias("b")).distinct()
-    links = _links(stars, signed, docs, shingle_words, percent, miss)
+    side = lambda c, x, *more: profiles.select(F.col("doc_id").alias(c), *(F.col(m).alias(n) for m, n in zip(more, x, strict=True)))
+    near = stars.join(side("a", ("x", "nx"), "signature", "n_shingles"), "a").join(side("b", ("y", "ny"), "signature", "n_shingles"), "b")
+    near = near.where(100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny")).select("a", "b", "x", "y")
+    near = cut(near.mapInArrow(lambda batches: _plausible(needed, batches), "a long, b long").distinct(), "near")
+    sure = near.join(side("b", ("y",), "members"), "b").join(side("a", ("x",), "members"), "a").select("a", "b", "x", "y")
+    links = cut(sure.mapInArrow(lambda batches: _confirm(percent, batches), "a long, b long").distinct(), "links")
     found = cut(components(links), "found")
-    # What is left: members of one bucket in different components that have not met its head.
-    joined = members.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+    # Buckets that still hold several components are dealt to the component with most members there: that component's
+    # members and all others of these buckets form a group, compared in pairs of blocks of bounded size.
+    joined = members.select("key", "doc_id").join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
     joined = cut(joined, "joined")
-    mixed = joined.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
-    rest = joined.where("doc_id <> head").join(cut(mixed, "mixed"), "key", "left_semi")
-    rest = cut(rest.join(signed.select("doc_id", "n_shingles").distinct(), "doc_id").select("key", "doc_id", "component", "n_shingles"), "rest")
-    other = rest.select("key", F.col("doc_id").alias("b"), F.col("component").alias("cb"), F.col("n_shingles").alias("nb"))
-    pairs = rest.join(other, "key").where((F.col("doc_id") < F.col("b")) & (F.col("component") != F.col("cb")) & (100 * F.least("n_shingles", "nb") >= percent * F.greatest("n_shingles", "nb")))
-    pairs = cut(pairs.select(F.col("doc_id").alias("a"), "b").distinct(), "pairs")
-    if not pairs.isEmpty():
-        more = _links(pairs, signed, docs, shingle_words, percent, miss)
+    counts = joined.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
+    mixed = counts.groupBy("key").agg(F.max(F.struct("n", "component")).alias("most"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
+    mixed = cut(mixed.select("key", F.col("most.component").alias("main")), "mixed")
+    group = cut(joined.join(mixed, "key").select("main", "doc_id", "component").distinct(), "groups")
+    blocks = cut(group.groupBy("main").agg(F.ceil(F.count(F.lit(1)) / GROUP_ROWS).cast("int").alias("blocks")), "blocks")
+    dealt = group.join(blocks, "main").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
+    dealt = dealt.join(profiles, "doc_id").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("main", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"), "doc_id", "component", "block", "n_shingles", "signature", "members")
+    more = cut(dealt.groupBy("main", "one", "two").applyInArrow(lambda key, rows: _compare(needed, percent, key, rows), "a long, b long").distinct(), "more")
+    if not more.isEmpty():
         found = cut(components(links.union(more)), "found")
     # The classes and their components, then the documents.
     named = classes.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("f1", "f2", "n_shingles", F.coalesce("component", "rep").alias("component_id"))
