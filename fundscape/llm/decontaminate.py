@@ -164,9 +164,10 @@ def verdicts(found: DataFrame, *, one_in: int = 20) -> DataFrame:
 def remove_spans(docs: DataFrame, found: DataFrame) -> DataFrame:
     """``docs`` with the hit byte ranges of ``found`` cut out of their texts; doc_id must be unique."""
     def kept(text, spans):
-        edges = F.concat(F.array(F.lit(0)), F.flatten(F.transform(spans, lambda s: F.array(s["start"], s["stop"]))), F.array(F.octet_length(text)))
-        parts = F.transform(F.sequence(F.lit(0), F.size(edges) / 2 - 1), lambda i: F.substring(text.cast("binary"), F.get(edges, (i * 2).cast("int")) + 1, F.get(edges, (i * 2 + 1).cast("int")) - F.get(edges, (i * 2).cast("int"))))
-        return F.aggregate(parts, F.lit(b""), lambda a, b: F.concat(a, b)).cast("string")
+        edges = F.concat(F.array(F.lit(0)), F.flatten(F.transform(spans, lambda s: F.array(s["start"].cast("int"), s["stop"].cast("int")))), F.array(F.octet_length(text)))
+        raw, last = text.cast("binary"), (F.size(edges) / 2 - 1).cast("int")
+        part = lambda i: F.substring(raw, F.get(edges, i * 2) + 1, F.get(edges, i * 2 + 1) - F.get(edges, i * 2))
+        return F.aggregate(F.transform(F.sequence(F.lit(0), last), part), F.lit(b""), lambda a, b: F.concat(a, b)).cast("string")
 
     spans = found.where("n_hit > 0").select("doc_id", F.col("spans").alias("_spans"))
     joined = docs.join(spans, "doc_id", "left")
