@@ -5,10 +5,12 @@ Windows over the macro calendar are not partitioned: it has one row per month, w
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
+
+
+def calendar() -> WindowSpec:
+    return Window.partitionBy(F.lit(0)).orderBy("date")
 
-CALENDAR = Window.partitionBy(F.lit(0)).orderBy("date")
-FILL = CALENDAR.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
 # Regimes with the weights of the defensive, balanced and dynamic parts.
 REGIMES = {
@@ -31,11 +33,11 @@ def wide(macro: DataFrame, names: dict[str, str] = _NAMES) -> DataFrame:
 
 def filled(c: str | Column) -> Column:
     """The last value so far."""
-    return F.last(c, ignorenulls=True).over(FILL)
+    return F.last(c, ignorenulls=True).over(calendar().rowsBetween(Window.unboundedPreceding, Window.currentRow))
 
 
 def change(c: Column, n: int) -> Column:
-    return c / F.lag(c, n).over(CALENDAR) - 1
+    return c / F.lag(c, n).over(calendar()) - 1
 
 
 def indicators(macro: DataFrame) -> DataFrame:
@@ -43,7 +45,7 @@ def indicators(macro: DataFrame) -> DataFrame:
     w = wide(macro)
     return w.select(
         "date", *SERIES, change(F.col("oil"), 12).alias("oil_yoy"), change(F.col("ipc_ES"), 12).alias("ipc_yoy_ES"), change(F.col("ipc_EU"), 12).alias("ipc_yoy_EU"),
-        (100 * change(F.col("vix"), 12)).alias("vix_yoy"), (F.col("rate") - F.lag("rate", 3).over(CALENDAR)).alias("d_rate_3m"), (F.col("rate") - F.lag("rate", 1).over(CALENDAR)).alias("d_rate_1m"),
+        (100 * change(F.col("vix"), 12)).alias("vix_yoy"), (F.col("rate") - F.lag("rate", 3).over(calendar())).alias("d_rate_3m"), (F.col("rate") - F.lag("rate", 1).over(calendar())).alias("d_rate_1m"),
     ).withColumn("ipc_yoy_avg", (F.coalesce("ipc_yoy_ES", "ipc_yoy_EU") + F.coalesce("ipc_yoy_EU", "ipc_yoy_ES")) / 2)
 
 
@@ -74,11 +76,11 @@ def regime_weights(regimes: DataFrame) -> DataFrame:
 def semaphore(frame: DataFrame, regimes: DataFrame) -> DataFrame:
     """(date, colour, signals) of every classified month: red if any red signal, amber if any other, else green."""
     f = frame.join(regimes, "date").select("date", "regime", *[filled(c).alias(c) for c in ("oil", "cli", "ipc_yoy_avg", "rate", "spread", "vix")])
-    d = lambda c: F.col(c) - F.lag(c).over(CALENDAR)
-    rel = lambda c: F.when(F.lag(c).over(CALENDAR) > 0, change(F.col(c), 1))
+    d = lambda c: F.col(c) - F.lag(c).over(calendar())
+    rel = lambda c: F.when(F.lag(c).over(calendar()) > 0, change(F.col(c), 1))
     # Thresholds of the signals, red before amber.
     rules = [
-        ("regime", "amber", F.lag("regime").over(CALENDAR) != F.col("regime")),
+        ("regime", "amber", F.lag("regime").over(calendar()) != F.col("regime")),
         ("oil_spike", "red", rel("oil") > 0.20), ("oil_up", "amber", (rel("oil") > 0.08) & (rel("oil") <= 0.20)),
         ("cli_drop", "red", d("cli") < -2.0), ("cli_near", "amber", (F.abs(F.col("cli") - 100) < 1.0) & ~(d("cli") < -2.0)),
         ("ipc_up", "amber", d("ipc_yoy_avg") > 0.006), ("rate_jump", "red", F.abs(d("rate")) >= 0.50),

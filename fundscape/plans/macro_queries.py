@@ -37,7 +37,7 @@ def macro_indicator_frame(s, d):
 query("regime_classify", sql(f", {WIDE} SELECT date, regime FROM rg", "macro"))(regimes)
 query("regime_current", sql(f", {WIDE} SELECT max(date) AS date, max_by(regime, date) AS regime FROM rg", "macro"))(lambda s, d: regimes(s, d).agg(F.max("date").alias("date"), F.max_by("regime", "date").alias("regime")))
 query("regime_weights", sql(f", {WIDE} SELECT date, regime, " + ", ".join(f"{WEIGHTS.format(*[w[k] for w in M.REGIMES.values()])}::DOUBLE AS {n}" for k, n in enumerate(("w_def", "w_bal", "w_dyn"))) + " FROM rg", "macro"))(lambda s, d: M.regime_weights(regimes(s, d)))
-query("win_state_change", sql(f", {WIDE} SELECT date, regime, regime <> lag(regime) OVER (ORDER BY date) AS changed FROM rg", "macro"))(lambda s, d: regimes(s, d).select("date", "regime", (F.col("regime") != F.lag("regime").over(M.CALENDAR)).alias("changed")))
+query("win_state_change", sql(f", {WIDE} SELECT date, regime, regime <> lag(regime) OVER (ORDER BY date) AS changed FROM rg", "macro"))(lambda s, d: regimes(s, d).select("date", "regime", (F.col("regime") != F.lag("regime").over(M.calendar())).alias("changed")))
 query("agg_regime_distribution", sql(f", {WIDE} SELECT regime, count(*) AS months, round(100.0 * count(*) / sum(count(*)) OVER (), 6) AS pct FROM rg GROUP BY regime", "macro"))(
     lambda s, d: regimes(s, d).groupBy("regime").agg(F.count("*").alias("months")).withColumn("pct", F.round(100 * F.col("months") / F.sum("months").over(Window.partitionBy(F.lit(0))), 6))
 )
@@ -133,7 +133,7 @@ FACTOR = "fac AS (SELECT date, ln(oil / lag(oil) OVER (ORDER BY date)) AS x FROM
 
 def factor(s, d):
     w = M.wide(T.macro(s, d))
-    return w.select("date", F.log(F.col("oil") / F.lag("oil").over(M.CALENDAR)).alias("x"))
+    return w.select("date", F.log(F.col("oil") / F.lag("oil").over(M.calendar())).alias("x"))
 
 
 @query("ols_beta_single", sql(f""", {WIDE}, {FACTOR}, g AS (SELECT isin, count(*) AS n, regr_slope(r, x) AS beta, regr_intercept(r, x) AS alpha, regr_r2(r, x) AS r2 FROM (SELECT isin, date, ln(nav / lag(nav) OVER (PARTITION BY isin ORDER BY date)) AS r FROM nav) JOIN fac USING (date) WHERE r IS NOT NULL AND x IS NOT NULL GROUP BY isin)
@@ -148,8 +148,8 @@ FACTORS = ["f_oil", "f_vix", "f_cli", "f_rate", "f_spread", "f_ipc"]
 def factor_frame(s, d, coverage=0.5):
     """Monthly factors: growth of levels, differences of rates; those with less than ``coverage`` of the months go."""
     w = M.wide(T.macro(s, d))
-    diff = lambda c: F.col(c) - F.lag(c).over(M.CALENDAR)
-    log = lambda c: F.log(F.col(c) / F.lag(c).over(M.CALENDAR))
+    diff = lambda c: F.col(c) - F.lag(c).over(M.calendar())
+    log = lambda c: F.log(F.col(c) / F.lag(c).over(M.calendar()))
     return w.select("date", log("oil").alias("f_oil"), log("vix").alias("f_vix"), diff("cli").alias("f_cli"), diff("rate").alias("f_rate"), diff("spread").alias("f_spread"), log("ipc_ES").alias("f_ipc"))
 
 

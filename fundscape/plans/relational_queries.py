@@ -174,10 +174,16 @@ def percentiles(docs):
 
 
 Q("agg_quantile_interp", sql("SELECT nature, round(quantile_cont(value, 0.25), 6) AS p25, round(quantile_cont(value, 0.75), 6) AS p75 FROM metrics JOIN master USING (isin) WHERE metric = 'ret' GROUP BY nature", "metrics", "master"))(lambda s, d: metrics(s, d).where("metric = 'ret'").join(T.master(s, d), "isin").groupBy("nature").agg(F.round(F.percentile("value", F.lit(0.25)), 6).alias("p25"), F.round(F.percentile("value", F.lit(0.75)), 6).alias("p75")))
-ALLW = Window.partitionBy(F.lit(0))
-Q("agg_share_of_total", sql("SELECT nature, count(*) AS n, round(100.0 * count(*) / sum(count(*)) OVER (), 5) AS pct FROM master GROUP BY nature", "master"))(lambda s, d: T.master(s, d).groupBy("nature").agg(F.count("*").alias("n")).withColumn("pct", F.round(100 * c("n") / F.sum("n").over(ALLW), 5)))
+
+
+def all_rows():
+    """One partition: only for grouped results."""
+    return Window.partitionBy(F.lit(0))
+
+
+Q("agg_share_of_total", sql("SELECT nature, count(*) AS n, round(100.0 * count(*) / sum(count(*)) OVER (), 5) AS pct FROM master GROUP BY nature", "master"))(lambda s, d: T.master(s, d).groupBy("nature").agg(F.count("*").alias("n")).withColumn("pct", F.round(100 * c("n") / F.sum("n").over(all_rows()), 5)))
 Q("agg_crosstab_shares", sql("SELECT nature, currency, count(*) AS n, round(100.0 * count(*) / sum(count(*)) OVER (), 5) AS pct, round(100.0 * count(*) / sum(count(*)) OVER (PARTITION BY nature), 5) AS of_nature, round(100.0 * count(*) / sum(count(*)) OVER (PARTITION BY currency), 5) AS of_currency FROM master GROUP BY nature, currency", "master"))(
-    lambda s, d: T.master(s, d).groupBy("nature", "currency").agg(F.count("*").alias("n")).select("nature", "currency", "n", *[F.round(100 * c("n") / F.sum("n").over(w), 5).alias(a) for w, a in ((ALLW, "pct"), (Window.partitionBy("nature"), "of_nature"), (Window.partitionBy("currency"), "of_currency"))])
+    lambda s, d: T.master(s, d).groupBy("nature", "currency").agg(F.count("*").alias("n")).select("nature", "currency", "n", *[F.round(100 * c("n") / F.sum("n").over(w), 5).alias(a) for w, a in ((all_rows(), "pct"), (Window.partitionBy("nature"), "of_nature"), (Window.partitionBy("currency"), "of_currency"))])
 )
 Q("agg_null_ratio_profile", sql(" SELECT field, filled, round(1 - filled / n, 6) AS null_ratio FROM (SELECT count(*) AS n, count(hedging) AS hedging, count(nature) AS nature FROM master) UNPIVOT (filled FOR field IN (hedging, nature))", "master"))(lambda s, d: L.null_profile(T.master(s, d), ["hedging", "nature"]).withColumn("null_ratio", F.round("null_ratio", 6)))
 Q("agg_value_distribution", sql("SELECT field, value, count(*) AS n FROM (SELECT nature, currency FROM master) UNPIVOT (value FOR field IN (nature, currency)) GROUP BY ALL", "master"))(lambda s, d: T.master(s, d).unpivot("isin", ["nature", "currency"], "field", "value").groupBy("field", "value").agg(F.count("*").alias("n")))

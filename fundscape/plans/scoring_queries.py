@@ -178,8 +178,8 @@ query("nav_matrix_rebased", sql("SELECT isin, date, round(100 * nav / first_valu
 @query("curve_drawdown", sql(f"{PORTFOLIO}, pf AS (SELECT date, sum(weight * ret) / sum(weight) AS ret FROM fw JOIN pw USING (isin) WHERE h = 1 GROUP BY date), c AS (SELECT date, exp(sum(ln(1 + ret)) OVER (ORDER BY date)) AS v FROM pf) SELECT date, round(v / max(v) OVER (ORDER BY date) - 1, 6) AS dd FROM c", *NEED))
 def curve_drawdown(s, d):
     p = S.portfolio_returns(portfolio(s, d), S.forward_returns(T.nav(s, d), (1,)))
-    c = p.select("date", F.exp(F.sum(F.log1p("ret")).over(M.CALENDAR)).alias("v"))
-    return c.select("date", F.round(F.col("v") / F.max("v").over(M.CALENDAR) - 1, 6).alias("dd"))
+    c = p.select("date", F.exp(F.sum(F.log1p("ret")).over(M.calendar())).alias("v"))
+    return c.select("date", F.round(F.col("v") / F.max("v").over(M.calendar()) - 1, 6).alias("dd"))
 
 
 query("report_holdings", sql(f"{TOP} SELECT part, isin, fund_name, manager, sharpe, max_drawdown, return_real, total FROM tp JOIN mw USING (isin, nature)", *NEED))(
