@@ -22,11 +22,11 @@ _NAMES = {"ipc_index_ES": "ipc_ES", "ipc_index_EU": "ipc_EU", "oil_wti_GLOBAL":
 
 
 def wide(macro: DataFrame, names: dict[str, str] = _NAMES) -> DataFrame:
-    """One row per month between the first and the last, a column per named series; missing months are null."""
+    """One row per month between the first and the last of all series, a column per named one; missing months are null."""
     keyed = macro.withColumn("_key", F.concat_ws("_", "indicator", "geography")).where(F.col("_key").isin(*names))
     rows = keyed.groupBy("date").pivot("_key", list(names)).agg(F.max("value"))
     rows = rows.select("date", *[F.col(k).alias(v) for k, v in names.items()])
-    spine = rows.agg(F.min("date").alias("a"), F.max("date").alias("b"))
+    spine = macro.agg(F.min("date").alias("a"), F.max("date").alias("b"))
     months = spine.select(F.explode(F.sequence(F.trunc("a", "MM"), F.trunc("b", "MM"), F.expr("interval 1 month"))).alias("m")).select(F.last_day("m").alias("date"))
     return months.join(rows, "date", "left")
 
