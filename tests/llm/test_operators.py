@@ -125,6 +125,32 @@ def test_line_dedup(spark):
     assert linededup.dedup_lines(frame(spark, docs)).columns == [*frame(spark, docs).columns, "n_lines", "n_removed"]
 
 
+def test_line_dedup_recall(spark):
+    """Unequal pairs of similar lines, by number of words and without blanks; each kind of line has its own pairs."""
+    rng = random.Random(11)
+    letters = {"latin": "abcdefghijklmnopqrstuvwxyz", "cjk": "".join(map(chr, range(0x4E00, 0x5200))), "thai": "".join(map(chr, range(0xE01, 0xE2F)))}
+    make = {n: lambda n=n: " ".join("".join(rng.choices(letters["latin"], k=rng.randint(3, 8))) for _ in range(n)) for n in (2, 3, 8, 9, 12, 20, 40)}
+    make |= {kind: lambda a=a: "".join(rng.choices(a, k=rng.choice((14, 30, 60, 100, 200)))) for kind, a in letters.items()}
+    docs, pairs = [], {}
+    for kind, line in make.items():
+        while len(pairs.setdefault(kind, [])) < 60:
+            a = line()
+            b = list(a)
+            for _ in range(rng.randint(1, 3)):
+                at = rng.choice((rng.randrange(len(b)), 0, len(b) - 1))
+                b[at] = rng.choice(("", "7", b[at] + "7"))
+            b = "".join(b)
+            x, y = ({t[k : k + 5] for k in range(len(t) - 4)} for t in (a, b))
+            if a != b.strip() and len(x & y) >= 0.8 * len(x | y):
+                pairs[kind].append(len(docs))
+                docs += [(len(docs), a), (len(docs) + 1, b)]
+    docs += [(100_000, "-----"), (100_001, "-" * 9), (100_002, "=" * 40), (100_003, "=" * 7)]  # equal sets of 5-grams
+    got = {r["doc_id"]: r["n_removed"] for r in linededup.dedup_lines(frame(spark, docs)).collect()}
+    recall = {kind: sum(got[k + 1] for k in own) / len(own) for kind, own in pairs.items()}
+    assert min(recall.values()) == 1, recall
+    assert (got[100_001], got[100_003]) == (1, 1)
+
+
 def test_line_dedup_is_native(spark):
     plan = linededup.dedup_lines(frame(spark, corpus()))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
