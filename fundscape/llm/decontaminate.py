@@ -119,6 +119,21 @@ def _scan(state: dict, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
             )
 
 
+def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Hit word positions to byte ranges of their texts."""
+    span = pa.struct([("start", pa.int64()), ("stop", pa.int64())])
+    for batch in batches:
+        data, offsets = utf8(batch.column(4))
+        found = []
+        for i, words in enumerate(batch.column(5)):
+            whole = np.array([0, offsets[i + 1] - offsets[i]])
+            starts, ends = runs(WORD[LOWER[data[offsets[i] : offsets[i + 1]]]], whole)
+            hit = np.zeros(len(starts), bool)
+            hit[np.array(words.as_py(), np.int64)] = True
+            found.append([{"start": int(starts[a]), "stop": int(ends[b - 1])} for a, b in zip(*runs(hit, np.array([0, len(hit)])), strict=True)])
+        yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(found, pa.list_(span))], names=["doc_id", "n_words", "n_hit", "items", "spans"])
+
+
 def _joined(docs: DataFrame, items: DataFrame, window: int) -> DataFrame:
     """The way for a benchmark beyond the broadcast bound: windows as text, joined by a shuffle."""
     def words(c):
@@ -127,7 +142,7 @@ def _joined(docs: DataFrame, items: DataFrame, window: int) -> DataFrame:
     def windows(n):
         return F.transform(F.sequence(F.lit(0), F.size("w") - n), lambda i: F.struct(i.alias("at"), F.array_join(F.slice("w", i + 1, n), " ").alias("key")))
 
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").alias("doc_id"), words(F.col("text")).alias("w"))
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text", words(F.col("text")).alias("w"))
     keys = items.select(F.col("item_id").cast("string").alias("item"), words(F.col("text")).alias("w")).where(F.size("w") > 0)
     keys = keys.withColumn("n", F.least(F.lit(window), F.size("w")))
     keys = keys.select("item", "n", F.explode(windows(F.col("n"))).alias("x")).select("item", "n", F.col("x.key").alias("key")).distinct()
@@ -136,17 +151,17 @@ def _joined(docs: DataFrame, items: DataFrame, window: int) -> DataFrame:
     own = own.join(F.broadcast(keys.select("n").distinct()), "n", "left_semi")  # at most ``window`` rows
     own = own.select("row", "n", F.explode(windows(F.col("n"))).alias("x")).select("row", "n", F.col("x.at").alias("at"), F.col("x.key").alias("key"))
     hits = own.join(keys, ["n", "key"]).select("row", "item", F.explode(F.sequence("at", F.col("at") + F.col("n") - 1)).alias("word"))
-    hits = hits.groupBy("row").agg(F.count_distinct("word").alias("n_hit"), F.sort_array(F.collect_set("item")).alias("items"))
-    none = F.array().cast("array<struct<start:long,stop:long>>")
-    return rows.join(hits, "row", "left").select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.size("w").cast("long").alias("n_words"), F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
-        F.coalesce("items", F.array().cast("array<string>")).alias("items"), none.alias("spans"),
+    hits = hits.groupBy("row").agg(F.collect_set("word").alias("words"), F.sort_array(F.collect_set("item")).alias("items"))
+    full = rows.join(hits, "row", "left").select(
+        "doc_id", F.size("w").cast("long").alias("n_words"), F.coalesce(F.size("words"), F.lit(0)).cast("long").alias("n_hit"),
+        F.coalesce("items", F.array().cast("array<string>")).alias("items"), F.when(F.col("words").isNotNull(), F.col("text")).alias("text"), F.coalesce("words", F.array().cast("array<int>")).alias("words"),
     )
+    return full.mapInArrow(_spans, OUT)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, *, window: int = 13, broadcast_bytes: int = 8 << 20) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): n_words, n_hit, the sorted ids of the items with occurring windows
-    and the hit byte ranges (of the broadcast way; empty beyond its bound). ``benchmark``: (item_id, text).
+    and the hit byte ranges. ``benchmark``: (item_id, text).
     """
     size = benchmark.select(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first()["n"]
     if size > broadcast_bytes:
