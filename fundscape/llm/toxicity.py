@@ -2,10 +2,10 @@
 
 1. A character language model: trigram counts over all documents (letters, a class for other letters, for digits, for
    signs and for gaps), summed by Spark.
-2. Suspicious spans: tokens with a sign or digit that can stand for a letter before a letter, letters repeated three
-   times or more, three or more single letters with one separator between each.
+2. Suspicious spans: tokens with a letter and, anywhere, a sign or digit that can stand for one; letters repeated twice
+   or more; three or more single letters with any blanks and punctuation of the same line between them.
 3. A span is a lattice: each sign as it is or as the letters it can stand for, each run of a letter at full length,
-   doubled or single, each separator kept or dropped, at a channel cost. Viterbi decoding under the language model
+   doubled or single, each separator run (among single letters, signs too) kept or dropped, at a channel cost. Viterbi decoding under the language model
    gives the restored span. All else has one path through the lattice and stays.
 4. Words (lower-cased) of the restored text and of the text as it is are evidence: how much likelier the word, or its
    first four or five bytes, is in toxic documents of the labelled sample. A logistic curve over a document's two
@@ -37,7 +37,6 @@ SIGNS = byte_table(b"0123456789@$!|+(")
 LETTERS = byte_table(b"abcdefghijklmnopqrstuvwxyz")
 WORD = byte_table(b"abcdefghijklmnopqrstuvwxyz0123456789" + bytes(range(0x80, 0x100)))
 TOKEN = WORD | SIGNS
-GAPS = byte_table(b" .-_*")
 #: Symbols: gap, a to z, other letters, digits, signs.
 SYMBOLS = 30
 GAP, OTHER, DIGIT, SIGN = 0, 27, 28, 29
@@ -78,18 +77,20 @@ def language_model(docs: DataFrame) -> np.ndarray:
 def _options(span: str) -> list[list[tuple[str, float]]]:
     """The lattice: for each step, strings that it can emit and their channel costs."""
     steps, i = [], 0
-    spaced = len(span) > 4 and all(c in " .-_*" for c in span[1::2]) and all(c.isalnum() or c in STANDS_FOR for c in span[::2])
+    spaced = len(span) > 4 and not any(a.isalnum() and b.isalnum() for a, b in zip(span, span[1:], strict=False))
+    gap = lambda c: not c.isalnum() and c not in STANDS_FOR
     while i < len(span):
         c, n = span[i], 1
         while i + n < len(span) and span[i + n] == c:
             n += 1
-        if c.isalpha() and n >= 3:
-            steps.append([(c * n, 0.0), (c * 2, SHORTENED), (c, SHORTENED)])
+        if c.isalpha() and n >= 2:
+            steps.append([(c * n, 0.0), *[(c * 2, SHORTENED)] * (n > 2), (c, SHORTENED)])
         elif c in STANDS_FOR:
-            one = [(c, 0.0), *((x, SUBSTITUTED) for x in STANDS_FOR[c])]
+            one = [(c, 0.0), *((x, SUBSTITUTED) for x in STANDS_FOR[c]), *[("", DROPPED)] * (spaced and not c.isalnum())]
             steps += [one] * n if n < 3 else [[(c * n, 0.0), *((x, SUBSTITUTED + SHORTENED) for x in STANDS_FOR[c])]]
-        elif spaced and c in " .-_*":
-            steps.append([(c * n, 0.0), ("", DROPPED)])
+        elif spaced and gap(c):
+            n = next((k for k in range(i, len(span)) if not gap(span[k])), len(span)) - i
+            steps.append([(span[i : i + n], 0.0), ("", DROPPED)])
         else:
             steps.append([(c * n, 0.0)])
         i += n
@@ -117,30 +118,35 @@ def decode(span: str, model: np.ndarray) -> str:
 
 def suspicious(low: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int]]:
     """Byte ranges of lower-cased text that may be disguised."""
-    if len(low) < 3:
+    if not len(low):
         return []
-    starts, ends = runs(TOKEN[low], offsets)
+    next1, next2 = np.append(low[1:], np.uint8(0)), np.append(low[2:], np.zeros(min(2, len(low)), np.uint8))
+    euro = (low == 0xE2) & (next1 == 0x82) & (next2 == 0xAC)
+    # punctuation beyond ASCII: U+0080 to U+00BF and U+2000 to U+203F
+    two, three = low == 0xC2, (low == 0xE2) & (next1 == 0x80)
+    token = TOKEN[low] & ~two & ~three
+    token[1:] &= ~two[:-1] & ~three[:-1]
+    token[2:] &= ~three[:-2]
+    starts, ends = runs(token, offsets)
     if not len(starts):
         return []
     letter = LETTERS[low]
     same = np.zeros(len(low), bool)  # as the byte before, in the same row
     same[1:] = low[1:] == low[:-1]
-    after = np.append(letter[1:], False)
     inner = offsets[(offsets > 0) & (offsets < len(low))]
     same[inner] = False
-    after[inner - 1] = False
-    odd = SIGNS[low] & after
-    odd[1:] |= letter[1:] & same[1:] & same[:-1]
+    odd = SIGNS[low] | euro | (letter & same)
     flagged = np.add.reduceat(odd.astype(np.int32), starts) > 0
     # A token's sum reaches to the next start; what is between is no token, so it holds neither flag.
     has_letter = np.add.reduceat(letter.astype(np.int32), starts) > 0
     out = [(int(a), int(b)) for a, b in zip(starts[flagged & has_letter], ends[flagged & has_letter], strict=True)]
-    single = (ends - starts == 1) & (letter[starts] | SIGNS[low[starts]])
+    single = (ends - starts == 1) & (letter[starts] | SIGNS[low[starts]]) | (ends - starts == 3) & euro[starts]
+    line = np.cumsum(low == 10)[starts]
     row = np.searchsorted(offsets, starts, "right") - 1
     chain = np.zeros(len(starts), bool)
-    chain[1:] = single[1:] & single[:-1] & (starts[1:] - ends[:-1] == 1) & GAPS[low[np.minimum(ends[:-1], len(low) - 1)]] & (row[1:] == row[:-1])
+    chain[1:] = single[1:] & single[:-1] & (line[1:] == line[:-1]) & (row[1:] == row[:-1])
     for a, b in zip(*runs(chain, np.array([0, len(chain)])), strict=True):
-        if b - a >= 2:
+        if b - a >= 2 and has_letter[a - 1 : b].any():
             out.append((int(starts[a - 1]), int(ends[b - 1])))
     return out
 
