@@ -17,9 +17,18 @@ def first_label(text: Column, dictionary: list[tuple[str, list[str]]]) -> Column
     return F.coalesce(*[F.when(text.rlike("|".join(map(escape, signals))), F.lit(label)) for label, signals in dictionary])
 
 
-def match_dictionary(docs: DataFrame, text: str, key: str, dictionary: DataFrame) -> DataFrame:
-    """The same for a large dictionary (ord, signal, label): a join on ``contains``, lowest ord first."""
-    hit = docs.select(key, text).join(F.broadcast(dictionary.limit(10_000)), F.col(text).contains(F.col("signal")), "left")  # a dictionary's bound
+def match_dictionary(docs: DataFrame, text: str, key: str, dictionary: DataFrame, *, most: int = 10_000, gram: int = 6) -> DataFrame:
+    """The same for a large dictionary (ord, signal, label): a join on ``contains``, lowest ord first. Beyond ``most``
+    signals candidates come from a shuffle on the first ``gram`` characters of a signal (all, if it is shorter)."""
+    if dictionary.limit(most + 1).count() <= most:
+        hit = docs.select(key, text).join(F.broadcast(dictionary), F.col(text).contains(F.col("signal")), "left")
+    else:
+        signals = dictionary.where("signal is not null").withColumn("_gram", F.substring("signal", 1, gram))
+        windows = F.flatten(F.array(*[F.regexp_extract_all(F.col(text), F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1)) for n in range(gram + 1)]))
+        grams = docs.select(key, F.explode(F.array_distinct(windows)).alias("_gram"))
+        near = grams.join(signals.hint("merge"), "_gram").select(F.col(key).alias("_key"), "ord", "signal", "label").distinct()
+        fits = F.col(key).eqNullSafe(F.col("_key")) & F.col(text).contains(F.col("signal"))
+        hit = docs.select(key, text).join(near, fits, "left")
     return hit.groupBy(key).agg(F.min(F.struct("ord", "label")).alias("m")).select(key, F.col("m.label").alias("label"))
 
 
@@ -97,7 +106,7 @@ def grid(docs: DataFrame, key: str, text: str) -> DataFrame:
     """(key, row, label, cells) of the lines with ``|||`` between cells."""
     lines = docs.select(key, F.posexplode(F.split(text, "\n")).alias("row", "line")).where(F.col("line").contains("|||"))
     cells = F.filter(F.transform(F.split("line", r"\|\|\|"), lambda x: F.trim(x)), lambda x: x != "")
-    return lines.select(key, "row", cells.alias("c")).where(F.size("c") > 0).select(key, "row", F.get("c", F.lit(0)).alias("label"), F.slice("c", 2, 100_000).alias("cells"))
+    return lines.select(key, "row", cells.alias("c")).where(F.size("c") > 0).select(key, "row", F.get("c", F.lit(0)).alias("label"), F.slice("c", 2, F.size("c")).alias("cells"))
 
 
 def schedule(cells: DataFrame, key: str) -> DataFrame:
