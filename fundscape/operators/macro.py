@@ -83,7 +83,7 @@ def semaphore(frame: DataFrame, regimes: DataFrame) -> DataFrame:
         ("regime", "amber", F.lag("regime").over(calendar()) != F.col("regime")),
         ("oil_spike", "red", rel("oil") > 0.20), ("oil_up", "amber", (rel("oil") > 0.08) & (rel("oil") <= 0.20)),
         ("cli_drop", "red", d("cli") < -2.0), ("cli_near", "amber", (F.abs(F.col("cli") - 100) < 1.0) & ~(d("cli") < -2.0)),
-        ("ipc_up", "amber", d("ipc_yoy_avg") > 0.006), ("rate_jump", "red", F.abs(d("rate")) >= 0.50),
+        ("ipc_up", "amber", d("ipc_yoy_avg") > 0.003), ("rate_jump", "red", F.abs(d("rate")) >= 0.50),
         ("spread_red", "red", F.col("spread") > 6.0), ("spread_up", "amber", (F.col("spread") > 4.0) & (F.col("spread") <= 6.0)),
         ("vix_spike", "red", rel("vix") > 0.30), ("vix_up", "amber", (rel("vix") > 0.15) & (rel("vix") <= 0.30)),
     ]
@@ -115,10 +115,14 @@ def fx_decomposition(panel: DataFrame, master: DataFrame, rates: DataFrame, *, l
     return g.select("isin", "fx_ann", pct.alias("fx_pct"), "fx_vol")
 
 
-def regime_stats(panel: DataFrame, regimes: DataFrame, *, least: int = 12, yearly: float = 0.02) -> DataFrame:
-    """(isin, regime, n_obs, return_ann, vol_ann, sharpe) of log returns by regime; return and volatility in percent."""
+def regime_stats(panel: DataFrame, regimes: DataFrame, *, least: int = 12, history: int = 36, yearly: float = 0.02) -> DataFrame:
+    """(isin, regime, n_obs, return_ann, vol_ann, sharpe) of log returns by regime; return and volatility in percent.
+    Funds with fewer than ``history`` values are left out.
+    """
     by = Window.partitionBy("isin").orderBy("date")
-    r = panel.select("isin", "date", F.log(F.col("nav") / F.lag("nav").over(by)).alias("r")).where("r is not null")
+    values = F.count("nav").over(Window.partitionBy("isin")).alias("values")
+    r = panel.select("isin", "date", values, F.log(F.col("nav") / F.lag("nav").over(by)).alias("r"))
+    r = r.where("r is not null").where(F.col("values") >= history)
     monthly = (1 + yearly) ** (1 / 12) - 1
     g = r.join(F.broadcast(regimes), "date").groupBy("isin", "regime").agg(F.count("*").alias("n_obs"), F.avg("r").alias("m"), F.stddev_samp("r").alias("s")).where(F.col("n_obs") >= least)  # one row per month
     sharpe = F.when(F.col("s") < 1e-10, 0.0).otherwise((F.col("m") - monthly) / F.col("s") * F.sqrt(F.lit(12)))
@@ -159,6 +163,17 @@ def betas(panel: DataFrame, factor: DataFrame, *, least: int = 36) -> DataFrame:
     return g.where(F.col("n") >= least)
 
 
+def factor_betas(panel: DataFrame, frame: DataFrame, factors: dict[str, str], *, least: int = 60) -> DataFrame:
+    """(isin, a beta per factor under its name, macro_r2): each fund's log return on each factor alone, and the largest
+    share of variance that one of them explains; one pass over the panel."""
+    by = Window.partitionBy("isin").orderBy("date")
+    r = panel.select("isin", "date", F.log(F.col("nav") / F.lag("nav").over(by)).alias("r")).where("r is not null")
+    g = r.join(frame.select("date", *factors.values()), "date").groupBy("isin")
+    slopes = [F.regr_slope("r", f).alias(name) for name, f in factors.items()]
+    g = g.agg(F.count("*").alias("n"), *slopes, F.greatest(*[F.regr_r2("r", f) for f in factors.values()]).alias("macro_r2"))
+    return g.where(F.col("n") >= least).drop("n")
+
+
 def gram(rows: DataFrame, factors: list[str], *keys: str) -> DataFrame:
     """Sums of products of (1, factors, r) per key, as one array: all that least squares needs."""
     names = ["_one", *factors, "r"]
@@ -166,7 +181,7 @@ def gram(rows: DataFrame, factors: list[str], *keys: str) -> DataFrame:
     return rows.groupBy(*keys).agg(F.array(*[F.sum(F.col(a) * F.col(b)) for i, a in enumerate(names) for b in names[i:]]).alias("products"))
 
 
-def ols(panel: DataFrame, frame: DataFrame, factors: list[str], *, least: int = 48, vif: float = 10.0, keep: tuple[str, ...] = ()) -> DataFrame:
+def ols(panel: DataFrame, frame: DataFrame, factors: list[str], *, least: int = 60, vif: float = 10.0, keep: tuple[str, ...] = ()) -> DataFrame:
     """(isin, factor, beta, r2, n): multi-factor least squares per fund; factors whose variance inflation exceeds ``vif``
     go first, worst first, but for those in ``keep``. Only one Gram row per fund leaves the JVM.
     """

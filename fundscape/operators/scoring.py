@@ -19,7 +19,7 @@ BONUS = {
     "Dinamica": {"Renta Variable": 1.10, "Alternativo": 1.05, "Mixtos": 0.95},
 }
 DRAWDOWN_LIMIT = {"Defensiva": -0.20, "Equilibrada": -0.30, "Dinamica": -0.40}
-RETURN_LIMIT = {"Defensiva": -0.05, "Equilibrada": -0.03, "Dinamica": -0.03}
+RETURN_LIMIT = {"Defensiva": -0.05, "Equilibrada": -0.02, "Dinamica": 0.00}
 RISK_LIMIT = 5
 MEASURES = ["return_real", "sharpe", "max_drawdown", "alpha_persistence", "capture_ratio", "momentum_rank"]
 
@@ -54,28 +54,38 @@ def exclusion(wide: DataFrame) -> DataFrame:
     return each.select("isin", "part", reason.alias("reason"))
 
 
-def multiplier(wide: DataFrame, regime: str, *, p25: float | None = None, p75: float | None = None) -> DataFrame:
-    """(isin, multiplier): product of the factors that apply to a fund in the regime, to four digits."""
+def multiplier(wide: DataFrame, regime: str | Column, *, p25: float | Column | None = None, p75: float | Column | None = None, keys: tuple[str, ...] = ("isin",)) -> DataFrame:
+    """(keys, multiplier): product of the factors that apply to a fund in the regime, to four digits.
+
+    ``regime``, ``p25`` and ``p75`` (quartiles of the funds' returns in that regime) may be columns of ``wide``.
+    """
     c = F.col
-    # Fixed values: (regimes or all, condition, factor).
-    rules: list[tuple[tuple[str, ...] | None, Column, float]] = [
-        (("Crisis_Financiera",), c("beta_spread") > 0.005, 0.85), (("Crisis_Financiera",), c("beta_spread") < -0.002, 1.10), (("Crisis_Financiera",), c("beta_vix") > 0.05, 0.85),
-        (("Shock_Energetico", "Estanflacion", "Recalentamiento"), c("beta_oil") > 0.05, 1.15), (("Recalentamiento_Tardio", "Shock_Energetico", "Estanflacion"), c("beta_rate") < -0.01, 0.85),
-        (None, F.abs(c("fx_pct")) > 0.5, 0.90), (None, c("alpha_persistence") > 0.6, 1.10), (None, c("macro_r2") > 0.7, 0.95),
-    ]
+    regime = F.lit(regime) if isinstance(regime, str) else regime
+    crisis = regime == "Crisis_Financiera"
+    # Conditions and factors.
+    rules: list[tuple[Column, float]] = [
+        (crisis & (c("beta_spread") > 0.02), 0.60),
+        (crisis & (c("beta_spread") < -0.01), 1.30),
+        (crisis & (c("beta_vix") > 0.02), 0.60),
+        (regime.isin("Shock_Energetico", "Estanflacion", "Recalentamiento") & (c("beta_oil") > 0.01), 1.20),
+        (regime.isin("Recalentamiento_Tardio", "Shock_Energetico", "Estanflacion") & (c("beta_rate") < -0.10), 0.70),
+        (F.abs(c("fx_pct")) > 0.60, 0.80),
+        (c("alpha_persistence") > 0.60, 1.15),
+        (c("macro_r2") > 0.50, 0.85),
+    ]
     if p25 is not None and p75 is not None:
-        known = c("n_obs") >= 12
-        rules += [(None, known & (c("return_regime") >= p75), 1.10), (None, known & (c("return_regime") <= p25) & (c("return_regime") < p75), 0.90)]
+        known, back = c("n_obs") >= 12, c("return_regime")
+        rules += [(known & (back >= p75), 1.20), (known & (back <= p25) & (back < p75), 0.80)]
     product = F.lit(1.0)
-    for regimes, on, factor in rules:
-        if regimes is None or regime in regimes:
-            product = product * F.when(F.coalesce(on, F.lit(False)), factor).otherwise(1.0)
-    return wide.select("isin", F.round(product, 4).alias("multiplier"))
+    for on, factor in rules:
+        product = product * F.when(F.coalesce(on, F.lit(False)), factor).otherwise(1.0)
+    return wide.select(*keys, F.round(product, 4).alias("multiplier"))
 
 
-def score(wide: DataFrame, regime: str, **options) -> DataFrame:
+def score(wide: DataFrame, regime: str, *, p25: float | Column | None = None, p75: float | Column | None = None, **options) -> DataFrame:
     """(isin, part, nature, base, multiplier, reason, total): total is 0 for excluded funds."""
-    full = base_scores(wide, **options).join(multiplier(wide, regime), "isin").join(exclusion(wide), ["isin", "part"])
+    factors = multiplier(wide, regime, p25=p25, p75=p75)
+    full = base_scores(wide, **options).join(factors, "isin").join(exclusion(wide), ["isin", "part"])
     return full.withColumn("total", F.when(F.col("reason").isNull(), F.col("base") * F.col("multiplier")).otherwise(0.0))
 
 

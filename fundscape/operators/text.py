@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import unicodedata
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -48,21 +49,32 @@ def window_by_format(text: Column, formats: list[tuple[str, str, int, int]], *,
     return F.coalesce(*[F.when(begin.contains(signal), F.substring(text, start, length)) for _, signal, start, length in formats], F.substring(text, 1, 1000))
 
 
-def language(text: Column, markers: dict[str, list[str]], *, least: int = 2) -> Column:
-    """The first language, in order, of which at least ``least`` marker words occur; then on text without accents."""
+def language(text: Column, markers: dict[str, list[str]], fused: dict[str, list[str]] | None = None, *, least: int = 2) -> Column:
+    """The first language, in order, of which at least ``least`` marker words occur; then on text without accents; then,
+    for texts whose words run together, of which ``fused`` markers occur in text without accents, blanks and line ends."""
     def by(t: Column) -> list[Column]:
         return [F.when(count_hits(t, [rf"(^|[^\p{{L}}]){w}([^\p{{L}}]|$)" for w in words]) >= least, F.lit(code)) for code, words in markers.items()]
 
     low = F.lower(text)
-    return F.coalesce(*by(low), *by(fold_accents(low)))
+    bare = F.regexp_replace(fold_accents(low), r"[ \n\r]", "")
+    joined = [F.when(sum((bare.contains(w).cast("int") for w in words), F.lit(0)) >= least, F.lit(code)) for code, words in (fused or {}).items()]
+    return F.coalesce(*by(low), *by(fold_accents(low)), *joined)
 
 
-# Latin letters with marks and the letters below them.
-MARKED, PLAIN = "áàâäãåéèêëíìîïóòôöõúùûüñçÁÀÂÄÃÅÉÈÊËÍÌÎÏÓÒÔÖÕÚÙÛÜÑÇ", "aaaaaaeeeeiiiiooooouuuuncAAAAAAEEEEIIIIOOOOOUUUUNC"
+def _marked_letters() -> tuple[str, str]:
+    """Letters that decompose to a plain one and combining marks, and the plain ones, by Unicode's own decomposition."""
+    marked = [c for c in map(chr, [*range(0xC0, 0x250), *range(0x370, 0x530), *range(0x1E00, 0x2000)]) if len(unicodedata.normalize("NFD", c)) > 1]
+    plain = ["".join(x for x in unicodedata.normalize("NFD", c) if not unicodedata.combining(x)) for c in marked]
+    pairs = [(c, p) for c, p in zip(marked, plain, strict=True) if len(p) == 1]
+    return "".join(c for c, _ in pairs), "".join(p for _, p in pairs)
+
+
+MARKED, PLAIN = _marked_letters()
 
 
 def fold_accents(text: Column) -> Column:
-    return F.translate(text, MARKED, PLAIN)
+    """The text decomposed and without combining marks (of Latin, Greek and Cyrillic letters)."""
+    return F.regexp_replace(F.translate(text, MARKED, PLAIN), r"\p{Mn}", "")
 
 
 def number(text: Column) -> Column:

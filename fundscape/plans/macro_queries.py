@@ -46,7 +46,7 @@ query("agg_regime_distribution", sql(f", {WIDE} SELECT regime, count(*) AS month
 @query("regime_semaphore", sql(f""", {WIDE}, j AS (SELECT ff.*, regime FROM ff JOIN rg USING (date)), s AS (SELECT *, lag(regime) OVER w AS pr, CASE WHEN lag(oil) OVER w > 0 THEN oil / lag(oil) OVER w - 1 END AS mo, cli - lag(cli) OVER w AS dc, ipc_yoy_avg - lag(ipc_yoy_avg) OVER w AS di, rate - lag(rate) OVER w AS dr,
  CASE WHEN lag(vix) OVER w > 0 THEN vix / lag(vix) OVER w - 1 END AS mv FROM j WINDOW w AS (ORDER BY date)),
 t AS (SELECT date, [CASE WHEN pr <> regime THEN 'regime' END, CASE WHEN mo > 0.2 THEN 'oil_spike' END, CASE WHEN mo > 0.08 AND mo <= 0.2 THEN 'oil_up' END, CASE WHEN dc < -2 THEN 'cli_drop' END, CASE WHEN abs(cli - 100) < 1 AND NOT (dc < -2) THEN 'cli_near' END,
- CASE WHEN di > 0.006 THEN 'ipc_up' END, CASE WHEN abs(dr) >= 0.5 THEN 'rate_jump' END, CASE WHEN spread > 6 THEN 'spread_red' END, CASE WHEN spread > 4 AND spread <= 6 THEN 'spread_up' END, CASE WHEN mv > 0.3 THEN 'vix_spike' END, CASE WHEN mv > 0.15 AND mv <= 0.3 THEN 'vix_up' END] AS a FROM s)
+ CASE WHEN di > 0.003 THEN 'ipc_up' END, CASE WHEN abs(dr) >= 0.5 THEN 'rate_jump' END, CASE WHEN spread > 6 THEN 'spread_red' END, CASE WHEN spread > 4 AND spread <= 6 THEN 'spread_up' END, CASE WHEN mv > 0.3 THEN 'vix_spike' END, CASE WHEN mv > 0.15 AND mv <= 0.3 THEN 'vix_up' END] AS a FROM s)
 SELECT date, CASE WHEN list_has_any(a, ['oil_spike', 'cli_drop', 'rate_jump', 'spread_red', 'vix_spike']) THEN 'red' WHEN len(list_filter(a, lambda x: x IS NOT NULL)) > 0 THEN 'amber' ELSE 'green' END AS colour, coalesce(array_to_string(list_filter(a, lambda x: x IS NOT NULL), ','), '') AS signals FROM t""", "macro"))
 def regime_semaphore(s, d):
     frame = M.indicators(T.macro(s, d))
@@ -69,7 +69,7 @@ def fx_decomposition(s, d):
     return out.select("isin", F.round("fx_ann", 6).alias("fx_ann"), F.round("fx_pct", 5).alias("fx_pct"), F.round("fx_vol", 6).alias("fx_vol"))
 
 
-@query("regime_conditional_stats", sql(f""", {WIDE}, g AS (SELECT isin, regime, count(*) AS n_obs, avg(r) AS m, stddev_samp(r) AS s FROM (SELECT isin, date, ln(nav / lag(nav) OVER (PARTITION BY isin ORDER BY date)) AS r FROM nav) JOIN rg USING (date) WHERE r IS NOT NULL GROUP BY isin, regime HAVING count(*) >= 12)
+@query("regime_conditional_stats", sql(f""", {WIDE}, g AS (SELECT isin, regime, count(*) AS n_obs, avg(r) AS m, stddev_samp(r) AS s FROM (SELECT isin, date, count(*) OVER (PARTITION BY isin) AS k, ln(nav / lag(nav) OVER (PARTITION BY isin ORDER BY date)) AS r FROM nav) JOIN rg USING (date) WHERE r IS NOT NULL AND k >= 36 GROUP BY isin, regime HAVING count(*) >= 12)
 SELECT isin, regime, n_obs, round((exp(m * 12) - 1) * 100, 5) AS return_ann, round(s * sqrt(12) * 100, 5) AS vol_ann, round(CASE WHEN s < 1e-10 THEN 0 ELSE (m - (pow(1.02, 1 / 12.0) - 1)) / s * sqrt(12) END, 5) AS sharpe FROM g""", "nav", "macro"))
 def regime_conditional_stats(s, d):
     out = M.regime_stats(T.nav(s, d), regimes(s, d))

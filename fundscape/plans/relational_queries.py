@@ -25,7 +25,7 @@ def wide(s, d, *names):
 PIVOT = lambda *n: ", pv AS (SELECT isin, " + ", ".join(f"max(value) FILTER (metric = '{m}') AS {m}" for m in n) + " FROM metrics GROUP BY isin)"
 
 # Scans, sources, sinks
-Q("scan_nav", sql("SELECT isin, date, nav FROM nav WHERE isin IN (1, 2, 3)", "nav"))(lambda s, d: T.nav(s, d).where("isin in (1, 2, 3)"))
+Q("scan_nav", sql("SELECT isin, date, nav FROM nav", "nav"))(T.nav)
 Q("scan_distinct_ids", "SELECT DISTINCT l_suppkey AS isin FROM lineitem")(lambda s, d: T.read(s, d, "lineitem").select(c("l_suppkey").alias("isin")).distinct())
 Q("scan_cpi", sql("SELECT date, value FROM macro WHERE indicator = 'ipc_index' AND geography = 'EU'", "macro"))(lambda s, d: T.macro(s, d).where("indicator = 'ipc_index' and geography = 'EU'").select("date", "value"))
 Q("series_available", sql("SELECT indicator, geography, count(*) AS n FROM macro GROUP BY ALL", "macro"))(lambda s, d: T.macro(s, d).groupBy("indicator", "geography").agg(F.count("*").alias("n")))
@@ -69,18 +69,19 @@ Q("source_priority_merge", "SELECT doc_id, q, CASE WHEN quality IS NOT NULL THEN
     lambda s, d: L.first_source(T.read(s, d, "labels").select("doc_id", c("quality").cast("int").alias("q"), F.lit("labels").alias("source")).join(T.read(s, d, "documents").select("doc_id"), "doc_id", "left_semi").unionByName(T.read(s, d, "documents").select("doc_id", F.lit(9).alias("q"), F.lit("documents").alias("source"))), {"labels": 0, "documents": 1}, "doc_id")
 )
 Q("sink_long_metrics", sql("SELECT isin, metric, value FROM metrics", "metrics"))(metrics)
-OLD, NEW = "SELECT isin, date, nav FROM nav WHERE isin % 3 <> 0", "SELECT isin, date, nav * 2 AS nav FROM nav WHERE isin % 2 = 0"
-old = lambda s, d: T.nav(s, d).where("isin % 3 <> 0")
-new = lambda s, d: T.nav(s, d).where("isin % 2 = 0").withColumn("nav", c("nav") * 2)
+# An earlier state of the panel, and a later delivery that corrects its last months and adds newer ones.
+OLD, NEW = "SELECT isin, date, nav FROM nav WHERE date < DATE '2000-07-01'", "SELECT isin, date, nav * 2 AS nav FROM nav WHERE date >= DATE '2000-01-01'"
+old = lambda s, d: T.nav(s, d).where("date < '2000-07-01'")
+new = lambda s, d: T.nav(s, d).where("date >= '2000-01-01'").withColumn("nav", c("nav") * 2)
 Q("upsert_replace", sql(f", a AS ({OLD}), b AS ({NEW}) SELECT * FROM a ANTI JOIN b USING (isin, date) UNION ALL SELECT * FROM b", "nav"))(lambda s, d: L.upsert_replace(old(s, d), new(s, d), "isin", "date"))
 Q("insert_ignore", sql(f", a AS ({OLD}), b AS ({NEW}) SELECT * FROM a UNION ALL SELECT * FROM b ANTI JOIN a USING (isin, date)", "nav"))(lambda s, d: L.insert_ignore(old(s, d), new(s, d), "isin", "date"))
 Q("replace_children", sql(f", a AS ({OLD}), b AS (SELECT * FROM ({NEW}) WHERE date > DATE '2000-01-01') SELECT * FROM a WHERE isin NOT IN (SELECT isin FROM b) UNION ALL SELECT * FROM b", "nav"))(lambda s, d: L.replace_children(old(s, d), new(s, d).where("date > '2000-01-01'"), "isin"))
 Q("upsert_policy_merge", sql("""SELECT coalesce(a.isin, b.isin) AS isin, CASE WHEN a.isin IS NOT NULL THEN a.fund_name ELSE b.fund_name END AS fund_name, CASE WHEN b.isin IS NOT NULL THEN b.srri ELSE a.srri END AS srri,
  coalesce(b.hedging, a.hedging) AS hedging, CASE WHEN b.isin IS NOT NULL AND (a.isin IS NULL OR b.size > a.size) THEN b.size ELSE a.size END AS size
- FROM (SELECT * FROM master WHERE isin % 3 <> 0) a FULL JOIN (SELECT isin, upper(fund_name) AS fund_name, 7 - srri AS srri, CASE WHEN isin % 5 = 0 THEN 'Partial' END AS hedging, size + CASE WHEN isin % 2 = 0 THEN 1 ELSE -1 END AS size FROM master WHERE isin % 4 <> 0) b ON a.isin = b.isin""", "master"))(
+ FROM (SELECT * FROM master WHERE size < 7000) a FULL JOIN (SELECT isin, upper(fund_name) AS fund_name, 7 - srri AS srri, CASE WHEN isin % 5 = 0 THEN 'Partial' END AS hedging, size + CASE WHEN isin % 2 = 0 THEN 1 ELSE -1 END AS size FROM master WHERE size > -500) b ON a.isin = b.isin""", "master"))(
     lambda s, d: L.policy_merge(
-        T.master(s, d).where("isin % 3 <> 0"),
-        T.master(s, d).where("isin % 4 <> 0").select("isin", F.upper("fund_name").alias("fund_name"), (7 - c("srri")).alias("srri"), F.when(c("isin") % 5 == 0, "Partial").alias("hedging"), (c("size") + F.when(c("isin") % 2 == 0, 1).otherwise(-1)).alias("size")),
+        T.master(s, d).where("size < 7000"),
+        T.master(s, d).where("size > -500").select("isin", F.upper("fund_name").alias("fund_name"), (7 - c("srri")).alias("srri"), F.when(c("isin") % 5 == 0, "Partial").alias("hedging"), (c("size") + F.when(c("isin") % 2 == 0, 1).otherwise(-1)).alias("size")),
         ["isin"], {"fund_name": "keep", "srri": "overwrite", "hedging": "fill", "size": c("n.size") > c("o.size")},
     )
 )
@@ -218,8 +219,8 @@ Q("fn_string", "SELECT p_partkey, upper(p_name) AS up, lower(p_brand) AS low, p_
         F.length("p_name").cast("long").alias("n"), F.instr("p_name", " ").cast("long").alias("at"), F.trim(F.concat(F.lit(" "), "p_name", F.lit(" "))).alias("trimmed"), F.upper(F.array_join(F.slice(F.split(F.concat_ws(" ", "p_name", "p_brand", "p_type"), " "), 1, 3), " ")).alias("three"),
     )
 )
-Q("fn_regex", "SELECT doc_id, regexp_matches(text, '[0-9]{4}') AS has_number, regexp_extract(text, '([a-z]+)@', 1) AS who, len(regexp_extract_all(text, '[A-Z][a-z]+')) AS capitals, regexp_replace(substr(text, 1, 40), '[^a-zA-Z]+', '_', 'g') AS cleaned FROM documents")(
-    lambda s, d: T.read(s, d, "documents").select("doc_id", c("text").rlike("[0-9]{4}").alias("has_number"), F.regexp_extract("text", "([a-z]+)@", 1).alias("who"), F.size(F.regexp_extract_all("text", F.lit("[A-Z][a-z]+"), F.lit(0))).cast("long").alias("capitals"), F.regexp_replace(F.substring("text", 1, 40), "[^a-zA-Z]+", "_").alias("cleaned"))
+Q("fn_regex", "SELECT doc_id, regexp_matches(text, '[0-9]{4}') AS has_number, regexp_extract(text, '([a-z]+)@', 1) AS who, len(regexp_extract_all(text, '[A-Z][a-z]+')) AS capitals, regexp_replace(text, '[^a-zA-Z]+', '_', 'g') AS cleaned FROM documents")(
+    lambda s, d: T.read(s, d, "documents").select("doc_id", c("text").rlike("[0-9]{4}").alias("has_number"), F.regexp_extract("text", "([a-z]+)@", 1).alias("who"), F.size(F.regexp_extract_all("text", F.lit("[A-Z][a-z]+"), F.lit(0))).cast("long").alias("capitals"), F.regexp_replace("text", "[^a-zA-Z]+", "_").alias("cleaned"))
 )
 Q("fn_date", "SELECT o_orderkey, last_day(o_orderdate) AS month_end, CAST(last_day(o_orderdate) + INTERVAL 3 MONTH AS DATE) AS later, CAST(strptime(strftime(o_orderdate, '%Y-%m') || '-01', '%Y-%m-%d') AS DATE) AS parsed, CAST(make_date(year(o_orderdate), quarter(o_orderdate) * 3 - 2, 1) AS DATE) AS quarter_start, date_diff('day', CAST(o_orderdate AS DATE), DATE '2002-01-01') AS age FROM orders")(
     lambda s, d: T.read(s, d, "orders").select(

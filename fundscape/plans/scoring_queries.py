@@ -6,7 +6,8 @@ from pyspark.sql import Window, functions as F
 
 from ..operators import macro as M, panel as P, peers as R, scoring as S
 from ..sources import tables as T
-from .macro_queries import WIDE, regimes
+from ..sources.files import stored
+from .macro_queries import FRAME, FX, WIDE, factor_frame, regimes
 from .panel_queries import PEERS, PERSIST, PRICES, prices
 from .registry import query
 from .sqlbase import risk, sql
@@ -37,24 +38,72 @@ mw AS (SELECT master.*, round(rk.sharpe, 6) AS sharpe, round(rk.max_drawdown, 6)
  round(rr.ret, 6) AS return_real, alpha_persistence, capture_ratio, momentum_rank, CASE WHEN master.isin % 11 = 0 THEN 'High Yield' ELSE 'Investment Grade' END AS credit_quality
  FROM master JOIN rk USING (isin) LEFT JOIN rr USING (isin) LEFT JOIN ap USING (isin) LEFT JOIN cr USING (isin) LEFT JOIN mr USING (isin))"""
 _rank = lambda m: f"coalesce(CASE WHEN {m} IS NOT NULL THEN (rank() OVER (PARTITION BY nature, {m} IS NULL ORDER BY {m}) + (count(*) OVER (PARTITION BY nature, {m}) - 1) / 2.0) / count({m}) OVER (PARTITION BY nature) END, 0)"
-_case = lambda key, table: f"CASE {key} " + " ".join(f"WHEN '{k}' THEN {v}::DOUBLE" for k, v in table.items()) + " ELSE 1 END"
-SCORES = (
-    MW
-    + ", sr AS (SELECT isin, nature, manager, family_id, " + ", ".join(f"{_rank(m)} AS {m}" for m in S.MEASURES) + " FROM mw), "
-    + "bs AS (SELECT isin, part, nature, manager, family_id, (" + " + ".join(f"{m} * {_case('part', {p: w[m] for p, w in S.WEIGHTS.items()})}" for m in S.MEASURES)
-    + ") * " + _case("part || '/' || nature", {f"{p}/{n}": f for p, t in S.BONUS.items() for n, f in t.items()}) + " AS base FROM sr CROSS JOIN (VALUES ('Defensiva'), ('Equilibrada'), ('Dinamica')) v(part)), "
-    + f"ex AS (SELECT isin, part, CASE WHEN max_drawdown < {_case('part', S.DRAWDOWN_LIMIT)} THEN 'max_drawdown' WHEN return_real < {_case('part', S.RETURN_LIMIT)} THEN 'return_real' WHEN part = 'Defensiva' AND srri_nav > 5 THEN 'srri' WHEN part = 'Defensiva' AND credit_quality = 'High Yield' THEN 'credit_quality' END AS reason FROM mw CROSS JOIN (VALUES ('Defensiva'), ('Equilibrada'), ('Dinamica')) v(part)), "
-    + "ml AS (SELECT isin, round(CASE WHEN alpha_persistence > 0.6 THEN 1.10::DOUBLE ELSE 1 END, 4) AS multiplier FROM mw), "
-    + "sc AS (SELECT isin, part, nature, manager, family_id, round(base, 6) AS base, multiplier, reason, CASE WHEN reason IS NULL THEN round(base * multiplier, 6) ELSE 0 END AS total FROM bs JOIN ml USING (isin) JOIN ex USING (isin, part))"
-)
+PARTS_SQL = "(VALUES ('Defensiva'), ('Equilibrada'), ('Dinamica')) v(part)"
+BETAS = {"beta_oil": "f_oil", "beta_rate": "f_rate", "beta_spread": "f_spread", "beta_vix": "f_vix"}
+# Fixed values, written out: this SQL must not follow the code.
+SCORES = MW + f""", {WIDE}, {FRAME}, {FX}, lr AS (SELECT isin, date, count(*) OVER (PARTITION BY isin) AS k, ln(nav / lag(nav) OVER (PARTITION BY isin ORDER BY date)) AS r FROM nav),
+fb AS (SELECT isin, round(regr_slope(r, f_oil), 6) AS beta_oil, round(regr_slope(r, f_rate), 6) AS beta_rate, round(regr_slope(r, f_spread), 6) AS beta_spread, round(regr_slope(r, f_vix), 6) AS beta_vix,
+ round(greatest(regr_r2(r, f_oil), regr_r2(r, f_rate), regr_r2(r, f_spread), regr_r2(r, f_vix)), 6) AS macro_r2 FROM lr JOIN fr USING (date) WHERE r IS NOT NULL GROUP BY isin HAVING count(*) >= 60),
+xr AS (SELECT currency, date, ln(rate / lag(rate) OVER (PARTITION BY currency ORDER BY date)) AS fx FROM fx WHERE rate IS NOT NULL),
+xg AS (SELECT isin, pow(1 + avg(fx), 12) - 1 AS fx_ann, pow(1 + avg(r), 12) - 1 AS t FROM lr JOIN master USING (isin) JOIN xr USING (currency, date) WHERE hedging IS NULL AND currency <> 'EUR' AND r IS NOT NULL AND fx IS NOT NULL GROUP BY isin HAVING count(*) >= 24),
+xf AS (SELECT isin, round(CASE WHEN abs(t) > 1e-6 THEN greatest(-5, least(5, fx_ann / t)) ELSE 0 END, 5) AS fx_pct FROM xg),
+rt AS (SELECT isin, regime, count(*) AS n_obs, round((exp(avg(r) * 12) - 1) * 100, 5) AS return_regime FROM lr JOIN rg USING (date) WHERE r IS NOT NULL AND k >= 36 GROUP BY isin, regime HAVING count(*) >= 12),
+rq AS (SELECT regime, quantile_cont(return_regime, 0.25) AS p25, quantile_cont(return_regime, 0.75) AS p75 FROM rt GROUP BY regime),
+ft AS (SELECT mw.isin, regime, alpha_persistence, beta_oil, beta_rate, beta_spread, beta_vix, macro_r2, fx_pct, n_obs, return_regime, p25, p75 FROM mw
+ CROSS JOIN (VALUES ('Crisis_Financiera'), ('Shock_Energetico'), ('Estanflacion'), ('Contraccion'), ('Recalentamiento_Tardio'), ('Recalentamiento'), ('Expansion')) e(regime)
+ LEFT JOIN fb USING (isin) LEFT JOIN xf USING (isin) LEFT JOIN rt USING (isin, regime) LEFT JOIN rq USING (regime)),
+ml AS (SELECT isin, regime, round(
+ CASE WHEN regime = 'Crisis_Financiera' AND beta_spread > 0.02 THEN 0.6::DOUBLE WHEN regime = 'Crisis_Financiera' AND beta_spread < -0.01 THEN 1.3 ELSE 1 END
+ * CASE WHEN regime = 'Crisis_Financiera' AND beta_vix > 0.02 THEN 0.6::DOUBLE ELSE 1 END
+ * CASE WHEN regime IN ('Shock_Energetico', 'Estanflacion', 'Recalentamiento') AND beta_oil > 0.01 THEN 1.2::DOUBLE ELSE 1 END
+ * CASE WHEN regime IN ('Recalentamiento_Tardio', 'Shock_Energetico', 'Estanflacion') AND beta_rate < -0.1 THEN 0.7::DOUBLE ELSE 1 END
+ * CASE WHEN abs(fx_pct) > 0.6 THEN 0.8::DOUBLE ELSE 1 END * CASE WHEN alpha_persistence > 0.6 THEN 1.15::DOUBLE ELSE 1 END * CASE WHEN macro_r2 > 0.5 THEN 0.85::DOUBLE ELSE 1 END
+ * CASE WHEN n_obs >= 12 AND return_regime >= p75 THEN 1.2::DOUBLE WHEN n_obs >= 12 AND return_regime <= p25 THEN 0.8 ELSE 1 END, 4) AS multiplier FROM ft),
+sr AS (SELECT isin, nature, manager, family_id, {", ".join(f"{_rank(m)} AS {m}" for m in S.MEASURES)} FROM mw),
+bs AS (SELECT isin, part, nature, manager, family_id,
+ CASE part WHEN 'Defensiva' THEN 0.20::DOUBLE * return_real + 0.25 * sharpe + 0.30 * max_drawdown + 0.15 * alpha_persistence + 0.05 * capture_ratio + 0.05 * momentum_rank
+  WHEN 'Equilibrada' THEN 0.25::DOUBLE * return_real + 0.20 * sharpe + 0.20 * max_drawdown + 0.15 * alpha_persistence + 0.10 * capture_ratio + 0.10 * momentum_rank
+  ELSE 0.30::DOUBLE * return_real + 0.15 * sharpe + 0.15 * max_drawdown + 0.15 * alpha_persistence + 0.15 * capture_ratio + 0.10 * momentum_rank END
+ * CASE part || '/' || nature WHEN 'Defensiva/Monetario' THEN 1.25::DOUBLE WHEN 'Defensiva/Renta Fija Corto Plazo' THEN 1.1 WHEN 'Equilibrada/Mixtos' THEN 1.1 WHEN 'Equilibrada/Renta Fija Flexible' THEN 0.95
+  WHEN 'Dinamica/Renta Variable' THEN 1.1 WHEN 'Dinamica/Alternativo' THEN 1.05 WHEN 'Dinamica/Mixtos' THEN 0.95 ELSE 1 END AS base FROM sr CROSS JOIN {PARTS_SQL}),
+ex AS (SELECT isin, part, CASE WHEN max_drawdown < CASE part WHEN 'Defensiva' THEN -0.2::DOUBLE WHEN 'Equilibrada' THEN -0.3 ELSE -0.4 END THEN 'max_drawdown'
+ WHEN return_real < CASE part WHEN 'Defensiva' THEN -0.05::DOUBLE WHEN 'Equilibrada' THEN -0.02 ELSE 0 END THEN 'return_real'
+ WHEN part = 'Defensiva' AND srri_nav > 5 THEN 'srri' WHEN part = 'Defensiva' AND credit_quality = 'High Yield' THEN 'credit_quality' END AS reason FROM mw CROSS JOIN {PARTS_SQL}),
+sc AS (SELECT isin, part, nature, manager, family_id, round(base, 6) AS base, multiplier, reason, CASE WHEN reason IS NULL THEN round(base * multiplier, 6) ELSE 0 END AS total
+ FROM bs JOIN (SELECT isin, multiplier FROM ml WHERE regime = 'Expansion') USING (isin) JOIN ex USING (isin, part))"""
 NEED = ("nav", "macro", "master", "rk")
 
 
-def scores(s, d):
-    wide = metrics_wide(s, d)
-    flat = wide.withColumns({c: F.lit(None).cast("double") for c in ("beta_spread", "beta_vix", "beta_oil", "beta_rate", "fx_pct", "macro_r2")})
-    out = S.score(flat, "Expansion").join(wide.select("isin", "manager", "family_id"), "isin")
-    return out.select("isin", "part", "nature", "manager", "family_id", F.round("base", 6).alias("base"), "multiplier", "reason", F.round("total", 6).alias("total"))
+def features(s, d, wide):
+    """``wide`` with the funds' betas, explained share and currency share."""
+    panel, master = T.nav(s, d), T.master(s, d)
+    betas = M.factor_betas(panel, factor_frame(s, d), BETAS).select("isin", *[F.round(c, 6).alias(c) for c in (*BETAS, "macro_r2")])
+    fx = M.fx_decomposition(panel, master, M.fx_rates(T.macro(s, d))).select("isin", F.round("fx_pct", 5).alias("fx_pct"))
+    return wide.join(betas, "isin", "left").join(fx, "isin", "left")
+
+
+def regime_returns(s, d):
+    """(isin, regime, n_obs, return_regime, p25, p75)."""
+    own = M.regime_stats(T.nav(s, d), regimes(s, d)).select("isin", "regime", "n_obs", F.round("return_ann", 5).alias("return_regime"))
+    own = stored(own, "regime-returns")
+    quartiles = own.groupBy("regime").agg(F.percentile("return_regime", 0.25).alias("p25"), F.percentile("return_regime", 0.75).alias("p75"))
+    return own.join(quartiles, "regime")
+
+
+def scores(s, d, wide=None):
+    wide = stored(metrics_wide(s, d), "measures") if wide is None else wide
+    flat = features(s, d, wide).join(regime_returns(s, d).where("regime = 'Expansion'").drop("regime"), "isin", "left")
+    out = S.score(flat, "Expansion", p25=F.col("p25"), p75=F.col("p75")).join(wide.select("isin", "manager", "family_id"), "isin")
+    out = out.select("isin", "part", "nature", "manager", "family_id", F.round("base", 6).alias("base"), "multiplier", "reason", F.round("total", 6).alias("total"))
+    return stored(out, "scores")
+
+
+def multipliers(s, d):
+    """Of every fund in every regime."""
+    wide = features(s, d, metrics_wide(s, d).select("isin", "alpha_persistence"))
+    each = wide.withColumn("regime", F.explode(F.array(*map(F.lit, M.REGIMES)))).join(regime_returns(s, d).drop("p25", "p75"), ["isin", "regime"], "left")
+    each = each.join(regime_returns(s, d).select("regime", "p25", "p75").distinct(), "regime", "left")
+    return S.multiplier(each, F.col("regime"), p25=F.col("p25"), p75=F.col("p75"), keys=("isin", "regime"))
 
 
 query("metrics_wide", sql(f"{MW} SELECT isin, nature, sharpe, max_drawdown, srri_nav, return_real, alpha_persistence, capture_ratio, momentum_rank FROM mw", *NEED))(
@@ -63,9 +112,7 @@ query("metrics_wide", sql(f"{MW} SELECT isin, nature, sharpe, max_drawdown, srri
 query("score_base", sql(f"{SCORES} SELECT isin, part, nature, round(base, 6) AS base FROM bs", *NEED))(lambda s, d: S.base_scores(metrics_wide(s, d)).withColumn("base", F.round("base", 6)))
 query("score_hard_filters", sql(f"{SCORES} SELECT isin, part, reason FROM ex", *NEED))(lambda s, d: S.exclusion(metrics_wide(s, d)))
 query("score_funds", sql(f"{SCORES} SELECT isin, part, nature, base, multiplier, reason, total FROM sc", *NEED))(lambda s, d: scores(s, d).drop("manager", "family_id"))
-query("score_regime_multiplier", sql(f"{SCORES} SELECT isin, multiplier FROM ml", *NEED))(
-    lambda s, d: S.multiplier(metrics_wide(s, d).withColumns({c: F.lit(None).cast("double") for c in ("beta_spread", "beta_vix", "beta_oil", "beta_rate", "fx_pct", "macro_r2")}), "Expansion")
-)
+query("score_regime_multiplier", sql(f"{SCORES} SELECT isin, regime, multiplier FROM ml", *NEED))(multipliers)
 query("fn_json")(lambda s, d: scores(s, d).select("isin", "part", F.to_json(F.struct("base", "multiplier", "reason")).alias("detail")))
 query("best_per_family", sql(f"{SCORES} SELECT isin, part, family_id, total FROM sc QUALIFY row_number() OVER (PARTITION BY family_id, part ORDER BY total DESC, isin) = 1", *NEED))(lambda s, d: S.best_per_family(scores(s, d)).select("isin", "part", "family_id", "total"))
 query("topk_per_group", sql(f"{SCORES} SELECT isin, part, total FROM sc QUALIFY row_number() OVER (PARTITION BY part ORDER BY total DESC, isin) <= 10", *NEED))(
@@ -92,9 +139,9 @@ def weights_master(s, d):
 TOP = f"{SCORES}, tp AS (SELECT isin, part, nature, total FROM sc WHERE total > 0 QUALIFY row_number() OVER (PARTITION BY part ORDER BY total DESC, isin) <= 10)"
 
 
-def top(s, d):
+def top(s, d, scored=None):
     w = Window.partitionBy("part").orderBy(F.desc("total"), "isin")
-    return scores(s, d).where("total > 0").withColumn("k", F.row_number().over(w)).where("k <= 10").select("isin", "part", "nature", "total")
+    return (scores(s, d) if scored is None else scored).where("total > 0").withColumn("k", F.row_number().over(w)).where("k <= 10").select("isin", "part", "nature", "total")
 
 
 PORTFOLIO = TOP + ", pw AS (SELECT isin, sum(total) / (SELECT sum(total) FROM tp) AS weight FROM tp GROUP BY isin), ix AS (SELECT isin, date, nav, year(date) * 12 + month(date) AS m FROM nav), fw AS (SELECT a.isin, a.date, h, b.nav / a.nav - 1 AS ret FROM ix a CROSS JOIN (VALUES (1), (3), (12)) v(h) JOIN ix b ON a.isin = b.isin AND b.m = a.m + h)"
@@ -111,7 +158,7 @@ BENCH = "bn AS (SELECT date, h, avg(ret) AS bench FROM (SELECT * FROM fw QUALIFY
 query("equal_weight_benchmark", sql(f"{PORTFOLIO}, {BENCH} SELECT date, h, round(bench, 6) AS bench FROM bn", *NEED))(lambda s, d: S.equal_weight(S.forward_returns(T.nav(s, d))).select("date", "h", F.round("bench", 6).alias("bench")))
 
 
-@query("evaluate_by_regime", sql(f"{PORTFOLIO}, {BENCH}, pf AS (SELECT date, h, sum(weight * ret) / sum(weight) AS ret FROM fw JOIN pw USING (isin) GROUP BY date, h), {WIDE} SELECT regime, h, count(*) AS months, round(avg(ret), 6) AS ret, round(avg(bench), 6) AS bench, round(avg(ret - bench), 6) AS excess, round(avg(CASE WHEN ret > bench THEN 1.0 ELSE 0.0 END), 6) AS hit FROM pf JOIN bn USING (date, h) JOIN rg USING (date) GROUP BY regime, h", *NEED))
+@query("evaluate_by_regime", sql(f"{PORTFOLIO}, {BENCH}, pf AS (SELECT date, h, sum(weight * ret) / sum(weight) AS ret FROM fw JOIN pw USING (isin) GROUP BY date, h) SELECT regime, h, count(*) AS months, round(avg(ret), 6) AS ret, round(avg(bench), 6) AS bench, round(avg(ret - bench), 6) AS excess, round(avg(CASE WHEN ret > bench THEN 1.0 ELSE 0.0 END), 6) AS hit FROM pf JOIN bn USING (date, h) JOIN rg USING (date) GROUP BY regime, h", *NEED))
 def evaluate_by_regime(s, d):
     forward = S.forward_returns(T.nav(s, d))
     out = S.evaluate(S.portfolio_returns(portfolio(s, d), forward), S.equal_weight(forward), regimes(s, d))
@@ -150,23 +197,37 @@ query("lookup_default", sql(f", {COST_SQL} SELECT isin, nature, coalesce(exit_co
 PLAN = f"{TOP}, {COST_SQL}, hd AS (SELECT isin, part, nature, total FROM sc WHERE total > 0 QUALIFY row_number() OVER (PARTITION BY part ORDER BY isin) <= 10), lv AS (SELECT * FROM hd ANTI JOIN tp USING (part, isin)), nw AS (SELECT * FROM tp ANTI JOIN hd USING (part, isin)), pp AS (SELECT lv.part, lv.isin AS out_isin, nw.isin AS in_isin, nw.total - lv.total AS gain, lv.total AS ot, coalesce(x.exit_cost, 0.005) + coalesce(y.entry_cost, 0.005) + 0.001 AS cost FROM lv JOIN nw USING (part) LEFT JOIN co x ON x.nature = lv.nature LEFT JOIN co y ON y.nature = nw.nature)"
 
 
-def held(s, d):
-    return scores(s, d).where("total > 0").withColumn("k", F.row_number().over(Window.partitionBy("part").orderBy("isin"))).where("k <= 10").select("isin", "part", "nature", "total")
+def held(scored):
+    return scored.where("total > 0").withColumn("k", F.row_number().over(Window.partitionBy("part").orderBy("isin"))).where("k <= 10").select("isin", "part", "nature", "total")
 
 
-query("rotation_plan", sql(f"{PLAN} SELECT part, out_isin, min_by(in_isin, (-gain, in_isin)) AS in_isin, round(max(gain), 6) AS gain FROM pp WHERE gain > cost / greatest(ot, 0.01) + 0.05 GROUP BY part, out_isin", *NEED))(
-    lambda s, d: S.rotation_plan(held(s, d), top(s, d), costs(s)).select("part", "out_isin", "in_isin", F.round("gain", 6).alias("gain"))
-)
-query("cross_pairs_best", sql(f"{PLAN} SELECT part, out_isin, count(*) AS pairs, round(max(gain), 6) AS best FROM pp GROUP BY part, out_isin", *NEED))(
-    lambda s, d: held(s, d).join(top(s, d), ["part", "isin"], "left_anti").alias("a").join(top(s, d).join(held(s, d), ["part", "isin"], "left_anti").alias("b"), "part").groupBy("part", F.col("a.isin").alias("out_isin")).agg(F.count("*").alias("pairs"), F.round(F.max(F.col("b.total") - F.col("a.total")), 6).alias("best"))
-)
-query("rotation_decision", sql(f"{PLAN} SELECT part, out_isin, in_isin, gain > cost / greatest(ot, 0.01) + 0.05 AS rotate FROM pp", *NEED))(lambda s, d: decisions(s, d))
+@query("rotation_plan", sql(f"{PLAN} SELECT part, out_isin, min_by(in_isin, (-gain, in_isin)) AS in_isin, round(max(gain), 6) AS gain FROM pp WHERE gain > cost / greatest(ot, 0.01) + 0.05 GROUP BY part, out_isin", *NEED))
+def rotation_plan(s, d):
+    scored = scores(s, d)
+    return S.rotation_plan(held(scored), top(s, d, scored), costs(s)).select("part", "out_isin", "in_isin", F.round("gain", 6).alias("gain"))
+
+
+def leaving(scored, best):
+    return held(scored).join(best, ["part", "isin"], "left_anti").select("part", F.col("isin").alias("out_isin"), F.col("total").alias("ot"), F.col("nature").alias("nature_out"))
+
+
+def entering(scored, best):
+    return best.join(held(scored), ["part", "isin"], "left_anti").select("part", F.col("isin").alias("in_isin"), F.col("total").alias("it"), F.col("nature").alias("nature_in"))
 
 
-def decisions(s, d):
-    a = held(s, d).join(top(s, d), ["part", "isin"], "left_anti").select("part", F.col("isin").alias("out_isin"), F.col("total").alias("ot"), F.col("nature").alias("nature_out"))
-    b = top(s, d).join(held(s, d), ["part", "isin"], "left_anti").select("part", F.col("isin").alias("in_isin"), F.col("total").alias("it"), F.col("nature").alias("nature_in"))
-    p = S.rotation_cost(a.join(b, "part"), costs(s))
+@query("cross_pairs_best", sql(f"{PLAN} SELECT part, out_isin, count(*) AS pairs, round(max(gain), 6) AS best FROM pp GROUP BY part, out_isin", *NEED))
+def cross_pairs_best(s, d):
+    scored = scores(s, d)
+    best = top(s, d, scored)
+    pairs = leaving(scored, best).join(entering(scored, best), "part")  # at most ten of each a part
+    return pairs.groupBy("part", "out_isin").agg(F.count("*").alias("pairs"), F.round(F.max(F.col("it") - F.col("ot")), 6).alias("best"))
+
+
+@query("rotation_decision", sql(f"{PLAN} SELECT part, out_isin, in_isin, gain > cost / greatest(ot, 0.01) + 0.05 AS rotate FROM pp", *NEED))
+def rotation_decision(s, d):
+    scored = scores(s, d)
+    best = top(s, d, scored)
+    p = S.rotation_cost(leaving(scored, best).join(entering(scored, best), "part"), costs(s))
     return p.select("part", "out_isin", "in_isin", S.worth_rotating(F.col("it") - F.col("ot"), F.col("cost"), F.col("ot")).alias("rotate"))
 
 
@@ -182,8 +243,13 @@ def curve_drawdown(s, d):
     return c.select("date", F.round(F.col("v") / F.max("v").over(M.calendar()) - 1, 6).alias("dd"))
 
 
+def holdings(s, d, wide):
+    chosen = top(s, d, scores(s, d, wide))
+    return chosen.join(wide.drop("nature"), "isin").select("part", "isin", "fund_name", "manager", "sharpe", "max_drawdown", "return_real", "total")
+
+
 query("report_holdings", sql(f"{TOP} SELECT part, isin, fund_name, manager, sharpe, max_drawdown, return_real, total FROM tp JOIN mw USING (isin, nature)", *NEED))(
-    lambda s, d: top(s, d).join(metrics_wide(s, d).drop("nature"), "isin").select("part", "isin", "fund_name", "manager", "sharpe", "max_drawdown", "return_real", "total")
+    lambda s, d: holdings(s, d, stored(metrics_wide(s, d), "measures"))
 )
 PRES = ["max_drawdown", "pct_severe", "pct_positive", "sharpe"]
 

@@ -18,7 +18,7 @@ def inc_nav_upsert(s, d):
     return I.upsert_stream(s, source, "isin long, at timestamp, nav double")
 
 
-@Q("inc_log_counts")
+@Q("inc_log_counts", "SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS start, event_type AS status, count(*) AS n FROM events GROUP BY ALL")
 def inc_log_counts(s, d):
     source = shared_path(s, "log-files")
     T.read(s, d, "events").select("ts", F.col("event_type").alias("status")).write.parquet(source)

@@ -38,7 +38,17 @@ cur = lambda s, d: names(s, d).select("id", F.concat(F.lit("Inversion 10.000 "),
 Q("txt_currency_detect", f"SELECT id, regexp_extract(t, '10\\.000\\s*(EUR|USD|GBP)', 1) AS currency FROM ({CUR})")(lambda s, d: cur(s, d).select("id", F.regexp_extract("t", r"10\.000\s*(EUR|USD|GBP)", 1).alias("currency")))
 MARKERS = {"en": ["the", "and", "of"], "fr": ["les", "des", "un"], "de": ["und", "der", "die"], "es": ["los", "las", "que"]}
 _hits = lambda words: " + ".join(f"CAST(regexp_matches(lower(text), '(^|[^\\p{{L}}]){w}([^\\p{{L}}]|$)') AS INTEGER)" for w in words)
-Q("txt_language_detect", "SELECT doc_id, CASE " + " ".join(f"WHEN {_hits(w)} >= 2 THEN '{k}'" for k, w in MARKERS.items()) + " END AS found FROM documents")(lambda s, d: docs(s, d).select("doc_id", X.language(c("text"), MARKERS).alias("found")))
+# Markers of texts whose words run together.
+FUSED = {
+    "es": ["documentodedatos", "informacionfundamental", "perfilderiesgo", "elfondo", "rentabilidad", "productodeinversion"],
+    "en": ["keyinformation", "fundamentalinformation", "riskprofile", "thefund"],
+}
+_marks = lambda t: " ".join("WHEN " + " + ".join(f"CAST(regexp_matches({t}, '(^|[^\\p{{L}}]){w}([^\\p{{L}}]|$)') AS INTEGER)" for w in words) + f" >= 2 THEN '{k}'" for k, words in MARKERS.items())
+_BARE = "regexp_replace(strip_accents(lower(text)), '[ \\n\\r]', '', 'g')"
+_joined = " ".join("WHEN " + " + ".join(f"CAST(contains({_BARE}, '{w}') AS INTEGER)" for w in words) + f" >= 2 THEN '{k}'" for k, words in FUSED.items())
+Q("txt_language_detect", f"SELECT doc_id, CASE {_marks('lower(text)')} {_marks('strip_accents(lower(text))')} {_joined} END AS found FROM documents")(
+    lambda s, d: docs(s, d).select("doc_id", X.language(c("text"), MARKERS, FUSED).alias("found"))
+)
 Q("txt_published_date", "SELECT o_orderkey, CAST(try_strptime(regexp_extract(t, 'published on (\\d{2}/\\d{2}/\\d{4})', 1), '%d/%m/%Y') AS DATE) AS published FROM (SELECT o_orderkey, 'Key facts, published on ' || strftime(o_orderdate, '%d/%m/%Y') || ' by us' AS t FROM orders)")(
     lambda s, d: T.read(s, d, "orders").select("o_orderkey", F.concat(F.lit("Key facts, published on "), F.date_format("o_orderdate", "dd/MM/yyyy"), F.lit(" by us")).alias("t")).select("o_orderkey", F.try_to_timestamp(F.regexp_extract("t", r"published on (\d{2}/\d{2}/\d{4})", 1), F.lit("dd/MM/yyyy")).cast("date").alias("published"))
 )
@@ -116,8 +126,7 @@ Q("block_classify", "SELECT id, block, CASE block WHEN 'money' THEN 'cash' WHEN
     lambda s, d: X.last_block(names(s, d), BLOCKS, "id", "name").join(names(s, d), "id").select("id", "block", F.when(c("block") == "money", "cash").when(c("block") == "bonds", F.when(c("p_size") < 20, "short").otherwise("long")).when(c("block") == "shares", F.when(c("name").contains("EUR"), "Europe").otherwise("Global")).when(c("block") == "mixed", "balanced").alias("kind"))
 )
 Q("attr_impute_cascade", f"SELECT id, coalesce(CASE WHEN contains(name, 'EUR') THEN 'Europe' WHEN contains(name, 'USD') THEN 'America' END, CASE WHEN id % 6 = 0 THEN 'World' END, 'Unknown') AS geography FROM ({NAMES})")(lambda s, d: names(s, d).select("id", X.layers(X.first_label(c("name"), [("Europe", ["EUR"]), ("America", ["USD"])]), F.when(c("id") % 6 == 0, "World"), F.lit("Unknown")).alias("geography")))
-ACC = "translate(lower(text), 'áàâäãåéèêëíìîïóòôöõúùûüñç', 'aaaaaaeeeeiiiiooooouuuunc')"
-Q("fn_accent_fold", f"SELECT doc_id, substr({ACC}, 1, 120) AS folded FROM documents")(lambda s, d: docs(s, d).select("doc_id", F.substring(X.fold_accents(F.lower("text")), 1, 120).alias("folded")))
+Q("fn_accent_fold", "SELECT doc_id, strip_accents(lower(text)) AS folded FROM documents")(lambda s, d: docs(s, d).select("doc_id", X.fold_accents(F.lower("text")).alias("folded")))
 NUM = "SELECT id, (['1.360', '1.360,00', '1,360.00', '1,5', 'hasta 3,25%', 'x'])[id % 6 + 1] AS t FROM (" + NAMES + ")"
 Q("fn_number_parse", f"SELECT id, CASE t WHEN '1.360' THEN 1360.0 WHEN '1.360,00' THEN 1360.0 WHEN '1,360.00' THEN 1360.0 WHEN '1,5' THEN 1.5 WHEN 'hasta 3,25%' THEN 3.25 END::DOUBLE AS v FROM ({NUM})")(lambda s, d: names(s, d).select("id", X.number(F.get(F.array(*map(F.lit, ("1.360", "1.360,00", "1,360.00", "1,5", "hasta 3,25%", "x"))), (c("id") % 6).cast("int"))).alias("v")))
 Q("fn_code_to_years", f"SELECT id, (id % 12 + 1)::DOUBLE AS years FROM ({NAMES})")(lambda s, d: names(s, d).select("id", X.years(F.concat((c("id") % 12 + 1).cast("string"), F.lit("Y+"))).alias("years")))

@@ -18,6 +18,13 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back: computed once, however often it is used."""
+    path = shared_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def time_value_csv(spark: SparkSession, path: str) -> DataFrame:
     """(date, value) of files with a point for missing values; rows without value are left out."""
     rows = spark.read.csv(path, schema="date date, value double", nullValue=".", mode="PERMISSIVE")

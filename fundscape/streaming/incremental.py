@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..operators.relational import upsert_replace
 from ..sources.files import shared_path
 
 
@@ -14,36 +13,43 @@ def monthly_last(rows: DataFrame) -> DataFrame:
     return rows.groupBy(*key).agg(F.max_by("nav", F.struct("at", "nav")).alias("nav"), F.max("at").alias("at"))
 
 
-def upsert_stream(spark: SparkSession, source: str, schema: str, *, files_per_batch: int = 2) -> DataFrame:
-    """Read (isin, at, nav) files batch by batch and keep a table of monthly last values; the last write wins.
+def _parts(target: str):
+    """A writer of each batch's rows to its own part of a table; a batch that is repeated replaces its part."""
 
-    Each batch merges into a new version of the table in the shared folder; a version is whole before the next begins,
-    so a repeated batch after a failure gives the same result.
-    """
-    target, state = shared_path(spark, "nav-state"), {"version": -1}
-
-    def merge(batch: DataFrame, number: int) -> None:
-        own = batch.sparkSession
-        new = monthly_last(batch)
-        if state["version"] >= 0:
-            old = own.read.parquet(f"{target}/v{state['version']}")
-            both = monthly_last(old.select("isin", "at", "nav").unionByName(new.select("isin", "at", "nav")))
-            new = upsert_replace(old, both.join(new.select("isin", "date"), ["isin", "date"], "left_semi"), "isin", "date")
-        new.write.mode("overwrite").parquet(f"{target}/v{number}")
-        state["version"] = number
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{target}/batch={number}")
 
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(source)
-    query = stream.writeStream.foreachBatch(merge).option("checkpointLocation", shared_path(spark, "nav-offsets")).trigger(availableNow=True).start()
+    return write
+
+
+def _run(spark: SparkSession, rows: DataFrame, mode: str, target: str, offsets: str) -> DataFrame:
+    """Run a stream to its source's present end; the parts written so far, with their ``batch``. A later call with the
+    same folders goes on where this one ended."""
+    nothing = spark.createDataFrame([], rows.schema)
+    nothing.write.mode("overwrite").parquet(f"{target}/batch=-1")
+    query = rows.writeStream.foreachBatch(_parts(target)).outputMode(mode).option("checkpointLocation", offsets).trigger(availableNow=True).start()
     query.awaitTermination()
-    return spark.read.parquet(f"{target}/v{state['version']}").select("isin", "date", "nav")
+    schema = nothing.withColumn("batch", F.lit(0).cast("long")).schema
+    return spark.read.schema(schema).parquet(target)
+
 
+def upsert_stream(spark: SparkSession, source: str, schema: str, *, target: str | None = None, offsets: str | None = None, files_per_batch: int = 2) -> DataFrame:
+    """(isin, date, nav): monthly last values of (isin, at, nav) files read batch by batch; the last write wins.
 
-def log_counts(spark: SparkSession, source: str, schema: str, *, window: str = "1 day", late: str = "2 days") -> DataFrame:
-    """(start, status, n): tumbling counts of (ts, status) events; windows end once the watermark has passed them."""
-    out = shared_path(spark, "log-counts")
+    A batch adds its rows as one part, nothing is rewritten, and parts are merged by (fund, month) where they are read.
+    All state lies in ``target`` and ``offsets``, so a restarted stream keeps the earlier table.
+    """
+    target, offsets = target or shared_path(spark, "nav-state"), offsets or shared_path(spark, "nav-offsets")
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(source)
+    parts = _run(spark, stream.select("isin", "at", "nav"), "append", target, offsets)
+    return monthly_last(parts).select("isin", "date", "nav")
+
+
+def log_counts(spark: SparkSession, source: str, schema: str, *, window: str = "1 day", late: str = "2 days", target: str | None = None, offsets: str | None = None) -> DataFrame:
+    """(start, status, n): tumbling counts of (ts, status) events. Every batch writes the counts that it changed, so open
+    windows are in the result as well; the watermark only bounds the state that is kept."""
+    target, offsets = target or shared_path(spark, "log-counts"), offsets or shared_path(spark, "log-offsets")
     events = spark.readStream.schema(schema).parquet(source).withWatermark("ts", late)
     counts = events.groupBy(F.window("ts", window), "status").agg(F.count("*").alias("n"))
-    rows = counts.select(F.col("window.start").alias("start"), "status", "n")
-    query = rows.writeStream.format("parquet").option("path", out).option("checkpointLocation", shared_path(spark, "log-offsets")).outputMode("append").trigger(availableNow=True).start()
-    query.awaitTermination()
-    return spark.read.schema("start timestamp, status string, n long").parquet(out)
+    parts = _run(spark, counts.select(F.col("window.start").alias("start"), "status", "n"), "update", target, offsets)
+    return parts.groupBy("start", "status").agg(F.max_by("n", "batch").alias("n"))
