@@ -33,13 +33,21 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(*tables: DataFrame) -> None:
+    """Delete the folders of tables that ``cut`` wrote. Only once all that reads them has itself been written."""
+    for table in tables:
+        for folder in {file.rsplit("/", 1)[0] for file in table.inputFiles()}:
+            path = table.sparkSession._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The bytes of a string column end to end, and where each row's begin (one more at the end). Null is empty."""
+    """The bytes of a string or binary column end to end, and where each row's begin (one more at the end). Null is empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    column = column.cast(pa.large_string())
+    column = column.cast(pa.large_binary())
     if column.null_count:
-        column = column.fill_null("")
+        column = column.fill_null(b"")
     _, offsets, data = column.buffers()
     at = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
     raw = np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8)

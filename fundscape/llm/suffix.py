@@ -12,8 +12,9 @@ One index of all texts would not fit a cluster's tasks, so strings are first rou
    the run-length Burrows-Wheeler transform of a batch, samples the match length with the neighbour suffix at each
    run's ends, and streams these along the text: between sampled positions the length falls by one per byte. That is
    each position's longest match with any other; where it is ``length`` or more, the window is repeated.
-4. An anchor with more than ``HOT`` different segments would be too much for one task; the windows of its segments are
-   counted by Spark instead, with the same result: first in a sketch of fixed size, then run by run.
+4. An anchor with more than ``HOT`` different segments would be too much for one task. These segments are taken as texts
+   and routed again, by anchors of 120 bytes and then, if these are hot too, of one byte less than ``length``. Segments of
+   such an anchor have two windows at most and differ in one byte at either end, so they are few whatever the input.
 5. A document's repeated windows are merged to spans and cut out.
 
 Texts and segments are told apart by 64-bit hashes. Null texts are empty. Rows that share doc_id and text are repeats of
@@ -31,12 +32,11 @@ from pyspark.sql import DataFrame, functions as F
 
 from .common import byte_prefix, cut, row_slices, span_hash, utf8
 
-GRAM = 40
+#: Bytes of an anchor, by level; the last level's have a byte less than the windows.
+GRAMS = (40, 120)
 CHUNK = 1 << 22
-#: Bytes of segments in one index, and segments of one anchor from which windows are counted instead.
+#: Bytes of segments in one index, and segments of one anchor from which they are routed again.
 INDEX_BYTES, HOT = 1 << 19, 1000
-#: Cells of the sketch of windows, and the pieces in which it is merged.
-CELLS, SLICES = 1 << 25, 64
 LOW = (1 << 24) - 1
 SEGMENT = "doc_id long, text_hash long, anchor long, content long, start long, windows int"
 
@@ -54,8 +54,8 @@ def _anchors(h: np.ndarray, width: int) -> np.ndarray:
     return LOW - (low & np.uint64(LOW)).astype(np.int64)
 
 
-def _segments(length: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    width = length - GRAM + 1
+def _segments(length: int, gram: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    width = length - gram + 1
     for batch in batches:
         data, offsets = utf8(batch.column(2))
         doc_ids, hashes = batch.column(0), batch.column(1)
@@ -65,8 +65,8 @@ def _segments(length: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Rec
                 continue
             bounds = offsets[i : j + 1] - offsets[i]
             sums = byte_prefix(own)
-            first = np.arange(len(own) - GRAM + 1)
-            grams = span_hash(sums, first, first + GRAM)
+            first = np.arange(len(own) - gram + 1)
+            grams = span_hash(sums, first, first + gram)
             anchor = np.concatenate([_anchors(grams[c : c + CHUNK + width - 1], width) + c for c in range(0, len(own) - length + 1, CHUNK)])
             row = np.repeat(np.arange(j - i), np.diff(bounds))
             starts = np.flatnonzero(row[: len(anchor)] == row[length - 1 : length - 1 + len(anchor)])
@@ -137,7 +137,6 @@ class RunIndex:
         before = symbols[order - 1]  # the transform; position -1 is the last end symbol
         change = np.flatnonzero(before[1:] != before[:-1]) + 1
         self.heads = np.concatenate([[0], change])  # ranks at which runs begin
-        self.run_symbols = before[self.heads]
 
     def common(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Lengths of the longest common prefixes of suffixes, by descent through the ranks."""
@@ -201,84 +200,6 @@ def _match(length: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Record
         yield work(held)
 
 
-def _window_hashes(length: int, text: bytes, windows: int) -> np.ndarray:
-    first = np.arange(windows)
-    return span_hash(byte_prefix(np.frombuffer(text, np.uint8)), first, first + length)
-
-
-def _sketch(length: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """What a task has seen, as bits of ``CELLS`` cells in ``SLICES`` pieces: once or more, and twice or more."""
-    once, twice = np.zeros(CELLS, bool), np.zeros(CELLS, bool)
-    for batch in batches:
-        for windows, text in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-            cell = (_window_hashes(length, text, windows) % np.uint64(CELLS)).astype(np.int64)
-            found, n = np.unique(cell, return_counts=True)
-            twice[found] |= once[found] | (n > 1)
-            once[found] = True
-    size = CELLS // SLICES
-    bits = [[np.packbits(x[k * size : (k + 1) * size]).tobytes() for k in range(SLICES)] for x in (once, twice)]
-    if once.any():
-        yield pa.RecordBatch.from_arrays([pa.array(range(SLICES), pa.int32()), *(pa.array(x, pa.binary()) for x in bits)], names=["slice", "once", "twice"])
-
-
-def _merge(rows: pa.Table) -> pa.Table:
-    once = twice = np.zeros(CELLS // SLICES // 8, np.uint8)
-    for a, b in zip(rows["once"].to_pylist(), rows["twice"].to_pylist(), strict=True):
-        a, b = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
-        once, twice = once | a, twice | b | (once & a)
-    return pa.table({"slice": rows["slice"][:1], "twice": pa.array([twice.tobytes()], pa.binary())})
-
-
-def _candidate_runs(length: int, twice: bytes, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per segment the runs of windows that the sketch has seen twice, with a hash of the run's bytes."""
-    seen = np.unpackbits(np.frombuffer(twice, np.uint8)).astype(bool)
-    for batch in batches:
-        out = [[], [], [], [], []]
-        for row, (windows, text) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)):
-            sums = byte_prefix(np.frombuffer(text, np.uint8))
-            for r in _ranges(seen[(_window_hashes(length, text, windows) % np.uint64(CELLS)).astype(np.int64)]):
-                one, end = np.array([r["start"]]), np.array([r["stop"] - 1 + length])
-                for c, v in zip(out, (row, r["start"], r["stop"], int(span_hash(sums, one, end).view(np.int64)[0]), text[r["start"] : r["stop"] - 1 + length]), strict=True):
-                    c.append(v)
-        at = pa.array(out[0], pa.int64())
-        yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), *(pa.array(c, pa.int64()) for c in out[1:4]), pa.array(out[4], pa.binary())], names=["anchor", "content", "start", "stop", "run", "bytes"])
-
-
-def _run_windows(length: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        hashes = [_window_hashes(length, b, len(b) - length + 1).view(np.int64) for b in batch.column(4).to_pylist()]
-        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in range(4)), pa.array(hashes, pa.list_(pa.int64()))], names=["anchor", "content", "start", "run", "hashes"])
-
-
-def _hot(segments: DataFrame, length: int) -> DataFrame:
-    """The same as ``_match`` by counting windows: nothing is gathered by anchor.
-
-    A sketch of fixed size first rules out windows that occur once. What it leaves of a segment are runs, and a run
-    whose bytes occur in another segment too is repeated whole. Only the windows of the other runs are counted singly,
-    each run's bytes standing for those of equal ones.
-    """
-    segments = cut(segments.dropDuplicates(["anchor", "content"]), "hot")
-    slices = segments.mapInArrow(lambda batches: _sketch(length, batches), "slice int, once binary, twice binary")
-    merged = sorted(slices.groupBy("slice").applyInArrow(_merge, "slice int, twice binary").collect())  # SLICES rows of fixed size
-    twice = segments.sparkSession.sparkContext.broadcast(b"".join(r["twice"] for r in merged) or bytes(CELLS // 8))  # CELLS bits
-    schema = "anchor long, content long, start long, stop long, run long, bytes binary"
-    runs_ = cut(segments.mapInArrow(lambda batches: _candidate_runs(length, twice.value, batches), schema), "runs")
-    kinds = runs_.groupBy("run").agg(F.count(F.lit(1)).alias("n"), F.min("bytes").alias("bytes"))
-    kinds = cut(kinds.select("run", "n", "bytes"), "run-kinds")
-    shared = runs_.join(kinds.where("n > 1").select("run"), "run").select("anchor", "content", F.struct("start", "stop").alias("r"))
-    # A window is repeated if two kinds of runs hold it, or one twice; windows of single runs are looked up among all.
-    all_kinds = kinds.select("run", F.lit(None).cast("long").alias("content"), F.lit(0).cast("long").alias("start"), "run", "bytes").toDF("anchor", "content", "start", "run", "bytes")
-    each = all_kinds.mapInArrow(lambda batches: _run_windows(length, batches), "anchor long, content long, start long, run long, hashes array<long>")
-    each = each.select("run", F.posexplode("hashes").alias("at", "hash"))
-    often = cut(each.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("hash"), "often")
-    single = runs_.join(kinds.where("n = 1").select("run"), "run").select("anchor", "content", "start", "run", "bytes")
-    single = single.mapInArrow(lambda batches: _run_windows(length, batches), "anchor long, content long, start long, run long, hashes array<long>")
-    single = single.select("anchor", "content", "start", F.posexplode("hashes").alias("at", "hash")).join(often, "hash")
-    at = (F.col("start") + F.col("at")).cast("long")
-    single = single.select("anchor", "content", F.struct(at.alias("start"), (at + 1).alias("stop")).alias("r"))
-    return shared.union(single).groupBy("anchor", "content").agg(F.collect_set("r").alias("ranges"))  # runs of one segment
-
-
 def _cut_out(length: int, keep_bytes: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, offsets = utf8(batch.column(1))
@@ -305,23 +226,35 @@ def _cut_out(length: int, keep_bytes: bool, batches: Iterator[pa.RecordBatch]) -
 
 def repeated_spans(docs: DataFrame, *, length: int = 200) -> DataFrame:
     """(doc_id, text_hash, ranges): the byte ranges of each document that lie in repeated strings, written."""
-    source = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").where(F.octet_length("text") >= length)
-    segments = cut(source.mapInArrow(lambda batches: _segments(length, batches), SEGMENT), "segments")
+    return _spans(docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text"), length, 0)
+
+
+def _spans(source: DataFrame, length: int, level: int) -> DataFrame:
+    """The repeats among the texts of ``source`` (doc_id, text_hash, text), found by the anchors of a level."""
+    last = level >= len(GRAMS) or GRAMS[level] >= length - 1
+    gram = length - 1 if last else GRAMS[level]
+    source = source.where(F.octet_length("text") >= length)
+    segments = cut(source.mapInArrow(lambda batches: _segments(length, gram, batches), SEGMENT), "segments")
     anchors = segments.groupBy("anchor").agg(F.min("content").alias("lo"), F.max("content").alias("hi"), F.count(F.lit(1)).alias("n")).where("n > 1")
     anchors = cut(anchors.select("anchor", (F.col("lo") < F.col("hi")).alias("mixed")), "anchors")
     repeated = cut(segments.join(anchors, "anchor"), "repeated")
     # Distinct segments of the anchors that have several, with one place each to fetch their bytes from.
     kinds = repeated.where("mixed").groupBy("anchor", "content").agg(F.min(F.struct("doc_id", "text_hash", "start", "windows")).alias("at"), F.count(F.lit(1)).alias("n"))
     kinds = cut(kinds.select("anchor", "content", "n", "at.*"), "kinds")
-    hot = cut(kinds.groupBy("anchor").agg(F.count(F.lit(1)).alias("m")).select("anchor", (F.col("m") > HOT).alias("hot")), "hot")
+    hot = cut(kinds.groupBy("anchor").agg(F.count(F.lit(1)).alias("m")).select("anchor", ((F.col("m") > HOT) & F.lit(not last)).alias("hot")), "hot")
     wanted = kinds.groupBy(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash")).agg(F.collect_list(F.struct("anchor", "content", "start", "windows")).alias("wanted"))
     own = source.join(cut(wanted, "wanted"), F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("text_hash") == F.col("_hash")))
     texts = cut(own.select("text", "wanted").mapInArrow(lambda batches: _fetch(length, batches), "anchor long, content long, windows int, bytes binary"), "texts")
     texts = cut(texts.join(hot, "anchor"), "dealt")
     plain = texts.where("not hot").select("anchor", "content", "windows", "bytes").repartition("anchor").sortWithinPartitions("anchor", "content")
     found = cut(plain.mapInArrow(lambda batches: _match(length, batches), REPEATED), "found")
-    many = _hot(texts.where("hot").select("anchor", "content", "windows", "bytes"), length)
-    parts = cut(found.union(many).where(F.size("ranges") > 0), "parts")
+    many = texts.where("hot")
+    if not many.isEmpty():
+        many = many.select(F.col("anchor").alias("doc_id"), F.col("content").alias("text_hash"), F.col("bytes").alias("text")).dropDuplicates(["doc_id", "text_hash"])
+        windows = F.transform("ranges", lambda r: F.struct(r["start"].alias("start"), (r["stop"] - length + 1).alias("stop")))
+        deeper = _spans(cut(many, "again"), length, level + 1)
+        found = found.union(deeper.select(F.col("doc_id").alias("anchor"), F.col("text_hash").alias("content"), windows.alias("ranges")))
+    parts = cut(found.where(F.size("ranges") > 0), "parts")
     shift = F.transform("ranges", lambda r: F.struct((F.col("start") + r["start"]).alias("start"), (F.col("start") + r["stop"] - 1 + length).alias("stop")))
     whole = F.array(F.struct(F.col("start").alias("start"), (F.col("start") + F.col("windows") - 1 + length).alias("stop")))
     twins = cut(kinds.where("n > 1").select("anchor", "content"), "twins")
