@@ -18,6 +18,12 @@ REGIMES = {
     "Recalentamiento_Tardio": (0.40, 0.40, 0.20), "Recalentamiento": (0.30, 0.40, 0.30), "Expansion": (0.20, 0.45, 0.35),
 }
 SERIES = ["ipc_ES", "ipc_EU", "oil", "cli", "rate", "spread", "vix"]
+#: Further series of the indicator frame.
+MORE = {
+    "copper_GLOBAL": "copper", "ipc_index_US": "ipc_US", "ipc_index_JP": "ipc_JP", "ipc_index_CN": "ipc_CN", "cli_US": "cli_us", "cli_JP": "cli_jp", "cli_CN": "cli_cn", "cli_ES": "cli_es", "rate_policy_US": "rate_us", "rate_policy_JP": "rate_jp",
+    "rate_policy_CN": "rate_cn", "m3_yoy_EU": "m3_yoy", "m2_yoy_US": "m2_yoy_us", "unemployment_US": "unemployment_us", "dxy_GLOBAL": "dxy", "gold_GLOBAL": "gold", "m2_global_yoy_GLOBAL": "m2_global_yoy", "spread_ig_GLOBAL": "spread_ig", "term_spread_US": "term_spread",
+    "fx_usd_eur_GLOBAL": "usd_eur", "fx_jpy_usd_GLOBAL": "jpy_usd", "fx_usd_gbp_GLOBAL": "usd_gbp", "fx_cny_usd_GLOBAL": "cny_usd",
+}
 _NAMES = {"ipc_index_ES": "ipc_ES", "ipc_index_EU": "ipc_EU", "oil_wti_GLOBAL": "oil", "cli_EU": "cli", "rate_deposit_EU": "rate", "spread_hy_GLOBAL": "spread", "vix_GLOBAL": "vix"}
 
 
@@ -42,10 +48,13 @@ def change(c: Column, n: int) -> Column:
 
 def indicators(macro: DataFrame) -> DataFrame:
     """Monthly series with year-on-year rates and differences, null where a month is missing."""
-    w = wide(macro)
+    w = wide(macro, {**_NAMES, **MORE})
+    percent = lambda c: 100 * change(F.col(c), 12)
     return w.select(
         "date", *SERIES, change(F.col("oil"), 12).alias("oil_yoy"), change(F.col("ipc_ES"), 12).alias("ipc_yoy_ES"), change(F.col("ipc_EU"), 12).alias("ipc_yoy_EU"),
         (100 * change(F.col("vix"), 12)).alias("vix_yoy"), (F.col("rate") - F.lag("rate", 3).over(calendar())).alias("d_rate_3m"), (F.col("rate") - F.lag("rate", 1).over(calendar())).alias("d_rate_1m"),
+        *[c for c in MORE.values() if c not in ("copper", "ipc_US", "ipc_JP", "ipc_CN", "dxy", "gold", "spread_ig", "term_spread", "usd_eur", "jpy_usd", "usd_gbp", "cny_usd")],
+        *[percent(c).alias(n) for c, n in (("copper", "copper_yoy"), ("ipc_US", "ipc_yoy_us"), ("ipc_JP", "ipc_yoy_jp"), ("ipc_CN", "ipc_yoy_cn"), ("dxy", "dxy_yoy"), ("gold", "gold_yoy"))],
     ).withColumn("ipc_yoy_avg", (F.coalesce("ipc_yoy_ES", "ipc_yoy_EU") + F.coalesce("ipc_yoy_EU", "ipc_yoy_ES")) / 2)
 
 
@@ -154,6 +163,31 @@ def extend_level(macro: DataFrame, growth: dict[str, float], indicator: str = "m
     return spine.select("geography", "date", value.alias("value"), F.when(F.col("value").isNotNull(), "CALC").otherwise("CALC_EST").alias("label")).where("value is not null")
 
 
+#: The factors of funds' returns, in order.
+FACTORS = [
+    "d_rate_eu", "m3_yoy", "ipc_yoy_es", "ipc_yoy_eu", "ipc_yoy_us", "ipc_yoy_jp", "ipc_yoy_cn", "d_rate_us", "d_rate_jp", "d_rate_cn", "oil_yoy", "copper_yoy", "cli_yoy_eu", "cli_yoy_us",
+    "dxy_yoy", "gold_yoy", "m2_global_yoy", "spread_hy", "spread_ig", "vix_yoy", "term_spread", "eur_jpy_yoy", "eur_gbp_yoy", "eur_cny_yoy",
+]
+
+
+def factor_matrix(macro: DataFrame, *, coverage: float = 0.5) -> DataFrame:
+    """(date, factors): yearly rates in percent, monthly differences of rates, and levels. Factors known in fewer than
+    ``coverage`` of the months are left out, then months that lack any other."""
+    w = wide(macro, {**_NAMES, **MORE})
+    c, yoy = F.col, lambda x: 100 * change(x, 12)
+    diff = lambda x: F.col(x) - F.lag(x).over(calendar())
+    made = {
+        "d_rate_eu": diff("rate"), "m3_yoy": c("m3_yoy"), "ipc_yoy_es": yoy(c("ipc_ES")), "ipc_yoy_eu": yoy(c("ipc_EU")), "ipc_yoy_us": yoy(c("ipc_US")), "ipc_yoy_jp": yoy(c("ipc_JP")), "ipc_yoy_cn": yoy(c("ipc_CN")),
+        "d_rate_us": diff("rate_us"), "d_rate_jp": diff("rate_jp"), "d_rate_cn": diff("rate_cn"), "oil_yoy": yoy(c("oil")), "copper_yoy": yoy(c("copper")), "cli_yoy_eu": yoy(c("cli")), "cli_yoy_us": yoy(c("cli_us")),
+        "dxy_yoy": yoy(c("dxy")), "gold_yoy": yoy(c("gold")), "m2_global_yoy": c("m2_global_yoy"), "spread_hy": c("spread"), "spread_ig": c("spread_ig"), "vix_yoy": yoy(c("vix")), "term_spread": c("term_spread"),
+        "eur_jpy_yoy": yoy(c("jpy_usd") * c("usd_eur")), "eur_gbp_yoy": yoy(c("usd_gbp") / c("usd_eur")), "eur_cny_yoy": yoy(c("cny_usd") / c("usd_eur")),
+    }
+    every = w.select("date", *[made[f].alias(f) for f in FACTORS])
+    known = every.agg(F.count(F.lit(1)).alias("_n"), *[F.count(f).alias(f) for f in FACTORS]).first()  # one row
+    dense = [f for f in FACTORS if known[f] >= coverage * max(1, known["_n"])]
+    return every.select("date", *dense).dropna()
+
+
 def betas(panel: DataFrame, factor: DataFrame, *, least: int = 36) -> DataFrame:
     """(isin, n, beta, alpha, r2) of each fund's log return on one factor (date, x)."""
     by = Window.partitionBy("isin").orderBy("date")

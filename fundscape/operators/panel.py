@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..sources.files import stored
+
 #: Yearly rate without risk, and the monthly return from which a loss is severe.
 RISK_FREE, SEVERE = 0.02, -0.02
 MEASURES = ["ret", "vol", "sharpe", "sortino", "ret_vol", "max_drawdown", "dd_duration", "recovery", "pct_positive", "pct_negative", "pct_severe", "worst_month"]
@@ -114,6 +116,22 @@ def percent_rank_ties(value: str, *groups: str) -> Column:
     return F.when(own.isNotNull(), (F.rank().over(ranked) + (ties - 1) / 2) / size)
 
 
+def percentiles_of_values(rows: DataFrame, value: str, *, descending: bool = False) -> DataFrame:
+    """(value, pct): the mean rank of each distinct value over the number of rows that have one.
+
+    Distinct values are counted, range-partitioned and cumulated partition by partition; no task holds all of them.
+    """
+    order = F.desc(value) if descending else F.asc(value)
+    counts = rows.where(F.col(value).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("_n")).repartitionByRange(order)
+    counts = stored(counts.withColumn("_p", F.spark_partition_id()), "value-counts")
+    sizes = counts.groupBy("_p").agg(F.sum("_n").alias("_s"))  # one row a partition
+    every, so_far = Window.partitionBy(F.lit(0)), Window.partitionBy(F.lit(0)).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select("_p", F.coalesce(F.sum("_s").over(so_far), F.lit(0)).alias("_b"), F.sum("_s").over(every).alias("_t"))
+    inside = F.sum("_n").over(Window.partitionBy("_p").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ranked = counts.join(sizes, "_p").withColumn("_r", F.col("_b") + inside - F.col("_n") + 1)
+    return ranked.select(value, ((F.col("_r") + (F.col("_n") - 1) / 2) / F.col("_t")).alias("pct"))
+
+
 def share_below(value: str, *groups: str) -> Column:
     """Share of the group's values strictly below."""
     ranked = Window.partitionBy(*groups, F.col(value).isNull()).orderBy(value)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .panel import percent_rank_ties
+from .panel import percent_rank_ties, percentiles_of_values
 
 # Weights of the measures, factors of natures, limits; each by part.
 PARTS = ("Defensiva", "Equilibrada", "Dinamica")
@@ -89,6 +89,19 @@ def score(wide: DataFrame, regime: str, *, p25: float | Column | None = None, p7
     return full.withColumn("total", F.when(F.col("reason").isNull(), F.col("base") * F.col("multiplier")).otherwise(0.0))
 
 
+def preservation(measures: DataFrame) -> DataFrame:
+    """(isin, damage, consistent, resilience) of (isin, max_drawdown, worst_month, pct_positive, pct_severe, recovery,
+    crisis): weighted percentiles over all funds, the better the higher; an unknown measure counts 0."""
+    # Parts and weights, and which measures are better low.
+    parts = {"damage": {"max_drawdown": 0.7, "worst_month": 0.3}, "consistent": {"pct_positive": 0.6, "pct_severe": 0.4}, "resilience": {"recovery": 0.6, "crisis": 0.4}}
+    low = ("pct_severe", "recovery")
+    out = measures
+    for measure in (m for weights in parts.values() for m in weights):
+        ranks = percentiles_of_values(measures, measure, descending=measure in low)
+        out = out.join(ranks.withColumnRenamed("pct", f"_{measure}"), measure, "left")
+    return out.select("isin", *[sum((w * F.coalesce(f"_{m}", F.lit(0.0)) for m, w in weights.items()), F.lit(0.0)).alias(p) for p, weights in parts.items()])
+
+
 def best_per_family(scores: DataFrame, family: str = "family_id") -> DataFrame:
     """The best fund of each (family, part); funds without a family all stay."""
     w = Window.partitionBy(family, "part").orderBy(F.desc("total"), "isin")

@@ -130,10 +130,37 @@ def schedule(cells: DataFrame, key: str) -> DataFrame:
     return out.groupBy(key, "years").agg(F.max("amount").alias("amount"), F.max("pct").alias("pct"))
 
 
-def composition(cells: DataFrame, key: str, lines: dict[str, str], *, most: float = 10.0) -> DataFrame:
-    """One column per cost line: its largest percentage within 0 and ``most``."""
-    values = cells.select(key, "label", number(F.get("cells", F.lit(0))).alias("v"))
-    return values.groupBy(key).agg(*[F.max(F.when(F.lower("label").rlike(p) & F.col("v").between(0, most), F.col("v"))).alias(n) for n, p in lines.items()])
+# Labels of the five cost lines, the largest percentage that is believed, and the word in a column's name.
+COST_LINES = {
+    "entry": (r"costes?\s*de\s*entrada|entry\s*(charge|cost)s?", 25.0, "fee"),
+    "exit": (r"costes?\s*de\s*salida|exit\s*(charge|cost)s?", 25.0, "fee"),
+    "management": (r"comisiones?\s*de\s*gesti[oó]n|management\s*(fee|cost)s?", 5.0, "fee"),
+    "transaction": (r"costes?\s*de\s*operaci[oó]n|transaction\s*costs?", 2.0, "cost"),
+    "performance": (r"comisiones?\s*(en\s*funci[oó]n\s*de\s*la\s*rentabilidad|de\s*([eé]xito|rendimiento))|performance\s*fees?", 30.0, "fee"),
+}
+PERCENT = r"(\d+[,.]?\d*)\s*%"
+AT_MOST = r"(?i)(?:hasta|up\s+to|m[aá]ximo|maximum|at\s+most)\s+(?:el\s+)?" + PERCENT
+AMOUNT = r"(\d{1,3}(?:[.,]\d{3})*(?:[.,]\d{1,2})?)\s*(?:EUR|USD|GBP|CHF|€|\$)"
+
+
+def percent(text: Column, pattern: str = PERCENT) -> Column:
+    """The first percentage of a text; its separator is always the decimal one."""
+    return F.replace(F.nullif(F.regexp_extract(text, pattern, 1), F.lit("")), F.lit(","), F.lit(".")).try_cast("double")
+
+
+def composition(cells: DataFrame, key: str) -> DataFrame:
+    """(key, then per cost line pct, max_pct and eur): of a grid's rows (label, cells), the last of each line that has
+    the value. A line is told by the first label pattern that fits; percentages above the line's limit are no costs."""
+    line = F.coalesce(*[F.when(F.col("label").rlike("(?i)" + p), F.lit(n)) for n, (p, _, _) in COST_LINES.items()])
+    whole = F.concat_ws(" ", "label", F.array_join("cells", " "))
+    amounts = F.filter(F.transform("cells", lambda x: number(F.nullif(F.regexp_extract(x, AMOUNT, 1), F.lit("")))), lambda v: v.isNotNull())
+    rows = cells.select(key, "row", line.alias("line"), percent(whole).alias("pct"), percent(whole, AT_MOST).alias("max_pct"), F.get(amounts, F.lit(0)).alias("eur")).where("line is not null")
+    out = []
+    for name, (_, most, word) in COST_LINES.items():
+        for part in ("pct", "max_pct", "eur"):
+            fits = (F.col("line") == name) & (F.col(part) <= most if part != "eur" else F.col(part).isNotNull())
+            out.append(F.max_by(F.when(fits, F.col(part)), F.when(fits, F.col("row"))).alias(f"{name}_{word}_{part}"))
+    return rows.groupBy(key).agg(*out)
 
 
 def clean_benchmark(text: Column, *, least: int = 4) -> Column:

@@ -6,12 +6,13 @@ from pyspark.sql import Window, functions as F
 
 from ..operators import macro as M, panel as P
 from ..sources import tables as T
+from ..sources.files import stored
 from .registry import query
 from .sqlbase import sql
 
 WIDE = """months AS (SELECT CAST(last_day(unnest(generate_series(date_trunc('month', (SELECT min(date) FROM macro)), date_trunc('month', (SELECT max(date) FROM macro)), INTERVAL 1 MONTH))) AS DATE) AS date),
 wd AS (SELECT date, max(value) FILTER (indicator = 'ipc_index' AND geography = 'ES') AS ipc_ES, max(value) FILTER (indicator = 'ipc_index' AND geography = 'EU') AS ipc_EU,
- max(value) FILTER (indicator = 'oil_wti') AS oil, max(value) FILTER (indicator = 'cli') AS cli, max(value) FILTER (indicator = 'rate_deposit') AS rate, max(value) FILTER (indicator = 'spread_hy') AS spread, max(value) FILTER (indicator = 'vix') AS vix,
+ max(value) FILTER (indicator = 'oil_wti') AS oil, max(value) FILTER (indicator = 'cli' AND geography = 'EU') AS cli, max(value) FILTER (indicator = 'rate_deposit') AS rate, max(value) FILTER (indicator = 'spread_hy') AS spread, max(value) FILTER (indicator = 'vix') AS vix,
  max(value) FILTER (indicator = 'fx_usd_eur') AS usd_eur, max(value) FILTER (indicator = 'fx_jpy_usd') AS jpy_usd, max(value) FILTER (indicator = 'fx_usd_gbp') AS usd_gbp, max(value) FILTER (indicator = 'fx_cny_usd') AS cny_usd,
  max(value) FILTER (indicator = 'm2_level' AND geography = 'US') AS us, max(value) FILTER (indicator = 'm2_level' AND geography = 'EU') AS eu, max(value) FILTER (indicator = 'm2_level' AND geography = 'CN') AS cn, max(value) FILTER (indicator = 'm2_level' AND geography = 'JP') AS jp
  FROM months LEFT JOIN macro USING (date) GROUP BY date),
@@ -29,9 +30,24 @@ def regimes(s, d):
     return M.classify(M.indicators(T.macro(s, d)))
 
 
-@query("macro_indicator_frame", sql(f", {WIDE} SELECT date, {R6('ipc_ES', 'oil', 'cli', 'oil_yoy', 'vix_yoy', 'd_rate_3m', 'd_rate_1m', 'ipc_yoy_avg')} FROM ind", "macro"))
+_ONE = lambda i, g, n: f"max(value) FILTER (indicator = '{i}' AND geography = '{g}') AS {n}"
+WIDE_MORE = "wm AS (SELECT date, " + ", ".join(_ONE(*x) for x in (
+    ("copper", "GLOBAL", "copper"), ("ipc_index", "US", "ipc_us"), ("ipc_index", "JP", "ipc_jp"), ("ipc_index", "CN", "ipc_cn"), ("cli", "US", "cli_us"), ("cli", "JP", "cli_jp"), ("cli", "CN", "cli_cn"), ("cli", "ES", "cli_es"),
+    ("rate_policy", "US", "rate_us"), ("rate_policy", "JP", "rate_jp"), ("rate_policy", "CN", "rate_cn"), ("m3_yoy", "EU", "m3_yoy"), ("m2_yoy", "US", "m2_yoy_us"), ("unemployment", "US", "unemployment_us"), ("dxy", "GLOBAL", "dxy"),
+    ("gold", "GLOBAL", "gold"), ("m2_global_yoy", "GLOBAL", "m2_global_yoy"), ("spread_ig", "GLOBAL", "spread_ig"), ("term_spread", "US", "term_spread"),
+)) + " FROM months LEFT JOIN macro USING (date) GROUP BY date)"
+FRAME_COLUMNS = [
+    "oil_yoy", "copper_yoy", "ipc_yoy_avg", "ipc_yoy_es", "ipc_yoy_eu", "ipc_yoy_us", "ipc_yoy_jp", "ipc_yoy_cn", "cli", "cli_us", "cli_jp", "cli_cn", "cli_es", "rate", "d_rate_3m", "rate_us", "rate_jp", "rate_cn",
+    "m3_yoy", "m2_yoy_us", "unemployment_us", "dxy_yoy", "gold_yoy", "m2_global_yoy", "spread", "vix_yoy",
+]
+_Y = lambda c: f"100 * ({c} / lag({c}, 12) OVER w - 1)"
+
+
+@query("macro_indicator_frame", sql(f""", {WIDE}, {WIDE_MORE}, wy AS (SELECT date, {_Y('copper')} AS copper_yoy, {_Y('ipc_us')} AS ipc_yoy_us, {_Y('ipc_jp')} AS ipc_yoy_jp, {_Y('ipc_cn')} AS ipc_yoy_cn, {_Y('dxy')} AS dxy_yoy, {_Y('gold')} AS gold_yoy FROM wm WINDOW w AS (ORDER BY date))
+SELECT date, {R6(*FRAME_COLUMNS)} FROM (SELECT ind.*, y_es AS ipc_yoy_es, y_eu AS ipc_yoy_eu, wm.* EXCLUDE (date), wy.* EXCLUDE (date) FROM ind JOIN wm USING (date) JOIN wy USING (date))""", "macro"))
 def macro_indicator_frame(s, d):
-    return rnd(M.indicators(T.macro(s, d)), "date", "ipc_ES", "oil", "cli", "oil_yoy", "vix_yoy", "d_rate_3m", "d_rate_1m", "ipc_yoy_avg")
+    frame = M.indicators(T.macro(s, d)).withColumnsRenamed({"ipc_yoy_ES": "ipc_yoy_es", "ipc_yoy_EU": "ipc_yoy_eu"})
+    return rnd(frame, "date", *FRAME_COLUMNS)
 
 
 query("regime_classify", sql(f", {WIDE} SELECT date, regime FROM rg", "macro"))(regimes)
@@ -156,13 +172,33 @@ def factor_frame(s, d, coverage=0.5):
 FRAME = "fr AS (SELECT date, ln(oil / lag(oil) OVER w) AS f_oil, ln(vix / lag(vix) OVER w) AS f_vix, cli - lag(cli) OVER w AS f_cli, rate - lag(rate) OVER w AS f_rate, spread - lag(spread) OVER w AS f_spread, ln(ipc_ES / lag(ipc_ES) OVER w) AS f_ipc FROM wd WINDOW w AS (ORDER BY date))"
 
 
-@query("macro_factor_matrix", sql(f", {WIDE}, {FRAME} SELECT date, {R6(*FACTORS)} FROM fr WHERE " + " AND ".join(f"{c} IS NOT NULL" for c in FACTORS), "macro"))
+MATRIX = f"""{WIDE_MORE}, fm AS (SELECT date, rate - lag(rate) OVER w AS d_rate_eu, m3_yoy, {_Y('ipc_ES')} AS ipc_yoy_es, {_Y('ipc_EU')} AS ipc_yoy_eu, {_Y('ipc_us')} AS ipc_yoy_us, {_Y('ipc_jp')} AS ipc_yoy_jp, {_Y('ipc_cn')} AS ipc_yoy_cn,
+ rate_us - lag(rate_us) OVER w AS d_rate_us, rate_jp - lag(rate_jp) OVER w AS d_rate_jp, rate_cn - lag(rate_cn) OVER w AS d_rate_cn, {_Y('oil')} AS oil_yoy, {_Y('copper')} AS copper_yoy, {_Y('cli')} AS cli_yoy_eu, {_Y('cli_us')} AS cli_yoy_us, {_Y('dxy')} AS dxy_yoy, {_Y('gold')} AS gold_yoy,
+ m2_global_yoy, spread AS spread_hy, spread_ig, {_Y('vix')} AS vix_yoy, term_spread, {_Y('ej')} AS eur_jpy_yoy, {_Y('eg')} AS eur_gbp_yoy, {_Y('ec')} AS eur_cny_yoy
+ FROM (SELECT wd.*, wm.* EXCLUDE (date), jpy_usd * usd_eur AS ej, usd_gbp / usd_eur AS eg, cny_usd / usd_eur AS ec FROM wd JOIN wm USING (date)) WINDOW w AS (ORDER BY date))"""
+
+
+@query("macro_factor_matrix", sql(f", {WIDE}, {MATRIX} SELECT date, {R6(*M.FACTORS)} FROM fm WHERE " + " AND ".join(f"{c} IS NOT NULL" for c in M.FACTORS), "macro"))
 def macro_factor_matrix(s, d):
-    return rnd(factor_frame(s, d).dropna(), "date", *FACTORS)
+    return rnd(M.factor_matrix(T.macro(s, d)), "date", *M.FACTORS)
+
+
+def matrix(s, d):
+    frame = stored(M.factor_matrix(T.macro(s, d)), "factors")  # one row a month
+    return frame, frame.columns[1:]
+
+
+@query("ols_betas_multi")
+def ols_betas_multi(s, d):
+    return M.ols(T.nav(s, d), *matrix(s, d)).select("isin", "factor", F.round("beta", 6).alias("beta"), F.round("r2", 6).alias("r2"), "n")
 
 
-query("ols_betas_multi")(lambda s, d: M.ols(T.nav(s, d), factor_frame(s, d), FACTORS).select("isin", "factor", F.round("beta", 6).alias("beta"), F.round("r2", 6).alias("r2"), "n"))
-query("vif_prune")(lambda s, d: M.ols(T.nav(s, d), factor_frame(s, d).withColumn("f_twin", F.col("f_vix") * 2 + F.col("f_oil") * 0.001), [*FACTORS, "f_twin"], keep=("f_oil",)).groupBy("isin").agg(F.sort_array(F.collect_set("factor")).alias("factors")))
+@query("vif_prune")
+def vif_prune(s, d):
+    """Factors that are left of all and a near copy of one of them."""
+    frame, factors = matrix(s, d)
+    frame = stored(frame.withColumn("oil_twin", 2 * F.col("oil_yoy") + 0.001 * F.col("vix_yoy")), "factors")
+    return M.ols(T.nav(s, d), frame, [*factors, "oil_twin"], keep=("oil_yoy",)).groupBy("isin").agg(F.sort_array(F.collect_set("factor")).alias("factors"))
 
 
 @query("benchmark_relative_stats", sql(", pr AS (SELECT isin, nature, date, r FROM (SELECT isin, date, nav / lag(nav) OVER (PARTITION BY isin ORDER BY date) - 1 AS r FROM nav) JOIN master USING (isin) WHERE r IS NOT NULL), p AS (SELECT *, CASE WHEN count(*) OVER w > 1 THEN (sum(r) OVER w - r) / (count(*) OVER w - 1) END AS b FROM pr WINDOW w AS (PARTITION BY nature, date)) SELECT isin, round(covar_samp(r, b) / var_samp(b), 5) AS beta, round(stddev_samp(r - b) * sqrt(12), 6) AS tracking_error, round(avg(r - b) * 12 / (stddev_samp(r - b) * sqrt(12)), 5) AS information_ratio FROM p WHERE b IS NOT NULL GROUP BY isin", "nav", "master"))

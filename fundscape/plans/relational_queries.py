@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window, functions as F
 
 from ..operators import macro as M, panel as P, relational as L
-from ..sources import tables as T
+from ..sources import files, tables as T
 from .macro_queries import factor  # noqa: F401
 from .registry import query
 from .sqlbase import sql
@@ -48,18 +48,14 @@ def written(s, d, fmt, df):
     return path
 
 
-@Q("read_timevalue_csv")
+@Q("read_timevalue_csv", sql("SELECT date, value FROM macro WHERE indicator = 'cli' AND month(date) <> 6", "macro"))
 def read_timevalue_csv(s, d):
-    from ..sources import files
-
     rows = T.macro(s, d).where("indicator = 'cli'").select("date", F.when(F.month("date") == 6, ".").otherwise(c("value").cast("string")).alias("value"))
     return files.time_value_csv(s, written(s, d, "csv", rows))
 
 
-@Q("read_jsonstat")
+@Q("read_jsonstat", sql("SELECT date, value FROM macro WHERE indicator = 'vix'", "macro"))
 def read_jsonstat(s, d):
-    from ..sources import files
-
     v = T.macro(s, d).where("indicator = 'vix'").withColumn("i", (F.row_number().over(Window.partitionBy("geography").orderBy("date")) - 1).cast("string"))
     payload = v.groupBy("geography").agg(F.map_from_entries(F.collect_list(F.struct("i", "value"))).alias("value"), F.map_from_entries(F.collect_list(F.struct(F.date_format("date", "yyyy-MM").alias("k"), c("i").cast("int").alias("v")))).alias("time"))
     return files.json_stat(payload.select(F.to_json(F.struct("value", "time")).alias("json")))
@@ -87,8 +83,17 @@ Q("upsert_policy_merge", sql("""SELECT coalesce(a.isin, b.isin) AS isin, CASE WH
 )
 Q("table_export", sql("SELECT isin, fund_name, size FROM master WHERE srri > 3 ORDER BY size DESC, isin LIMIT 20", "master"))(lambda s, d: L.export(T.master(s, d), include=["isin", "fund_name", "size", "not_there", "nature"], exclude=("nature",), where="srri > 3", order=[F.desc("size"), "isin"], limit=20))
 Q("block_filtered_export", sql("SELECT nav.* FROM nav SEMI JOIN (SELECT isin FROM master WHERE nature = 'Mixtos') USING (isin)", "nav", "master"))(lambda s, d: T.nav(s, d).join(T.master(s, d).where("nature = 'Mixtos'"), "isin", "left_semi"))
-Q("jdbc_copy_clean")(lambda s, d: L.strip_nul(T.read(s, d, "documents")))
-Q("event_log_append")(lambda s, d: T.read(s, d, "events").select("event_id", "ts", c("event_type").alias("status"), F.lit("load").alias("step")))
+Q("jdbc_copy_clean", "SELECT doc_id, replace(text, chr(0), '') AS text, lang, source, n_chars FROM documents")(lambda s, d: files.stored(L.strip_nul(T.read(s, d, "documents")), "copy"))
+
+
+@Q("event_log_append", "SELECT event_id, ts, event_type AS status, CASE WHEN value < 20 THEN 'load' ELSE 'repair' END AS step FROM events")
+def event_log_append(s, d):
+    """Two runs append to one log, which is read back."""
+    log, events = files.shared_path(s, "event-log"), T.read(s, d, "events")
+    for step, rows in (("load", events.where("value < 20")), ("repair", events.where("not value < 20 or value is null"))):
+        files.append_log(rows.select("event_id", "ts", c("event_type").alias("status")), log, step)
+    return files.read_log(s, log)
+
 
 # Filters
 Q("filter_like_any_none", "SELECT p_partkey, p_name, (contains(p_name, 'red') OR contains(p_name, 'small')) AS wanted, (contains(p_name, 'ring') OR contains(p_name, 'bolt')) AS barred FROM part WHERE (contains(p_name, 'red') OR contains(p_name, 'small')) AND NOT (contains(p_name, 'ring') OR contains(p_name, 'bolt'))")(

@@ -113,7 +113,13 @@ query("score_base", sql(f"{SCORES} SELECT isin, part, nature, round(base, 6) AS
 query("score_hard_filters", sql(f"{SCORES} SELECT isin, part, reason FROM ex", *NEED))(lambda s, d: S.exclusion(metrics_wide(s, d)))
 query("score_funds", sql(f"{SCORES} SELECT isin, part, nature, base, multiplier, reason, total FROM sc", *NEED))(lambda s, d: scores(s, d).drop("manager", "family_id"))
 query("score_regime_multiplier", sql(f"{SCORES} SELECT isin, regime, multiplier FROM ml", *NEED))(multipliers)
-query("fn_json")(lambda s, d: scores(s, d).select("isin", "part", F.to_json(F.struct("base", "multiplier", "reason")).alias("detail")))
+@query("fn_json", sql(f"{SCORES} SELECT isin, part, base, multiplier, reason, reason AS why FROM sc", *NEED))
+def fn_json(s, d):
+    """Details written as JSON and read back, whole and by path."""
+    detail = scores(s, d).select("isin", "part", F.to_json(F.struct("base", "multiplier", "reason")).alias("detail"))
+    return detail.select("isin", "part", F.from_json("detail", "base double, multiplier double, reason string").alias("d"), F.get_json_object("detail", "$.reason").alias("why")).select("isin", "part", "d.*", "why")
+
+
 query("best_per_family", sql(f"{SCORES} SELECT isin, part, family_id, total FROM sc QUALIFY row_number() OVER (PARTITION BY family_id, part ORDER BY total DESC, isin) = 1", *NEED))(lambda s, d: S.best_per_family(scores(s, d)).select("isin", "part", "family_id", "total"))
 query("topk_per_group", sql(f"{SCORES} SELECT isin, part, total FROM sc QUALIFY row_number() OVER (PARTITION BY part ORDER BY total DESC, isin) <= 10", *NEED))(
     lambda s, d: scores(s, d).withColumn("k", F.row_number().over(Window.partitionBy("part").orderBy(F.desc("total"), "isin"))).where("k <= 10").select("isin", "part", "total")
@@ -124,16 +130,27 @@ def chosen(s, d):
     return S.select_capped(scores(s, d).withColumn("scenario", F.lit("Expansion")), "scenario")
 
 
-query("select_constrained")(chosen)
-query("weights_cap_redistribute")(lambda s, d: S.capped_weights(chosen(s, d), "scenario", "part").select("scenario", "part", "isin", "weight"))
+CHOSEN = f"""{SCORES}, cand AS (SELECT row_number() OVER (ORDER BY CASE part WHEN 'Defensiva' THEN 0 WHEN 'Equilibrada' THEN 1 ELSE 2 END, total DESC, isin) AS k, part, isin, nature, manager, family_id, total FROM sc WHERE total > 0),
+gr(k, c) AS (SELECT 0::BIGINT, []::STRUCT(part VARCHAR, isin BIGINT, nature VARCHAR, manager VARCHAR, family_id VARCHAR, total DOUBLE)[] UNION ALL
+ SELECT cand.k, CASE WHEN len(list_filter(c, lambda y: y.part = cand.part)) < 10 AND len(list_filter(c, lambda y: y.part = cand.part AND y.nature = cand.nature)) < 5 AND len(list_filter(c, lambda y: y.manager = cand.manager)) < 2 AND len(list_filter(c, lambda y: y.family_id = cand.family_id)) = 0
+  THEN list_append(c, {{'part': cand.part, 'isin': cand.isin, 'nature': cand.nature, 'manager': cand.manager, 'family_id': cand.family_id, 'total': cand.total}}) ELSE c END FROM gr JOIN cand ON cand.k = gr.k + 1),
+ch AS (SELECT x.part AS part, x.isin AS isin, x.total AS total, CAST(r AS INTEGER) AS rank FROM (SELECT unnest(c) AS x, unnest(range(len(c))) AS r FROM (SELECT c FROM gr ORDER BY k DESC LIMIT 1))),
+w1 AS (SELECT *, total / sum(total) OVER w AS share, total / sum(total) OVER w > 0.2 AS big FROM ch WINDOW w AS (PARTITION BY part)),
+w2 AS (SELECT *, greatest(CASE WHEN big THEN 0.2::DOUBLE WHEN bool_or(big) OVER w THEN total / sum(total) FILTER (NOT big) OVER w * (1 - 0.2::DOUBLE * count(*) FILTER (big) OVER w) ELSE share END, 0.03) AS capped FROM w1 WINDOW w AS (PARTITION BY part)),
+w3 AS (SELECT *, round(capped / sum(capped) OVER (PARTITION BY part), 4) AS even FROM w2),
+wt AS (SELECT part, isin, round(CASE WHEN row_number() OVER (PARTITION BY part ORDER BY even DESC, isin) = 1 THEN even + (1 - sum(even) OVER (PARTITION BY part)) ELSE even END, 4) AS weight FROM w3)"""
+_recursive = lambda body: sql(body, *NEED).replace("WITH ", "WITH RECURSIVE ", 1)
+query("select_constrained", _recursive(f"{CHOSEN} SELECT 'Expansion' AS scenario, part, isin, total, rank FROM ch"))(chosen)
+query("weights_cap_redistribute", _recursive(f"{CHOSEN} SELECT 'Expansion' AS scenario, part, isin, weight FROM wt"))(lambda s, d: S.capped_weights(chosen(s, d), "scenario", "part").select("scenario", "part", "isin", "weight"))
 
 
-@query("weights_master")
+@query("weights_master", _recursive(f"""{CHOSEN} SELECT regime, part, isin, round(weight * CASE part WHEN 'Defensiva' THEN d WHEN 'Equilibrada' THEN e ELSE y END, 6) AS weight FROM wt CROSS JOIN (VALUES ('Crisis_Financiera', 0.70::DOUBLE, 0.25::DOUBLE, 0.05::DOUBLE),
+ ('Shock_Energetico', 0.55, 0.35, 0.10), ('Estanflacion', 0.50, 0.35, 0.15), ('Contraccion', 0.60, 0.35, 0.05), ('Recalentamiento_Tardio', 0.40, 0.40, 0.20), ('Recalentamiento', 0.30, 0.40, 0.30), ('Expansion', 0.20, 0.45, 0.35)) v(regime, d, e, y)"""))
 def weights_master(s, d):
-    """Weights in the whole: the part's weights times the regime's."""
-    inside = S.capped_weights(chosen(s, d), "scenario", "part")
-    factor = S.by_part(dict(zip(S.PARTS, M.REGIMES["Expansion"], strict=True)), F.col("part"))
-    return inside.select("scenario", "part", "isin", F.round(F.col("weight") * factor, 6).alias("weight"))
+    """Weights in the whole, in every regime: the part's weights times the regime's."""
+    inside = S.capped_weights(chosen(s, d), "scenario", "part").withColumn("regime", F.explode(F.array(*map(F.lit, M.REGIMES))))
+    factor = S.by_part({f"{r}/{p}": w for r, ws in M.REGIMES.items() for p, w in zip(S.PARTS, ws, strict=True)}, F.concat_ws("/", "regime", "part"))
+    return inside.select("regime", "part", "isin", F.round(F.col("weight") * factor, 6).alias("weight"))
 
 
 TOP = f"{SCORES}, tp AS (SELECT isin, part, nature, total FROM sc WHERE total > 0 QUALIFY row_number() OVER (PARTITION BY part ORDER BY total DESC, isin) <= 10)"
@@ -251,11 +268,17 @@ def holdings(s, d, wide):
 query("report_holdings", sql(f"{TOP} SELECT part, isin, fund_name, manager, sharpe, max_drawdown, return_real, total FROM tp JOIN mw USING (isin, nature)", *NEED))(
     lambda s, d: holdings(s, d, stored(metrics_wide(s, d), "measures"))
 )
-PRES = ["max_drawdown", "pct_severe", "pct_positive", "sharpe"]
+_PCT = lambda c, v: f"(CASE WHEN {c} IS NOT NULL THEN (rank() OVER (PARTITION BY {c} IS NULL ORDER BY {v}) + (count(*) OVER (PARTITION BY {c}) - 1) / 2.0) / count({c}) OVER () END)"
 
 
-@query("score_preservation", sql(", k AS (SELECT isin, round((rank() OVER (ORDER BY max_drawdown) + (count(*) OVER (PARTITION BY max_drawdown) - 1) / 2.0) / count(*) OVER (), 6) AS damage, round((rank() OVER (ORDER BY pct_positive) + (count(*) OVER (PARTITION BY pct_positive) - 1) / 2.0) / count(*) OVER (), 6) AS consistent FROM (SELECT isin, round(max_drawdown, 6) AS max_drawdown, round(pct_positive, 6) AS pct_positive FROM rk)) SELECT isin, damage, consistent, round(0.6 * damage + 0.4 * consistent + 1e-9, 5) AS total FROM k", "rk"))
+@query("score_preservation", sql(f""", {WIDE}, lr AS (SELECT isin, date, count(*) OVER (PARTITION BY isin) AS k, ln(nav / lag(nav) OVER (PARTITION BY isin ORDER BY date)) AS r FROM nav),
+cr AS (SELECT isin, round((exp(avg(r) * 12) - 1) * 100, 5) AS crisis FROM lr JOIN rg USING (date) WHERE r IS NOT NULL AND k >= 36 AND regime IN ('Crisis_Financiera', 'Shock_Energetico', 'Contraccion') GROUP BY isin HAVING count(*) >= 12),
+v AS (SELECT isin, round(max_drawdown, 6) AS dd, round(worst_month, 6) AS wm, round(pct_positive, 6) AS pp, round(pct_severe, 6) AS ps, recovery AS rc, crisis FROM rk LEFT JOIN cr USING (isin)),
+k AS (SELECT isin, coalesce({_PCT('dd', 'dd')}, 0) AS a, coalesce({_PCT('wm', 'wm')}, 0) AS b, coalesce({_PCT('pp', 'pp')}, 0) AS c, coalesce({_PCT('ps', 'ps DESC')}, 0) AS e, coalesce({_PCT('rc', 'rc DESC')}, 0) AS f, coalesce({_PCT('crisis', 'crisis')}, 0) AS g FROM v)
+SELECT isin, round(0.7 * a + 0.3 * b + 1e-9, 5) AS damage, round(0.6 * c + 0.4 * e + 1e-9, 5) AS consistent, round(0.6 * f + 0.4 * g + 1e-9, 5) AS resilience FROM k""", "nav", "macro", "rk"))
 def score_preservation(s, d):
-    m = P.risk_measures(T.nav(s, d)).select("isin", F.round("max_drawdown", 6).alias("max_drawdown"), F.round("pct_positive", 6).alias("pct_positive"), F.lit("all").alias("g"))
-    k = m.select("isin", F.round(P.percent_rank_ties("max_drawdown", "g"), 6).alias("damage"), F.round(P.percent_rank_ties("pct_positive", "g"), 6).alias("consistent"))
-    return k.withColumn("total", F.round(0.6 * F.col("damage") + 0.4 * F.col("consistent") + 1e-9, 5))
+    measures = P.risk_measures(T.nav(s, d)).select("isin", *[F.round(c, 6).alias(c) for c in ("max_drawdown", "worst_month", "pct_positive", "pct_severe")], "recovery")
+    bad = regimes(s, d).where(F.col("regime").isin("Crisis_Financiera", "Shock_Energetico", "Contraccion")).withColumn("regime", F.lit("crisis"))
+    crisis = M.regime_stats(T.nav(s, d), bad).select("isin", F.round("return_ann", 5).alias("crisis"))
+    out = S.preservation(stored(measures.join(crisis, "isin", "left"), "measures"))
+    return out.select("isin", *[F.round(F.col(c) + 1e-9, 5).alias(c) for c in ("damage", "consistent", "resilience")])

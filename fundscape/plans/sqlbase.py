@@ -1,5 +1,7 @@
 """The fund model in DuckDB SQL, for the oracles."""
 
+from ..sources.tables import ATTRIBUTES as TABLE_ATTRIBUTES
+
 NAV = """p0 AS (SELECT l_suppkey AS isin, last_day(l_shipdate) AS date, max_by(l_extendedprice, (l_shipdate, l_orderkey, l_linenumber, l_partkey)) AS px
   FROM lineitem GROUP BY ALL),
 r0 AS (SELECT isin, date, (0.002 + 0.018 * (isin % 7)) * (px / avg(px) OVER (PARTITION BY isin) - 1) + 0.004 AS r FROM p0),
@@ -16,6 +18,10 @@ _SERIES = [
     (3, "cli", "EU", "100.5 + 6 * z"), (4, "rate_deposit", "EU", "2 + 3 * z"), (5, "spread_hy", "GLOBAL", "5 + 6 * z"), (5, "vix", "GLOBAL", "20 * exp(0.9 * z)"),
     (0, "fx_usd_eur", "GLOBAL", "1.1 * exp(0.1 * z)"), (2, "fx_jpy_usd", "GLOBAL", "120 * exp(0.1 * z)"), (3, "fx_usd_gbp", "GLOBAL", "1.3 * exp(0.1 * z)"), (4, "fx_cny_usd", "GLOBAL", "7 * exp(0.1 * z)"),
     (0, "m2_level", "US", "1000 * {0.004 + 0.01 * z}"), (1, "m2_level", "EU", "1300 * {0.004 + 0.01 * z}"), (2, "m2_level", "CN", "1900 * {0.004 + 0.01 * z}"), (3, "m2_level", "JP", "700 * {0.004 + 0.01 * z}"),
+    (1, "rate_policy", "US", "3 + 4 * z + 6 * z * z"), (2, "rate_policy", "JP", "0.5 + z - 2 * z * z"), (5, "rate_policy", "CN", "4 + 2 * z + 5 * z * z"), (3, "m3_yoy", "EU", "5 + 9 * z + 7 * z * z"), (4, "m2_yoy", "US", "6 + 8 * z - 3 * z * z"),
+    (2, "ipc_index", "US", "100 * {0.0025 + 0.010 * z}"), (3, "ipc_index", "JP", "100 * {0.0010 + 0.008 * z}"), (5, "ipc_index", "CN", "100 * {0.0020 + 0.015 * z}"), (1, "copper", "GLOBAL", "9000 * {0.003 + 0.30 * z}"),
+    (0, "cli", "US", "100 + 5 * z + 9 * z * z"), (2, "cli", "JP", "100 + 4 * z"), (4, "cli", "CN", "100 - 3 * z"), (5, "cli", "ES", "100 + 2 * z"), (4, "dxy", "GLOBAL", "100 * exp(0.2 * z)"), (1, "gold", "GLOBAL", "1800 * exp(0.3 * z)"), (0, "unemployment", "US", "5 - 4 * z"),
+    (5, "m2_global_yoy", "GLOBAL", "6 + 5 * z * z - 3 * z"), (2, "spread_ig", "GLOBAL", "1.5 + 2 * z + 4 * z * z"), (4, "term_spread", "US", "1 - 2 * z + 8 * z * z"),
 ]
 
 
@@ -57,7 +63,11 @@ def risk(source: str, name: str, keys: str = "isin", extra: str = "") -> str:
 MEASURES = ["ret", "vol", "sharpe", "sortino", "ret_vol", "max_drawdown", "dd_duration", "recovery", "pct_positive", "pct_negative", "pct_severe", "worst_month"]
 LONG = "metrics AS (" + " UNION ALL ".join(f"SELECT isin, '{m}' AS metric, round(CAST({m} AS DOUBLE), 6) AS value FROM rk WHERE {m} IS NOT NULL" for m in MEASURES) + ")"
 
-ALL = {"nav": NAV, "master": MASTER, "macro": MACRO, "windows": WINDOWS, "rk": risk("nav", "rk"), "metrics": LONG}
+_nth = lambda values, step: "([" + ", ".join("NULL" if v is None else f"'{v}'" for v in values) + f"])[(p_partkey // {step}) % {len(values)} + 1]"
+ATTRIBUTES = "attributes AS (SELECT p_partkey AS id, p_name AS name, " + ", ".join(f"{_nth(*spec)} AS {c}" for c, spec in TABLE_ATTRIBUTES.items()) + """, CAST(CASE WHEN p_partkey % 13 <> 0 THEN 1 + p_partkey % 7 END AS INTEGER) AS srri, CAST((p_partkey // 2) % 2 AS INTEGER) AS is_esg,
+ ([6, 8, 9, NULL])[(p_partkey // 3) % 4 + 1] AS sfdr, CASE WHEN p_partkey % 3 <> 0 THEN p_size / 10 END AS charge, CASE WHEN p_partkey % 5 <> 0 THEN p_type || ' ' || p_name END AS benchmark FROM part)"""
+
+ALL = {"attributes": ATTRIBUTES, "nav": NAV, "master": MASTER, "macro": MACRO, "windows": WINDOWS, "rk": risk("nav", "rk"), "metrics": LONG}
 NEEDS = {"metrics": ["rk"], "rk": ["nav"]}
 
 

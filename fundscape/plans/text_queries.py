@@ -90,18 +90,45 @@ def grids(s, d):
 
 Q("txt_grid_parse", f"SELECT id, CAST(k - 1 AS INTEGER) AS row, trim(string_split(line, '|||')[2]) AS label, CAST(len(string_split(line, '|||')) - 3 AS INTEGER) AS cells FROM (SELECT id, unnest(string_split(t, chr(10))) AS line, unnest(range(1, 100)[1:len(string_split(t, chr(10)))]) AS k FROM ({GRID})) WHERE contains(line, '|||')")(lambda s, d: X.grid(grids(s, d), "id", "t").select("id", "row", "label", F.size("cells").alias("cells")))
 Q("txt_cost_schedule", f"SELECT id, 1.0::DOUBLE AS years, p_size::DOUBLE AS amount, round(p_size / 10.0, 4) AS pct FROM ({NAMES}) UNION ALL SELECT id, 5.0, (p_size * 4)::DOUBLE, round(p_size / 20.0, 4) FROM ({NAMES})")(lambda s, d: X.schedule(X.grid(grids(s, d), "id", "t"), "id").withColumn("pct", F.round("pct", 4)))
-LINES = {"entry": "entry", "management": "management", "exit": "exit"}
-Q("txt_cost_composition", f"SELECT id, CASE WHEN p_size / 10.0 <= 4 THEN p_size / 10.0 END AS entry, 1.5::DOUBLE AS management, NULL::DOUBLE AS exit FROM ({NAMES})")(lambda s, d: X.composition(X.grid(grids(s, d), "id", "t"), "id", LINES, most=4.0))
-Q("txt_cost_extract", f"SELECT id, CASE WHEN p_size / 10.0 <= 4 THEN p_size / 10.0 END AS entry, 1.5::DOUBLE AS management, 2 AS horizons, CASE WHEN p_size / 10.0 <= 4 THEN 'HIGH' ELSE 'MEDIUM' END AS quality, p_size / 20.0 > 1.5 AS mismatch FROM ({NAMES})")(lambda s, d: cost_records(s, d))
 
 
+def costs(s, d):
+    """Grids of five cost lines per part, in two languages and two number formats."""
+    even = c("id") % 2 == 0
+    word = lambda es, en: F.when(even, es).otherwise(en)
+    plain = lambda x, n: F.format_number(x, n)
+    comma = lambda x, n: F.when(even, F.translate(plain(x, n), ",.", ".,")).otherwise(plain(x, n))
+    size, price, bar = c("p_size"), c("p_retailprice"), F.lit("|||")
+    lines = [
+        F.concat(bar, word("Composición de los costes", "Composition of costs"), bar),
+        F.concat(bar, word("Costes de entrada", "Entry costs"), bar, word("hasta ", "up to "), comma(size / 10, 1), F.lit("% of what you pay"), bar, comma(size * 10, 2), F.lit(" EUR"), bar),
+        F.concat(bar, word("Costes de salida", "Exit cost"), bar, comma(c("id") % 7 / 10, 1), F.lit(" %"), bar),
+        F.concat(bar, word("Comisiones de gestión", "Management fees and others"), bar, comma(price / 1000, 2), F.lit("%"), bar, comma(price, 2), F.lit(" €"), bar),
+        F.concat(bar, word("Costes de operación", "Transaction costs"), bar, comma(size / 20, 2), F.lit("%"), bar),
+        F.concat(bar, word("Comisiones de éxito", "Performance fee"), bar, comma(size.cast("double"), 1), F.lit("%"), bar),
+    ]
+    return names(s, d).select("id", F.concat_ws("\n", *lines).alias("t"))
+
+
+COST_COLUMNS = ["entry_fee_pct", "entry_fee_max_pct", "entry_fee_eur", "exit_fee_pct", "exit_fee_eur", "management_fee_pct", "management_fee_eur", "transaction_cost_pct", "performance_fee_pct", "performance_fee_max_pct"]
+COSTS = """SELECT p_partkey AS id, p_size, p_size / 10 AS entry_fee_pct, p_size / 10 AS entry_fee_max_pct, p_size * 10.0::DOUBLE AS entry_fee_eur, (p_partkey % 7) / 10 AS exit_fee_pct, NULL::DOUBLE AS exit_fee_eur,
+ CASE WHEN round(p_retailprice / 1000, 2) <= 5 THEN round(p_retailprice / 1000, 2) END AS management_fee_pct, round(p_retailprice, 2) AS management_fee_eur, CASE WHEN p_size / 20 <= 2 THEN p_size / 20 END AS transaction_cost_pct,
+ CASE WHEN p_size <= 30 THEN p_size::DOUBLE END AS performance_fee_pct, NULL::DOUBLE AS performance_fee_max_pct FROM part"""
+R4 = ", ".join(f"round({x}, 4) AS {x}" for x in COST_COLUMNS)
+
+
+@Q("txt_cost_composition", f"SELECT id, {R4} FROM ({COSTS})")
+def cost_lines(s, d):
+    return X.composition(X.grid(costs(s, d), "id", "t"), "id").select("id", *[F.round(x, 4).alias(x) for x in COST_COLUMNS])
+
+
+@Q("txt_cost_extract", f"SELECT id, round(entry_fee_pct, 4) AS entry_fee_pct, round(management_fee_pct, 4) AS management_fee_pct, round(transaction_cost_pct, 4) AS transaction_cost_pct, 2 AS horizons, CASE WHEN transaction_cost_pct IS NOT NULL AND performance_fee_pct IS NOT NULL THEN 'HIGH' WHEN management_fee_pct IS NOT NULL THEN 'MEDIUM' ELSE 'NONE' END AS quality, round(p_size / 20, 4) > round(management_fee_pct, 4) AS mismatch FROM ({COSTS})")
 def cost_records(s, d):
-    cells = X.grid(grids(s, d), "id", "t")
-    lines = X.composition(cells, "id", LINES, most=4.0)
-    plan = X.schedule(cells, "id").groupBy("id").agg(F.count("*").cast("int").alias("horizons"), F.max_by("pct", "years").alias("pct"))
-    full = lines.join(plan, "id", "left")
-    quality = F.when(c("entry").isNotNull() & (c("horizons") > 0), "HIGH").when(c("management").isNotNull(), "MEDIUM").otherwise("NONE")
-    return full.select("id", "entry", "management", "horizons", quality.alias("quality"), (c("pct") > c("management")).alias("mismatch"))
+    plan = X.schedule(X.grid(grids(s, d), "id", "t"), "id").groupBy("id").agg(F.count("*").cast("int").alias("horizons"), F.max_by("pct", "years").alias("pct"))
+    full = cost_lines(s, d).join(plan, "id", "left")
+    every = c("entry_fee_pct").isNotNull() & c("management_fee_pct").isNotNull() & c("transaction_cost_pct").isNotNull() & c("performance_fee_pct").isNotNull()
+    quality = F.when(every & (c("horizons") > 0), "HIGH").when(c("management_fee_pct").isNotNull(), "MEDIUM").otherwise("NONE")
+    return full.select("id", "entry_fee_pct", "management_fee_pct", "transaction_cost_pct", "horizons", quality.alias("quality"), (F.round("pct", 4) > c("management_fee_pct")).alias("mismatch"))
 
 
 FP = r"entry fee (?:up to )?([0-9]*[1-9][0-9.]*|0\.[0-9]*[1-9][0-9]*) ?%"
@@ -127,6 +154,20 @@ Q("block_classify", "SELECT id, block, CASE block WHEN 'money' THEN 'cash' WHEN
 )
 Q("attr_impute_cascade", f"SELECT id, coalesce(CASE WHEN contains(name, 'EUR') THEN 'Europe' WHEN contains(name, 'USD') THEN 'America' END, CASE WHEN id % 6 = 0 THEN 'World' END, 'Unknown') AS geography FROM ({NAMES})")(lambda s, d: names(s, d).select("id", X.layers(X.first_label(c("name"), [("Europe", ["EUR"]), ("America", ["USD"])]), F.when(c("id") % 6 == 0, "World"), F.lit("Unknown")).alias("geography")))
 Q("fn_accent_fold", "SELECT doc_id, strip_accents(lower(text)) AS folded FROM documents")(lambda s, d: docs(s, d).select("doc_id", X.fold_accents(F.lower("text")).alias("folded")))
-NUM = "SELECT id, (['1.360', '1.360,00', '1,360.00', '1,5', 'hasta 3,25%', 'x'])[id % 6 + 1] AS t FROM (" + NAMES + ")"
-Q("fn_number_parse", f"SELECT id, CASE t WHEN '1.360' THEN 1360.0 WHEN '1.360,00' THEN 1360.0 WHEN '1,360.00' THEN 1360.0 WHEN '1,5' THEN 1.5 WHEN 'hasta 3,25%' THEN 3.25 END::DOUBLE AS v FROM ({NUM})")(lambda s, d: names(s, d).select("id", X.number(F.get(F.array(*map(F.lit, ("1.360", "1.360,00", "1,360.00", "1,5", "hasta 3,25%", "x"))), (c("id") % 6).cast("int"))).alias("v")))
-Q("fn_code_to_years", f"SELECT id, (id % 12 + 1)::DOUBLE AS years FROM ({NAMES})")(lambda s, d: names(s, d).select("id", X.years(F.concat((c("id") % 12 + 1).cast("string"), F.lit("Y+"))).alias("years")))
+Q("fn_number_parse", "SELECT p_partkey AS id, round(p_retailprice, 2) AS grouped, p_size / 10 AS single, p_partkey::DOUBLE AS whole, p_size / 4 AS capped, NULL::DOUBLE AS none FROM part")(lambda s, d: numbers(s, d))
+
+
+def numbers(s, d):
+    """Amounts in the two formats, by turns, and what they mean."""
+    even = c("p_partkey") % 2 == 0
+    both = lambda x, n: F.when(even, F.translate(F.format_number(x, n), ",.", ".,")).otherwise(F.format_number(x, n))
+    p = T.read(s, d, "part")
+    return p.select(
+        c("p_partkey").alias("id"), X.number(F.concat(F.lit("EUR "), both(c("p_retailprice"), 2))).alias("grouped"), X.number(both(c("p_size") / 10, 1)).alias("single"), X.number(both(c("p_partkey"), 0)).alias("whole"),
+        X.number(F.concat(F.lit("Hasta "), both(c("p_size") / 4, 2), F.lit("%"))).alias("capped"), X.number(F.lit("none")).alias("none"),
+    )
+
+
+Q("fn_code_to_years", "SELECT p_partkey AS id, CASE p_partkey % 5 WHEN 0 THEN p_size::DOUBLE WHEN 1 THEN round(p_size / 12, 6) WHEN 2 THEN p_size::DOUBLE WHEN 3 THEN -1 END AS years FROM part")(
+    lambda s, d: T.read(s, d, "part").select(c("p_partkey").alias("id"), F.round(X.years(F.concat(F.when(c("p_partkey") % 5 == 3, "Recommended holding period ").otherwise(""), F.when(c("p_partkey") % 5 != 4, c("p_size").cast("string")).otherwise("some"), F.get(F.array(*map(F.lit, ("Y+", " meses", " años", " years", " time"))), (c("p_partkey") % 5).cast("int")))), 6).alias("years"))
+)

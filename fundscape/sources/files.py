@@ -25,6 +25,23 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def jdbc_sink(df: DataFrame, url: str, table: str, *, mode: str = "append", tasks: int = 16, **properties: str) -> None:
+    """Write to a database table through at most ``tasks`` connections."""
+    df.coalesce(tasks).write.jdbc(url, table, mode=mode, properties=properties)
+
+
+LOG = "event_id long, ts timestamp, status string, step string"
+
+
+def append_log(rows: DataFrame, path: str, step: str) -> None:
+    """Add (event_id, ts, status) rows of a step to a log; earlier rows stay."""
+    rows.withColumn("step", F.lit(step)).select(*[F.col(c).cast(t) for c, t in (p.split(" ") for p in LOG.split(", "))]).write.mode("append").parquet(path)
+
+
+def read_log(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(LOG).parquet(path)
+
+
 def time_value_csv(spark: SparkSession, path: str) -> DataFrame:
     """(date, value) of files with a point for missing values; rows without value are left out."""
     rows = spark.read.csv(path, schema="date date, value double", nullValue=".", mode="PERMISSIVE")
