@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from .common import cut
+from .common import cut, release
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -18,6 +18,7 @@ def components(edges: DataFrame) -> DataFrame:
     edges = cut(edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
     steps: list[DataFrame] = []
     while not edges.isEmpty():
+        before = edges
         both = edges.select("a", "b").union(edges.select("b", "a"))
         if len(steps) % 2 == 0:
             hooks = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("rep"))
@@ -30,6 +31,7 @@ def components(edges: DataFrame) -> DataFrame:
         left = edges.join(hooks.select(F.col("node").alias("a"), F.col("rep").alias("ra")), "a")
         left = left.join(hooks.select(F.col("node").alias("b"), F.col("rep").alias("rb")), "b").where("ra <> rb")
         edges = cut(left.select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).distinct(), "edges")
+        release(before)
     if not steps:
         return edges.select(F.col("a").alias("node"), F.col("a").alias("component"))
     found = steps[-1].select("node", F.col("rep").alias("last"))
@@ -37,6 +39,7 @@ def components(edges: DataFrame) -> DataFrame:
         after = found.select(F.col("node").alias("rep"), "last")
         found = hooks.join(after, "rep", "left").select("node", F.coalesce("last", "rep").alias("last"))
     found = cut(found, "found")
+    release(edges, *steps)
     # Written, so that both sides of the join below are plain scans, whose large partitions Spark can split.
     least = cut(found.groupBy("last").agg(F.min("node").alias("component")), "least")
     return found.join(least, "last").select("node", "component")

@@ -56,7 +56,9 @@ def _trigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         data, offsets = utf8(batch.column(0))
         for i, j in row_slices(offsets):
             s = FOLD[LOWER[data[offsets[i] : offsets[j]]]]
-            total += np.bincount((s[:-2] * SYMBOLS + s[1:-1]) * SYMBOLS + s[2:], minlength=SYMBOLS**3)
+            own = np.repeat(np.arange(i, j), np.diff(offsets[i : j + 1]))
+            inside = own[:-2] == own[2:]  # trigrams of one text, so counts are the same however rows are dealt
+            total += np.bincount(((s[:-2] * SYMBOLS + s[1:-1]) * SYMBOLS + s[2:])[inside], minlength=SYMBOLS**3)
     at = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["cell", "n"])
 
@@ -235,6 +237,7 @@ class WordModel:
 
     @staticmethod
     def _value(c1, c0, n):
+        c1, c0 = np.maximum(c1, 0), np.maximum(c0, 0)
         return np.log((c1 + 0.5) / (n[1] + 1)) - np.log((c0 + 0.5) / (n[0] + 1))
 
     def score(self, hashes: tuple[np.ndarray, ...], rows: np.ndarray, n: int) -> np.ndarray:
