@@ -112,7 +112,7 @@ def _scan(state: dict, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
                     batch.column(0)[i:j],
                     pa.array(n_words, pa.int64()),
                     pa.array(n_hit, pa.int64()),
-                    pa.array([sorted(items.get(d, ())) for d in range(j - i)], pa.list_(pa.string())),
+                    pa.array([sorted(x for x in items.get(d, ()) if x is not None) for d in range(j - i)], pa.list_(pa.string())),
                     pa.array([spans.get(d, []) for d in range(j - i)], pa.list_(span)),
                 ],
                 names=["doc_id", "n_words", "n_hit", "items", "spans"],
@@ -161,12 +161,12 @@ def _joined(docs: DataFrame, items: DataFrame, window: int) -> DataFrame:
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, *, window: int = 13, broadcast_bytes: int = 8 << 20) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): n_words, n_hit, the sorted ids of the items with occurring windows
-    and the hit byte ranges. ``benchmark``: (item_id, text).
+    and the hit byte ranges. ``benchmark``: (item_id, text); an item without id hits words, but is not named.
     """
     size = benchmark.select(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first()["n"]
     if size > broadcast_bytes:
         return _joined(docs, benchmark, window)
-    items = [(str(r["item_id"]), r["text"]) for r in benchmark.where("text is not null").select("item_id", "text").collect()]
+    items = [(None if r["item_id"] is None else str(r["item_id"]), r["text"]) for r in benchmark.where("text is not null").select("item_id", "text").collect()]
     shared = docs.sparkSession.sparkContext.broadcast(WindowSet(items, window).__dict__)  # plain data
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(lambda batches: _scan(shared.value, batches), OUT)
 
