@@ -57,7 +57,8 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     small_batches(spark)
     manifest = warc.write_archive(warc.with_revisits(table(spark, sf_dir, "pages")))
     records = warc.read_archive(manifest, payloads=False)
-    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    digest = F.when(F.col("verified"), F.col("payload_digest")).otherwise(F.raise_error(F.lit("a payload does not have its record's digest")))
+    return records.select("page_id", "payload_bytes", digest.alias("payload_digest"), "record_type", "refers_to")
 
 
 def op8_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
