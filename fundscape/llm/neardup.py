@@ -33,7 +33,7 @@ from .components import components
 BANDS, ROWS = 20, 4
 BATCH = 16
 #: Documents of a block in which, or between two of which, one task compares.
-GROUP_ROWS = 1500
+GROUP_ROWS, GROUP_BYTES = 1500, 32 << 20
 _SPACE = b" \t\n\x0b\x0c\r"
 WORD = ~byte_table(_SPACE)
 _A = np.random.default_rng(5).integers(0, 1 << 31, BANDS * ROWS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -202,7 +202,9 @@ def near_duplicates(docs: DataFrame, *, shingle_words: int = 5, percent: int = 8
     mixed = counts.groupBy("key").agg(F.max(F.struct("n", "component")).alias("most"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
     mixed = cut(mixed.select("key", F.col("most.component").alias("main")), "mixed")
     group = cut(joined.join(mixed, "key").select("main", "doc_id", "component").distinct(), "groups")
-    blocks = cut(group.groupBy("main").agg(F.ceil(F.count(F.lit(1)) / GROUP_ROWS).cast("int").alias("blocks")), "blocks")
+    parts = F.greatest(F.count(F.lit(1)) / GROUP_ROWS, F.sum("n_shingles") * 8 / GROUP_BYTES)
+    blocks = group.join(profiles.select("doc_id", "n_shingles"), "doc_id").groupBy("main").agg(F.ceil(parts).cast("int").alias("blocks"))
+    blocks = cut(blocks, "blocks")
     dealt = group.join(blocks, "main").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
     dealt = dealt.join(profiles, "doc_id").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.select("main", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"), "doc_id", "component", "block", "n_shingles", "signature", "members")
