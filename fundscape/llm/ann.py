@@ -27,7 +27,7 @@ from .common import cut
 
 CODES = 16
 PART = 2
-BLOCK_ROWS, BLOCK_QUERIES = 2048, 4096
+BLOCK_ROWS, BLOCK_QUERIES = 1 << 14, 1 << 14
 FOUND = "query_id long, gid long, approx float"
 
 
