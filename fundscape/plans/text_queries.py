@@ -103,7 +103,7 @@ def costs(s, d):
         F.concat(bar, word("Composición de los costes", "Composition of costs"), bar),
         F.concat(bar, word("Costes de entrada", "Entry costs"), bar, word("hasta ", "up to "), comma(size / 10, 1), F.lit("% of what you pay"), bar, comma(size * 10, 2), F.lit(" EUR"), bar),
         F.concat(bar, word("Costes de salida", "Exit cost"), bar, comma(c("id") % 7 / 10, 1), F.lit(" %"), bar),
-        F.concat(bar, word("Comisiones de gestión", "Management fees and others"), bar, comma(price / 1000, 2), F.lit("%"), bar, comma(price, 2), F.lit(" €"), bar),
+        F.concat(bar, word("Comisiones de gestión", "Management fees and others"), bar, comma(F.floor(price / 10) / 100, 2), F.lit("%"), bar, comma(price, 2), F.lit(" €"), bar),
         F.concat(bar, word("Costes de operación", "Transaction costs"), bar, comma(size / 20, 2), F.lit("%"), bar),
         F.concat(bar, word("Comisiones de éxito", "Performance fee"), bar, comma(size.cast("double"), 1), F.lit("%"), bar),
     ]
@@ -112,7 +112,7 @@ def costs(s, d):
 
 COST_COLUMNS = ["entry_fee_pct", "entry_fee_max_pct", "entry_fee_eur", "exit_fee_pct", "exit_fee_eur", "management_fee_pct", "management_fee_eur", "transaction_cost_pct", "performance_fee_pct", "performance_fee_max_pct"]
 COSTS = """SELECT p_partkey AS id, p_size, p_size / 10 AS entry_fee_pct, p_size / 10 AS entry_fee_max_pct, p_size * 10.0::DOUBLE AS entry_fee_eur, (p_partkey % 7) / 10 AS exit_fee_pct, NULL::DOUBLE AS exit_fee_eur,
- CASE WHEN round(p_retailprice / 1000, 2) <= 5 THEN round(p_retailprice / 1000, 2) END AS management_fee_pct, round(p_retailprice, 2) AS management_fee_eur, CASE WHEN p_size / 20 <= 2 THEN p_size / 20 END AS transaction_cost_pct,
+ CASE WHEN floor(p_retailprice / 10) / 100 <= 5 THEN floor(p_retailprice / 10) / 100 END AS management_fee_pct, round(p_retailprice, 2) AS management_fee_eur, CASE WHEN p_size / 20 <= 2 THEN p_size / 20 END AS transaction_cost_pct,
  CASE WHEN p_size <= 30 THEN p_size::DOUBLE END AS performance_fee_pct, NULL::DOUBLE AS performance_fee_max_pct FROM part"""
 R4 = ", ".join(f"round({x}, 4) AS {x}" for x in COST_COLUMNS)
 
