@@ -48,7 +48,7 @@ def win_rolling_mean(s, d):
 MONTHS = "months AS (SELECT last_day(unnest(generate_series(date_trunc('month', (SELECT min(date) FROM macro)), date_trunc('month', (SELECT max(date) FROM macro)), INTERVAL 1 MONTH))) AS date)"
 
 
-@query("win_ffill", sql(f", {MONTHS} SELECT date, last_value(value IGNORE NULLS) OVER (ORDER BY date) AS cli FROM months LEFT JOIN (SELECT date, value FROM macro WHERE indicator = 'cli') USING (date)", "macro"))
+@query("win_ffill", sql(f", {MONTHS} SELECT date, last_value(value IGNORE NULLS) OVER (ORDER BY date) AS cli FROM months LEFT JOIN (SELECT date, value FROM macro WHERE indicator = 'cli' AND geography = 'EU') USING (date)", "macro"))
 def win_ffill(s, d):
     macro = T.macro(s, d)
     months = M.wide(macro, {f"{i}_{g}": f"{i}_{g}" for i, g in ALL_SERIES})

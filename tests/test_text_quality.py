@@ -22,7 +22,8 @@ def test_grid_gives_schedule_and_composition(spark):
     text = "|||Horizon|||1 año|||\n|||Total costs|||12|||\n|||Impact|||0,12%|||\n|||Management fees|||0,10%|||\n|||Transaction costs|||0,02%|||"
     cells = X.grid(spark.createDataFrame([(1, text), (2, None), (3, "")], "id long, t string"), "id", "t")
     assert [tuple(r) for r in X.schedule(cells, "id").collect()] == [(1, 1.0, 12.0, 0.12)]
-    assert [tuple(r) for r in X.composition(cells, "id", {"m": "management", "t": "transaction"}).collect()] == [(1, 0.10, 0.02)]
+    costs = X.composition(cells, "id").select("id", "management_fee_pct", "transaction_cost_pct", "entry_fee_pct").collect()
+    assert [tuple(r) for r in costs] == [(1, 0.10, 0.02, None)]
 
 
 @pytest.mark.parametrize(("pct", "amount", "status"), [(1.0, 100.0, "OK"), (1.0, 103.0, "OK"), (1.0, 130.0, "MILD"), (1.0, 200.0, "VOID"), (None, 100.0, "SINGLE")])
