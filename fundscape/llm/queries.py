@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import ann, decontaminate as dec, linededup, neardup, packing, quality, suffix, toxicity, urls, warc
+from . import ann, bpe, decontaminate as dec, linededup, merkle, neardup, packing, quality, spelling, suffix, toxicity, urls, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -80,7 +80,33 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
-QUERIES = {"op1_decontaminate": op1_decontaminate, "op2_quality": op2_quality, "op3_packing": op3_packing, "op4_toxicity": op4_toxicity, "op5_near_duplicates": op5_near_duplicates, "op6_repeated_strings": op6_repeated_strings, "op7_warc": op7_warc, "op8_nearest": op8_nearest, "op9_url_filter": op9_url_filter, "op10_line_dedup": op10_line_dedup}
+def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    small_batches(spark)
+    how = {"ranks_path": public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), "pattern": public_tokenizers.PATTERN}
+    found = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), **how), **how)
+    return found.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    forged = merkle.leaf(F.col("doc_id"), F.col("source"), F.col("lang"), F.col("n_chars"), lowered)
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, forged)
+    manifest = merkle.build_manifest(table(spark, sf_dir, "documents"), carried={"tampered": tampered})
+    proofs = merkle.prove(manifest).withColumn("root", manifest.root.scalar())
+    folded = merkle.fold(F.coalesce("tampered", "leaf"), "path")
+    out = proofs.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest("path").alias("proof_sha256"), folded.alias("folded_root"))
+    return out.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    return spelling.variants(spelling.vocabulary(spelling.noisy_words(table(spark, sf_dir, "documents"))))
+
+
+QUERIES = {"op1_decontaminate": op1_decontaminate, "op2_quality": op2_quality, "op3_packing": op3_packing, "op4_toxicity": op4_toxicity, "op5_near_duplicates": op5_near_duplicates, "op6_repeated_strings": op6_repeated_strings, "op7_warc": op7_warc, "op8_nearest": op8_nearest, "op9_url_filter": op9_url_filter, "op10_line_dedup": op10_line_dedup, "op11_bpe": op11_bpe, "op12_merkle": op12_merkle, "op13_spelling": op13_spelling}
 
 _AZ = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _DEC = rf"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(regexp_extract_all({_AZ}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w FROM documents),
