@@ -196,7 +196,8 @@ def prove(manifest: Manifest, wanted: DataFrame | None = None, *, height: int =
     of them. A path has what stands left and right of its nodes in their runs, from the leaf over the source's root to the root."""
     of_sources = manifest.roots.select(F.lit(0).cast("long").alias("tree"), F.col("tree").alias("place"), F.col("subroot").alias("item"))
     tops = cut(paths(manifest.upper, of_sources, height=height).select(F.col("place").alias("tree"), "path"), "tops")
-    wanted = (manifest.leaves if wanted is None else wanted).join(manifest.roots.select("tree", "subroot"), "tree")
+    # Written, so that Spark splits a large source in this join and then deals leaves by block, not by source.
+    wanted = cut((manifest.leaves if wanted is None else wanted).join(manifest.roots.select("tree", "subroot"), "tree"), "wanted")
     more = [c for c in wanted.columns if c not in ("tree", "place")]
     found = paths(manifest.tiers, wanted.select("tree", "place", F.struct(*more).alias("item")), tops, height=height)
     return found.select("tree", "place", "item.*", "path")
