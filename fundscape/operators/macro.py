@@ -7,6 +7,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
+from ..sources.files import stored
+
 
 def calendar() -> WindowSpec:
     return Window.partitionBy(F.lit(0)).orderBy("date")
@@ -182,7 +184,7 @@ def factor_matrix(macro: DataFrame, *, coverage: float = 0.5) -> DataFrame:
         "dxy_yoy": yoy(c("dxy")), "gold_yoy": yoy(c("gold")), "m2_global_yoy": c("m2_global_yoy"), "spread_hy": c("spread"), "spread_ig": c("spread_ig"), "vix_yoy": yoy(c("vix")), "term_spread": c("term_spread"),
         "eur_jpy_yoy": yoy(c("jpy_usd") * c("usd_eur")), "eur_gbp_yoy": yoy(c("usd_gbp") / c("usd_eur")), "eur_cny_yoy": yoy(c("cny_usd") / c("usd_eur")),
     }
-    every = w.select("date", *[made[f].alias(f) for f in FACTORS])
+    every = stored(w.select("date", *[made[f].alias(f) for f in FACTORS]), "every-factor")  # one row a month
     known = every.agg(F.count(F.lit(1)).alias("_n"), *[F.count(f).alias(f) for f in FACTORS]).first()  # one row
     dense = [f for f in FACTORS if known[f] >= coverage * max(1, known["_n"])]
     return every.select("date", *dense).dropna()
@@ -208,38 +210,23 @@ def factor_betas(panel: DataFrame, frame: DataFrame, factors: dict[str, str], *,
     return g.where(F.col("n") >= least).drop("n")
 
 
-def gram(rows: DataFrame, factors: list[str], *keys: str) -> DataFrame:
-    """Sums of products of (1, factors, r) per key, as one array: all that least squares needs."""
-    names = ["_one", *factors, "r"]
-    rows = rows.withColumn("_one", F.lit(1.0))
-    return rows.groupBy(*keys).agg(F.array(*[F.sum(F.col(a) * F.col(b)) for i, a in enumerate(names) for b in names[i:]]).alias("products"))
-
-
-def ols(panel: DataFrame, frame: DataFrame, factors: list[str], *, least: int = 60, vif: float = 10.0, keep: tuple[str, ...] = ()) -> DataFrame:
-    """(isin, factor, beta, r2, n): multi-factor least squares per fund; factors whose variance inflation exceeds ``vif``
-    go first, worst first, but for those in ``keep``. Only one Gram row per fund leaves the JVM.
-    """
+def _solved(factors: list[str], least: int, vif: float, keep: tuple[str, ...], table: list[list[float]]):
+    """For sets of months (numbers of rows of ``table``): the factors that stay and the inverse of their normal matrix."""
     import numpy as np
     import pandas as pd
 
-    by = Window.partitionBy("isin").orderBy("date")
-    r = panel.select("isin", "date", F.log(F.col("nav") / F.lag("nav").over(by)).alias("r")).where("r is not null")
-    rows = r.join(F.broadcast(frame.select("date", *factors).dropna()), "date")  # one row per month
+    x_all = np.column_stack([np.ones(len(table)), np.array(table, float).reshape(len(table), len(factors))])
 
     def solve(batches):
-        k = len(factors) + 2
-        upper = np.triu_indices(k)
         for batch in batches:
             out = []
-            for isin, products in zip(batch["isin"], batch["products"], strict=True):
-                g = np.zeros((k, k))
-                g[upper] = products
-                g = g + np.triu(g, 1).T
-                n = g[0, 0]
+            for key, months in zip(batch["months_id"], batch["months"], strict=True):
+                x, n = x_all[list(months)], len(months)
                 if n < least:
                     continue
-                left = list(range(1, k - 1))
+                g = x.T @ x
                 cov = g / n - np.outer(g[0], g[0]) / n**2
+                left = list(range(1, len(factors) + 1))
                 while len(left) > 1:
                     sd = np.sqrt(np.maximum(np.diag(cov)[left], 1e-300))
                     inflation = np.diag(np.linalg.pinv(cov[np.ix_(left, left)] / np.outer(sd, sd)))
@@ -248,12 +235,48 @@ def ols(panel: DataFrame, frame: DataFrame, factors: list[str], *, least: int =
                     if worst is None or inflation[worst] <= vif:
                         break
                     left.pop(worst)
-                x = [0, *left]
-                beta = np.linalg.pinv(g[np.ix_(x, x)]) @ g[x, k - 1]
-                total = cov[k - 1, k - 1] * n
-                rest = g[k - 1, k - 1] - beta @ g[x, k - 1]
-                r2 = float(np.clip(1 - rest / total, 0, 1)) if total > 0 else 0.0
-                out += [(isin, "alpha_ann", float((1 + beta[0]) ** 12 - 1), r2, int(n)), *((isin, factors[f - 1], float(b), r2, int(n)) for f, b in zip(left, beta[1:], strict=True))]
-            yield pd.DataFrame(out, columns=["isin", "factor", "beta", "r2", "n"])
-
-    return gram(rows, factors, "isin").mapInPandas(solve, "isin long, factor string, beta double, r2 double, n long")
+                used = [0, *left]
+                out.append((key, used, np.linalg.pinv(g[np.ix_(used, used)]).tolist()))
+            yield pd.DataFrame(out, columns=["months_id", "used", "inverse"])
+
+    return solve
+
+
+def products(panel: DataFrame, frame: DataFrame, factors: list[str]) -> DataFrame:
+    """(isin, n, months, months_id, xr, rr): the months (row numbers of ``frame``, ordered by date) in which a fund has a log
+    return, and the sums of its returns' products with (1, factors) and with themselves."""
+    by = Window.partitionBy("isin").orderBy("date")
+    r = panel.select("isin", "date", F.log(F.col("nav") / F.lag("nav").over(by)).alias("r")).where("r is not null")
+    g = r.join(frame.select("date", "_month", *factors), "date").groupBy("isin")
+    xr = F.array(F.sum("r"), *[F.sum(F.col("r") * F.col(f)) for f in factors])
+    g = g.agg(F.count(F.lit(1)).alias("n"), F.sort_array(F.collect_list("_month")).alias("months"), xr.alias("xr"), F.sum(F.col("r") * F.col("r")).alias("rr"))
+    return g.select("isin", "n", "months", F.xxhash64("months").alias("months_id"), "xr", "rr")
+
+
+def numbered(frame: DataFrame, factors: list[str]) -> DataFrame:
+    """The months that have all factors, numbered by date: one row a month of the calendar."""
+    return frame.select("date", *factors).dropna().withColumn("_month", (F.row_number().over(calendar()) - 1).cast("int"))
+
+
+def ols(panel: DataFrame, frame: DataFrame, factors: list[str], *, least: int = 60, vif: float = 10.0, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(isin, factor, beta, r2, n): multi-factor least squares per fund; factors whose variance inflation exceeds ``vif``
+    go first, worst first, but for those in ``keep``.
+
+    Products of factors depend on nothing but the months that a fund has. They, the factors that stay and the inverse are
+    computed once for each distinct set of months; a fund only sums one product per factor, and its betas are that vector
+    times the inverse of its set.
+    """
+    frame = stored(numbered(frame, factors), "factors")  # one row a month
+    table = [list(r)[1:-1] for r in sorted(frame.select("date", *factors, "_month").collect(), key=lambda r: r["_month"])]
+    funds = stored(products(panel, frame, factors).where(F.col("n") >= least), "products")
+    sets = funds.groupBy("months_id").agg(F.first("months").alias("months"))
+    sets = stored(sets.mapInPandas(_solved(factors, least, vif, keep, table), "months_id long, used array<int>, inverse array<array<double>>"), "inverses")
+    fit = funds.select("isin", "n", "months_id", "xr", "rr").join(sets, "months_id").withColumn("v", F.transform("used", lambda i: F.get("xr", i)))
+    dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+    fit = fit.withColumn("beta", F.transform("inverse", lambda row: dot(row, F.col("v"))))
+    total = F.col("rr") - F.get("xr", F.lit(0)) * F.get("xr", F.lit(0)) / F.col("n")
+    share = F.greatest(F.lit(0.0), F.least(F.lit(1.0), 1 - (F.col("rr") - dot(F.col("beta"), F.col("v"))) / total))
+    names = F.array(F.lit("alpha_ann"), *map(F.lit, factors))
+    each = fit.select("isin", "n", F.when(total > 0, share).otherwise(0.0).alias("r2"), F.explode(F.arrays_zip("used", "beta")).alias("x"))
+    beta = F.when(F.col("x.used") == 0, F.pow(1 + F.col("x.beta"), 12) - 1).otherwise(F.col("x.beta"))
+    return each.select("isin", F.get(names, F.col("x.used")).alias("factor"), beta.alias("beta"), "r2", "n")

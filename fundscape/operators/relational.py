@@ -6,6 +6,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..sources.files import stored
+from .dictionary import first_prefix
+
 
 def upsert_replace(old: DataFrame, new: DataFrame, *keys: str) -> DataFrame:
     """Rows of both; of those with equal keys the new one."""
@@ -68,17 +71,29 @@ def export(df: DataFrame, *, include: list[str] | None = None, exclude: tuple[st
 
 
 def asof_backward(times: DataFrame, facts: DataFrame, at: str, value: str, *keys: str) -> DataFrame:
-    """``times`` (keys, at) with the last fact at or before each, by one sort of both; no join."""
+    """``times`` (keys, at) with the last fact at or before each that is not null, without a join of the two.
+
+    Both are sorted together by range, so a long history of one key, or one without keys, is spread over many partitions. In
+    each partition the last fact is carried forward; what a partition begins with comes from a table of one row per
+    partition and key in it, carried over partitions that hold no fact. Equal rows of ``times`` are kept one by one; nulls in
+    ``at`` come first, null keys are a key.
+    """
+    parts = int(times.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     both = times.select(*keys, at, F.lit(None).cast(dict(facts.dtypes)[value]).alias(value), F.lit(1).alias("_t")).unionByName(facts.select(*keys, at, value, F.lit(0).alias("_t")))
-    w = Window.partitionBy(*keys or [F.lit(0)]).orderBy(at, "_t")
-    return both.withColumn(value, F.last(value, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))).where("_t = 1").drop("_t")
+    both = stored(both.repartitionByRange(parts, *keys, at).withColumn("_part", F.spark_partition_id()), "asof")
+    here = Window.partitionBy("_part", *keys).orderBy(at, "_t").rowsBetween(Window.unboundedPreceding, 0)
+    local = both.withColumn("_last", F.last(value, ignorenulls=True).over(here))
+    ends = both.groupBy("_part", *keys).agg(F.max_by(value, F.when(F.col(value).isNotNull(), F.struct(at, "_t", value))).alias("_end"))
+    # As many rows as partitions and keys that meet, whatever the number of facts.
+    before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("_part").alias("_p"), F.last("_end", ignorenulls=True).over(before).alias("_carried"))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys], F.col("_part") == F.col("_p"))
+    return local.where("_t = 1").join(carried, same, "left").select(*keys, at, F.coalesce("_last", "_carried").alias(value))
 
 
 def prefix_first(texts: DataFrame, aliases: DataFrame, text: str) -> DataFrame:
-    """``texts`` with the label of the first alias (ord, prefix, label) that begins the text. A table of aliases is a
-    small dictionary; its size is checked against the broadcast bound by Spark, not forced."""
-    hit = texts.join(aliases, F.col(text).startswith(F.col("prefix")), "left")
-    return hit.groupBy(*texts.columns).agg(F.min(F.struct("ord", "label")).alias("_m")).select(*texts.columns, F.col("_m.label").alias("label"))
+    """``texts`` with the label of the first alias (ord, prefix, label) that begins the text."""
+    return first_prefix(texts, text, aliases).withColumn("label", F.col("match.label")).drop("match")
 
 
 def nearest_key(rows: DataFrame, key: str, target: Column, value: str, *groups: str, tolerance: float = 0.01) -> DataFrame:

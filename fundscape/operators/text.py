@@ -7,6 +7,8 @@ import unicodedata
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from .dictionary import match_signals
+
 
 def escape(signal: str) -> str:
     """A signal as a Java pattern that matches it literally."""
@@ -18,19 +20,11 @@ def first_label(text: Column, dictionary: list[tuple[str, list[str]]]) -> Column
     return F.coalesce(*[F.when(text.rlike("|".join(map(escape, signals))), F.lit(label)) for label, signals in dictionary])
 
 
-def match_dictionary(docs: DataFrame, text: str, key: str, dictionary: DataFrame, *, most: int = 10_000, gram: int = 6) -> DataFrame:
-    """The same for a large dictionary (ord, signal, label): a join on ``contains``, lowest ord first. Beyond ``most``
-    signals candidates come from a shuffle on the first ``gram`` characters of a signal (all, if it is shorter)."""
-    if dictionary.limit(most + 1).count() <= most:
-        hit = docs.select(key, text).join(F.broadcast(dictionary), F.col(text).contains(F.col("signal")), "left")
-    else:
-        signals = dictionary.where("signal is not null").withColumn("_gram", F.substring("signal", 1, gram))
-        windows = F.flatten(F.array(*[F.regexp_extract_all(F.col(text), F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1)) for n in range(gram + 1)]))
-        grams = docs.select(key, F.explode(F.array_distinct(windows)).alias("_gram"))
-        near = grams.join(signals.hint("merge"), "_gram").select(F.col(key).alias("_key"), "ord", "signal", "label").distinct()
-        fits = F.col(key).eqNullSafe(F.col("_key")) & F.col(text).contains(F.col("signal"))
-        hit = docs.select(key, text).join(near, fits, "left")
-    return hit.groupBy(key).agg(F.min(F.struct("ord", "label")).alias("m")).select(key, F.col("m.label").alias("label"))
+def match_dictionary(docs: DataFrame, text: str, key: str, dictionary: DataFrame, *, most: int = 1_000_000) -> DataFrame:
+    """(key, label): the same for a large dictionary (ord, signal, label), lowest ord first, of all rows of a key. All signals
+    are found in one pass by an automaton; about ``most`` of them are held at once."""
+    hit = match_signals(docs.select(key, text), text, dictionary, part_bytes=32 * most)
+    return hit.groupBy(key).agg(F.min(F.when(F.col("match").isNotNull(), F.struct("match.ord", "match.label"))).alias("m")).select(key, F.col("m.label").alias("label"))
 
 
 def count_hits(text: Column, patterns: list[str]) -> Column:

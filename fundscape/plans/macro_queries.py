@@ -188,6 +188,24 @@ def matrix(s, d):
     return frame, frame.columns[1:]
 
 
+_XR = ", ".join(f"round(sum(r * {f}), 4) AS xr_{f}" for f in M.FACTORS)
+_XX = ", ".join(f"round(sum({f} * {f}), 4) AS xx_{f}" for f in M.FACTORS)
+
+
+@query("ols_gram_sums", sql(f"""{", " + WIDE}, {MATRIX}, r AS (SELECT isin, date, ln(nav / lag(nav) OVER (PARTITION BY isin ORDER BY date)) AS r FROM nav)
+ SELECT isin, count(*) AS n, round(sum(r), 4) AS sum_r, round(sum(r * r), 4) AS rr, {_XR}, {_XX} FROM r JOIN (SELECT * FROM fm WHERE {" AND ".join(f"{c} IS NOT NULL" for c in M.FACTORS)}) USING (date) WHERE r IS NOT NULL GROUP BY isin""", "nav", "macro"))
+def ols_gram_sums(s, d):
+    """Each fund's sums of products with its return, and the squares of the factors, summed once per set of months."""
+    frame, factors = matrix(s, d)
+    frame = stored(M.numbered(frame, factors), "months")
+    funds = stored(M.products(T.nav(s, d), frame, factors), "products")
+    sets = funds.groupBy("months_id").agg(F.first("months").alias("months")).select("months_id", F.explode("months").alias("_month"))
+    squares = [F.round(F.sum(F.col(f) * F.col(f)), 4).alias(f"xx_{f}") for f in factors]
+    squares = sets.join(frame, "_month").groupBy("months_id").agg(*squares)
+    sums = [F.round(F.get("xr", F.lit(k + 1)), 4).alias(f"xr_{f}") for k, f in enumerate(factors)]
+    return funds.join(squares, "months_id").select("isin", "n", F.round(F.get("xr", F.lit(0)), 4).alias("sum_r"), F.round("rr", 4).alias("rr"), *sums, *[f"xx_{f}" for f in factors])
+
+
 @query("ols_betas_multi")
 def ols_betas_multi(s, d):
     return M.ols(T.nav(s, d), *matrix(s, d)).select("isin", "factor", F.round("beta", 6).alias("beta"), F.round("r2", 6).alias("r2"), "n")

@@ -151,10 +151,17 @@ Q("txt_context_windows", f"SELECT doc_id, count(*) AS n, string_agg(context, ' |
     lambda s, d: contexts(s, d).groupBy("doc_id").agg(F.count("*").alias("n"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("p", "context"))), lambda x: x["context"]), " | ").alias("contexts"))
 )
 Q("nearest_key_tolerance", "SELECT l_suppkey, min_by(l_quantity, (abs(l_discount - 0.05), l_quantity)) FILTER (abs(l_discount - 0.05) <= 0.011) AS l_quantity FROM lineitem GROUP BY l_suppkey")(lambda s, d: L.nearest_key(T.read(s, d, "lineitem"), "l_discount", F.lit(0.05), "l_quantity", "l_suppkey", tolerance=0.011))
-ALIAS = [(0, "red", "R"), (1, "re", "RE"), (2, "s", "S"), (3, "blue", "B")]
-Q("prefix_join_first", "SELECT p_partkey, p_name, (SELECT min_by(label, ord) FROM (VALUES (0, 'red', 'R'), (1, 're', 'RE'), (2, 's', 'S'), (3, 'blue', 'B')) a(ord, prefix, label) WHERE starts_with(p_name, prefix)) AS label FROM part")(
-    lambda s, d: L.prefix_first(T.read(s, d, "part").select("p_partkey", "p_name"), s.createDataFrame(ALIAS, "ord int, prefix string, label string"), "p_name")
-)
+# Aliases are the beginnings, of four lengths, of large parts' names; which length counts first is not the order of the lengths.
+ALIASES = "SELECT DISTINCT 7 * n % 11 AS ord, substr(p_name, 1, n) AS prefix, upper(substr(p_name, 1, n)) || n AS label FROM part, (VALUES (3), (5), (8), (11)) l(n) WHERE p_size > 35"
+
+
+@Q("prefix_join_first", f"SELECT p_partkey, p_name, (SELECT min_by(label, (ord, length(prefix), label)) FROM ({ALIASES}) WHERE starts_with(p_name, prefix)) AS label FROM part")
+def prefix_join_first(s, d):
+    part, n = T.read(s, d, "part"), F.explode(F.array(*map(F.lit, (3, 5, 8, 11)))).alias("n")
+    prefix = F.expr("substring(p_name, 1, n)")
+    aliases = part.where("p_size > 35").select("p_name", n).select((7 * c("n") % 11).alias("ord"), prefix.alias("prefix"), F.concat(F.upper(prefix), "n").alias("label")).distinct()
+    return L.prefix_first(part.select("p_partkey", "p_name"), aliases, "p_name")
+
 
 # Aggregations
 Q("agg_global_summary", sql("SELECT count(DISTINCT isin) AS funds, count(*) AS n, min(value) AS low, max(value) AS high FROM metrics", "metrics"))(lambda s, d: metrics(s, d).agg(F.count_distinct("isin").alias("funds"), F.count("*").alias("n"), F.min("value").alias("low"), F.max("value").alias("high")))

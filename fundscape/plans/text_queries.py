@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import text as X
+from ..operators import dictionary as D, text as X
 from ..sources import tables as T
 from .registry import query as Q
 
@@ -26,7 +26,27 @@ def case(text: str, dictionary) -> str:
 
 
 THEMES = [("metal", ["ring", "bolt"]), ("shape", ["gear", "plate"]), ("colour", ["red", "blue", "green"])]
-Q("txt_signal_first_match", f"SELECT id, {case('name', THEMES)} AS label FROM ({NAMES})")(lambda s, d: names(s, d).select("id", X.first_label(c("name"), THEMES).alias("label")))
+
+
+# Signals taken from the documents themselves: words of 8 to 12 plain letters that occur in 5 or more of them, the most frequent first.
+SIGNALS = """SELECT -count(DISTINCT doc_id) AS ord, signal, min(lang) AS label FROM (SELECT doc_id, lang, unnest(regexp_extract_all(text, '[a-z]{8,}')) AS signal FROM documents)
+ WHERE length(signal) <= 12 GROUP BY signal HAVING count(DISTINCT doc_id) >= 5"""
+
+
+def signals(s, d):
+    words = docs(s, d).select("doc_id", "lang", F.explode(F.regexp_extract_all("text", F.lit("[a-z]{8,}"), F.lit(0))).alias("signal")).where(F.length("signal") <= 12)
+    return words.groupBy("signal").agg((-F.count_distinct("doc_id")).alias("ord"), F.min("lang").alias("label")).where("ord <= -5").select("ord", "signal", "label")
+
+
+@Q(
+    "txt_signal_first_match",
+    f"""WITH s AS ({SIGNALS}), m AS (SELECT doc_id, min((ord, signal, label, instr(text, signal))) AS m FROM documents JOIN s ON contains(text, signal) GROUP BY doc_id)
+ SELECT doc_id, m[1] AS ord, m[2] AS signal, m[3] AS label, m[4]::INTEGER AS at FROM documents LEFT JOIN m USING (doc_id)""",
+)
+def signal_first_match(s, d):
+    return D.match_signals(docs(s, d).select("doc_id", "text"), "text", signals(s, d)).select("doc_id", "match.ord", "match.signal", "match.label", "match.at")
+
+
 DOCS = [("junk", ["!!", "###"]), ("en", ["the ", "with "]), ("fr", [" les ", " des "]), ("de", [" und ", " der "])]
 Q("txt_nature_cascade", f"SELECT doc_id, coalesce({case('substr(text, 1, 200)', DOCS)}, {case('text', DOCS[:2])}, lang) AS nature FROM documents")(lambda s, d: docs(s, d).select("doc_id", X.layers(X.first_label(F.substring("text", 1, 200), DOCS), X.first_label(c("text"), DOCS[:2]), c("lang")).alias("nature")))
 Q("txt_window_by_format", "SELECT doc_id, CASE WHEN contains(substr(text, 1, 600), ' | ') THEN substr(text, 1, 100) WHEN contains(substr(text, 1, 600), '!!') THEN substr(text, 50, 200) ELSE substr(text, 1, 1000) END AS part FROM documents")(lambda s, d: docs(s, d).select("doc_id", X.window_by_format(c("text"), [("table", " | ", 1, 100), ("loud", "!!", 50, 200)]).alias("part")))
@@ -77,7 +97,35 @@ bm = lambda s, d: names(s, d).select("id", F.get(F.array(*map(F.lit, PHRASES)),
 CLEAN = "SELECT id, CASE WHEN regexp_matches(t, '(?i)\\b(no benchmark|not applicable)\\b') THEN 'NO_BENCHMARK' WHEN NOT regexp_matches(t, '(?i)\\b(the fund|we|investors)\\b') AND length(u) >= 4 THEN u END AS benchmark FROM (SELECT *, trim(regexp_replace(t, '(?i)\\s*(,?\\s*(which|that)\\b|;|\\. [A-Z]).*$', '')) AS u FROM (" + BM + "))"
 Q("txt_benchmark_clean", CLEAN)(lambda s, d: bm(s, d).select("id", X.clean_benchmark(c("t")).alias("benchmark")))
 Q("txt_benchmark_extract", f"SELECT id, CASE WHEN benchmark = 'NO_BENCHMARK' THEN NULL ELSE benchmark END AS benchmark, coalesce(benchmark = 'NO_BENCHMARK', FALSE) AS declared_none FROM ({CLEAN})")(lambda s, d: bm(s, d).select("id", X.clean_benchmark(c("t")).alias("b")).select("id", F.nullif("b", F.lit("NO_BENCHMARK")).alias("benchmark"), F.coalesce(c("b") == "NO_BENCHMARK", F.lit(False)).alias("declared_none")))
-Q("txt_benchmark_normalize", "SELECT id, CASE id % 6 WHEN 0 THEN 'MSCI World' WHEN 1 THEN 'EURO STOXX 50 INDEX, WHICH TRACKS SHARES' WHEN 2 THEN 'NO BENCHMARK IS USED' WHEN 3 THEN 'THE FUND SEEKS GROWTH' WHEN 4 THEN 'Global Aggregate' ELSE 'ESTR' END AS benchmark FROM (" + NAMES + ")")(lambda s, d: bm(s, d).select("id", X.normal_benchmark(c("t"), [("MSCI World", "MSCI World"), ("Bloomberg Global Aggregate", "Global Aggregate")]).alias("benchmark")))
+# Index names: a part's brand, its name's words and a return variant. The first table knows makers with the name's first
+# word (the longer the earlier), the second one full names of some sizes, of which the variant may differ.
+INDEXES = "SELECT p_partkey AS id, p_brand || '  ' || p_name || CASE p_size % 3 WHEN 0 THEN ' NR EUR' WHEN 1 THEN ' gr usd ' ELSE '' END AS t, p_brand, p_name, p_size FROM part"
+FIRST_TABLE = f"SELECT DISTINCT -length(prefix) AS ord, prefix, upper(prefix) AS label FROM (SELECT lower(p_brand || ' ' || string_split(p_name, ' ')[1]) AS prefix FROM ({INDEXES}) WHERE p_size > 40)"
+SECOND_TABLE = f"SELECT DISTINCT p_size AS ord, lower(p_brand || ' ' || p_name || ' nr eur') AS prefix, p_name AS label FROM ({INDEXES}) WHERE p_size BETWEEN 10 AND 40"
+BEST = "SELECT t, min((ord, length(prefix), label, prefix)) AS m FROM (SELECT DISTINCT t FROM x) JOIN {table} ON starts_with(t, prefix) GROUP BY t"
+
+
+def indexes(s, d):
+    variant = F.when(c("p_size") % 3 == 0, " NR EUR").when(c("p_size") % 3 == 1, " gr usd ").otherwise("")
+    return T.read(s, d, "part").select(c("p_partkey").alias("id"), F.concat("p_brand", F.lit("  "), "p_name", variant).alias("t"), "p_brand", "p_name", "p_size")
+
+
+@Q(
+    "txt_benchmark_normalize",
+    f"""WITH i AS (SELECT id, trim(regexp_replace(lower(t), '[ ]+', ' ', 'g')) AS w FROM ({INDEXES})),
+ j AS (SELECT *, trim(regexp_replace(w, '{D.VARIANT}', '')) AS v FROM i), x AS (SELECT w AS t FROM j UNION SELECT v FROM j),
+ a AS ({FIRST_TABLE}), b AS ({SECOND_TABLE}), e AS (SELECT ord, label, trim(regexp_replace(prefix, '{D.VARIANT}', '')) AS prefix FROM b),
+ ma AS ({BEST.format(table='a')}), mb AS ({BEST.format(table='b')}), me AS ({BEST.format(table='e')})
+ SELECT id, CASE WHEN ma.m IS NOT NULL THEN 0 WHEN mb.m IS NOT NULL THEN 1 WHEN v <> w AND me.m IS NOT NULL THEN 2 END AS found_in, coalesce(ma.m[3], mb.m[3], CASE WHEN v <> w THEN me.m[3] END) AS benchmark
+ FROM j LEFT JOIN ma ON ma.t = w LEFT JOIN mb ON mb.t = w LEFT JOIN me ON me.t = v""",
+)
+def benchmark_normalize(s, d):
+    rows, name = indexes(s, d), F.lower(F.concat_ws(" ", "p_brand", F.get(F.split("p_name", " "), F.lit(0))))
+    first = rows.where("p_size > 40").select(name.alias("prefix")).distinct().select((-F.length("prefix")).alias("ord"), "prefix", F.upper("prefix").alias("label"))
+    second = rows.where("p_size between 10 and 40").select(c("p_size").alias("ord"), F.lower(F.concat_ws(" ", "p_brand", "p_name", F.lit("nr eur"))).alias("prefix"), c("p_name").alias("label")).distinct()
+    return D.normal_names(rows.select("id", "t"), "t", first, second).select("id", c("match.table").alias("found_in"), c("match.label").alias("benchmark"))
+
+
 Q("txt_benchmark_class_role", f"SELECT id, CASE WHEN regexp_matches(t, '(?i)equity|stoxx|msci|s&p') THEN 'Equity' WHEN regexp_matches(t, '(?i)bond|aggregate|treasury') THEN 'Fixed Income' WHEN regexp_matches(t, '(?i)estr|euribor|eonia') THEN 'Rate' END AS asset_class, CASE WHEN regexp_matches(t, '(?i)estr|euribor|eonia') THEN 'hurdle' ELSE 'proxy' END AS role FROM ({BM})")(lambda s, d: bm(s, d).select("id", X.asset_class(c("t")).alias("asset_class"), F.when(X.asset_class(c("t")) == "Rate", "hurdle").otherwise("proxy").alias("role")))
 GRID = "SELECT id, p_size, '|||Horizon|||1 year|||5 years|||' || chr(10) || '|||Total costs|||' || p_size || '|||' || (p_size * 4) || '|||' || chr(10) || 'note' || chr(10) || '|||Impact|||' || (p_size / 10.0) || '%|||' || (p_size / 20.0) || '%|||' || chr(10) || '|||Entry costs|||' || (p_size / 10.0) || '%|||' || chr(10) || '|||Management fees|||1.5%|||' AS t FROM (" + NAMES + ")"
 
