@@ -188,7 +188,7 @@ def matrix(s, d):
     return frame, frame.columns[1:]
 
 
-_XR = ", ".join(f"round(sum(r * {f}), 4) AS xr_{f}" for f in M.FACTORS)
+_XR = ", ".join(f"CASE WHEN round(sum(r * {f}), 4) = 0 THEN 0 ELSE round(sum(r * {f}), 4) END AS xr_{f}" for f in M.FACTORS)  # no negative zeros
 _XX = ", ".join(f"round(sum({f} * {f}), 4) AS xx_{f}" for f in M.FACTORS)
 
 

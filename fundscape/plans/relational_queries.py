@@ -64,7 +64,24 @@ def read_jsonstat(s, d):
 Q("source_priority_merge", "SELECT doc_id, q, CASE WHEN quality IS NOT NULL THEN 'labels' ELSE 'documents' END AS source FROM (SELECT d.doc_id, coalesce(l.quality, 9)::INTEGER AS q, quality FROM documents d LEFT JOIN labels l USING (doc_id))")(
     lambda s, d: L.first_source(T.read(s, d, "labels").select("doc_id", c("quality").cast("int").alias("q"), F.lit("labels").alias("source")).join(T.read(s, d, "documents").select("doc_id"), "doc_id", "left_semi").unionByName(T.read(s, d, "documents").select("doc_id", F.lit(9).alias("q"), F.lit("documents").alias("source"))), {"labels": 0, "documents": 1}, "doc_id")
 )
-Q("sink_long_metrics", sql("SELECT isin, metric, value FROM metrics", "metrics"))(metrics)
+@Q(
+    "sink_long_metrics",
+    sql(
+        """SELECT isin, metric, 'since_inception' AS horizon, value FROM metrics
+ UNION ALL SELECT isin, metric, '3Y', CASE WHEN isin IN (SELECT isin FROM master WHERE srri > 3) THEN value * 3 ELSE value / 2 END FROM metrics""",
+        "metrics", "master",
+    ),
+)
+def sink_long_metrics(s, d):
+    """Two horizons are written; then one of them comes again for some of the funds."""
+    path, long = files.shared_path(s, "metrics"), files.stored(metrics(s, d), "long-metrics")
+    horizon = lambda df, name, value: df.select("isin", "metric", F.lit(name).alias("horizon"), value.alias("value"))
+    files.replace_keyed(horizon(long, "since_inception", c("value")).union(horizon(long, "3Y", c("value") / 2)), path, "horizon", "isin", "metric")
+    again = horizon(long.join(T.master(s, d).where("srri > 3"), "isin", "left_semi"), "3Y", c("value") * 3)
+    files.replace_keyed(again, path, "horizon", "isin", "metric")
+    return files.read_partitioned(s, path, again.schema)
+
+
 # An earlier state of the panel, and a later delivery that corrects its last months and adds newer ones.
 OLD, NEW = "SELECT isin, date, nav FROM nav WHERE date < DATE '2000-07-01'", "SELECT isin, date, nav * 2 AS nav FROM nav WHERE date >= DATE '2000-01-01'"
 old = lambda s, d: T.nav(s, d).where("date < '2000-07-01'")

@@ -25,6 +25,31 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def replace_keyed(rows: DataFrame, path: str, by: str, *keys: str) -> None:
+    """Put ``rows`` into a table partitioned by ``by``: a row replaces the one of the same partition and keys, others stay.
+
+    Only the partitions that ``rows`` has are read and rewritten (dynamic partition overwrite, moved into place when the
+    job commits); no file of another one is touched. A run that is repeated leaves the same table. NaN counts as null, and of
+    rows with equal keys one is kept, the one with the largest values.
+    """
+    spark = rows.sparkSession
+    plain = [F.nanvl(c, F.lit(None)).alias(c) if t in ("double", "float") else F.col(c) for c, t in rows.dtypes]
+    others = [c for c in rows.columns if c not in (by, *keys)]
+    new = rows.select(*plain).groupBy(by, *keys).agg(F.max(F.struct(*others)).alias("_v")).select(by, *keys, "_v.*").select(*rows.columns)
+    new = stored(new, "replacing")
+    table = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if table.getFileSystem(spark._jsc.hadoopConfiguration()).exists(table):
+        touched = [r[0] for r in new.select(by).distinct().collect()]  # partitions, not rows
+        old = read_partitioned(spark, path, rows.schema).where(F.col(by).isin(touched) | F.col(by).isNull())
+        new = old.join(new.select(by, *keys), [old[c].eqNullSafe(new[c]) for c in (by, *keys)], "left_anti").unionByName(new)
+    new.repartition(by, F.pmod(F.xxhash64(*keys), F.lit(8))).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
+
+
+def read_partitioned(spark: SparkSession, path: str, schema) -> DataFrame:
+    """A table written by partitions; a filter on them prunes folders."""
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
+
+
 def jdbc_sink(df: DataFrame, url: str, table: str, *, mode: str = "append", tasks: int = 16, **properties: str) -> None:
     """Write to a database table through at most ``tasks`` connections."""
     df.coalesce(tasks).write.jdbc(url, table, mode=mode, properties=properties)

@@ -7,12 +7,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..sources.files import shared_path
 
 
-def monthly_last(rows: DataFrame) -> DataFrame:
-    """(isin, date, nav, at): the latest value of each fund and month."""
-    key = [F.col("isin"), F.last_day("at").alias("date")]
-    return rows.groupBy(*key).agg(F.max_by("nav", F.struct("at", "nav")).alias("nav"), F.max("at").alias("at"))
-
-
 def _parts(target: str):
     """A writer of each batch's rows to its own part of a table; a batch that is repeated replaces its part."""
 
@@ -33,16 +27,100 @@ def _run(spark: SparkSession, rows: DataFrame, mode: str, target: str, offsets:
     return spark.read.schema(schema).parquet(target)
 
 
-def upsert_stream(spark: SparkSession, source: str, schema: str, *, target: str | None = None, offsets: str | None = None, files_per_batch: int = 2) -> DataFrame:
+CHANGES = "isin long, date date, nav double, at timestamp"
+
+
+def open_months(reopen: int, idle_ms: int):
+    """A state function that keeps, per fund, the last values of its newest months and passes on only what a batch changes.
+
+    ``reopen`` months before a fund's newest one stay open. A value of an open month is passed on if it is later than the one
+    kept (equal times: larger); one of a month that is closed already is passed on as well, as nothing is kept to compare it
+    with: where the table is read the later value wins. So the state of a fund is a few numbers, however long its history.
+    Funds that bring nothing for ``idle_ms`` lose their state by a timer, which costs no value for the same reason.
+    """
+
+    def update(key, batches, state):
+        import pandas as pd
+
+        columns = ["date", "nav", "at"]
+        if state.hasTimedOut:
+            state.remove()
+            return
+        new = pd.concat([b[["at", "nav"]] for b in batches])
+        new = new[new["at"].notna()]
+        new["date"] = new["at"].dt.to_period("M").dt.end_time.dt.date
+        kept = pd.DataFrame(dict(zip(columns, state.get, strict=True)) if state.exists else {c: [] for c in columns})
+        kept["at"] = pd.to_datetime(kept["at"]).astype(new["at"].dtype)
+        both = pd.concat([f.assign(fresh=n)[[*columns, "fresh"]] for f, n in ((kept, False), (new, True)) if len(f)] or [new.assign(fresh=True)])
+        # Of a month's values the latest; of equal ones the kept one, which is no change.
+        last = both.sort_values("fresh", ascending=False).sort_values(["at", "nav"], na_position="first", kind="stable").drop_duplicates("date", keep="last").sort_values("date")
+        if len(last):
+            opened = (pd.Period(last["date"].iloc[-1], "M") - reopen).start_time.date()
+            keep = last[last["date"] >= opened]
+            state.update((keep["date"].tolist(), keep["nav"].tolist(), [t.to_pydatetime() for t in keep["at"]]))
+            state.setTimeoutDuration(idle_ms)
+        changed = last[last["fresh"].astype(bool)]
+        yield pd.DataFrame({"isin": [key[0]] * len(changed), "date": changed["date"].tolist(), "nav": changed["nav"].tolist(), "at": changed["at"].tolist()})
+
+    return update
+
+
+def _folders(spark: SparkSession, target: str) -> dict[str, object]:
+    """The parts of a table by name, with their paths."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(target)
+    return {f.getPath().getName(): f.getPath() for f in path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)}
+
+
+def _current(spark: SparkSession, target: str) -> tuple[list[str], int, list[str]]:
+    """(the parts that count: the last whole compaction and the batches after it; the last batch; parts that no longer count)."""
+    names = list(_folders(spark, target))
+    number = lambda n: int(n.split("=")[1])
+    whole = max((number(n) for n in names if n.startswith("upto=") and "_SUCCESS" in _folders(spark, f"{target}/{n}")), default=None)
+    batches = [n for n in names if n.startswith("batch=")]
+    used = [n for n in batches if whole is None or number(n) > whole] + ([f"upto={whole}"] if whole is not None else [])
+    return used, max((number(n) for n in batches), default=-1 if whole is None else whole), [n for n in names if n not in used]
+
+
+def read_upserted(spark: SparkSession, target: str) -> DataFrame:
+    """(isin, date, nav, at): the parts that count, of each fund and month the latest value."""
+    used = _current(spark, target)[0]
+    if not used:
+        return spark.createDataFrame([], CHANGES)
+    rows = spark.read.schema(CHANGES).parquet(*[f"{target}/{n}" for n in used])
+    return rows.groupBy("isin", "date").agg(F.max_by("nav", F.struct("at", "nav")).alias("nav"), F.max("at").alias("at"))
+
+
+def compact(spark: SparkSession, target: str) -> None:
+    """Merge all parts into one; the old ones go once it is whole. Broken off anywhere, the table reads the same."""
+    last = _current(spark, target)[1]
+    read_upserted(spark, target).select("isin", "date", "nav", "at").write.mode("overwrite").parquet(f"{target}/upto={last}")
+    folders = _folders(spark, target)
+    for name in _current(spark, target)[2]:
+        folders[name].getFileSystem(spark._jsc.hadoopConfiguration()).delete(folders[name], True)
+
+
+def upsert_stream(spark: SparkSession, source: str, schema: str, *, target: str | None = None, offsets: str | None = None, files_per_batch: int = 2, reopen: int = 2, idle_days: int = 90, most_parts: int = 16) -> DataFrame:
     """(isin, date, nav): monthly last values of (isin, at, nav) files read batch by batch; the last write wins.
 
-    A batch adds its rows as one part, nothing is rewritten, and parts are merged by (fund, month) where they are read.
-    All state lies in ``target`` and ``offsets``, so a restarted stream keeps the earlier table.
+    Keyed state (see ``open_months``) lets a batch write only the values that it changes, as one part; a repeated batch replaces
+    its part. Once there are more than ``most_parts`` they are compacted, so a read costs the table and a few parts, however
+    many batches there were. All state lies in ``target`` and ``offsets``, so a restarted stream keeps the earlier table.
     """
     target, offsets = target or shared_path(spark, "nav-state"), offsets or shared_path(spark, "nav-offsets")
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(source)
-    parts = _run(spark, stream.select("isin", "at", "nav"), "append", target, offsets)
-    return monthly_last(parts).select("isin", "date", "nav")
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(source).select("isin", "at", "nav")
+    state = "date array<date>, nav array<double>, at array<timestamp>"
+    changes = stream.groupBy("isin").applyInPandasWithState(open_months(reopen, idle_days * 86_400_000), CHANGES, state, "update", "ProcessingTimeTimeout")
+    spark.createDataFrame([], CHANGES).write.mode("overwrite").parquet(f"{target}/batch=-1")
+    idle, before = "spark.sql.streaming.noDataMicroBatches.enabled", spark.conf.get("spark.sql.streaming.noDataMicroBatches.enabled")
+    spark.conf.set(idle, "false")  # timers would have empty batches run without end
+    try:
+        query = changes.writeStream.foreachBatch(_parts(target)).outputMode("update").option("checkpointLocation", offsets).trigger(availableNow=True).start()
+        query.awaitTermination()
+    finally:
+        spark.conf.set(idle, before)
+    if len(_current(spark, target)[0]) > most_parts:
+        compact(spark, target)
+    return read_upserted(spark, target).select("isin", "date", "nav")
 
 
 def log_counts(spark: SparkSession, source: str, schema: str, *, window: str = "1 day", late: str = "2 days", target: str | None = None, offsets: str | None = None) -> DataFrame:
