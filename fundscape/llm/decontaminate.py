@@ -25,7 +25,7 @@ from .common import LOWER, cut, byte_prefix, byte_table, prefix, row_slices, run
 WORD = byte_table(bytes(range(0x30, 0x3A)) + bytes(range(0x61, 0x7B)) + bytes(range(0x80, 0x100)))
 WORD_PATTERN = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER_AZ, LOWER_AZ = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-OUT = "doc_id long, n_words long, n_hit long, items array<string>, spans array<struct<start:long,stop:long>>"
+OUT = "doc_id long, n_words long, n_hit long, items array<string>, spans array<struct<start:long,stop:long>>, text_hash long"
 
 
 class WindowSet:
@@ -114,8 +114,9 @@ def _scan(state: dict, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
                     pa.array(n_hit, pa.int64()),
                     pa.array([sorted(x for x in items.get(d, ()) if x is not None) for d in range(j - i)], pa.list_(pa.string())),
                     pa.array([spans.get(d, []) for d in range(j - i)], pa.list_(span)),
+                    batch.column(2)[i:j],
                 ],
-                names=["doc_id", "n_words", "n_hit", "items", "spans"],
+                names=["doc_id", "n_words", "n_hit", "items", "spans", "text_hash"],
             )
 
 
@@ -131,7 +132,7 @@ def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             hit = np.zeros(len(starts), bool)
             hit[np.array(words.as_py(), np.int64)] = True
             found.append([{"start": int(starts[a]), "stop": int(ends[b - 1])} for a, b in zip(*runs(hit, np.array([0, len(hit)])), strict=True)])
-        yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(found, pa.list_(span))], names=["doc_id", "n_words", "n_hit", "items", "spans"])
+        yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(found, pa.list_(span)), batch.column(6)], names=["doc_id", "n_words", "n_hit", "items", "spans", "text_hash"])
 
 
 def _joined(docs: DataFrame, items: DataFrame, window: int) -> DataFrame:
@@ -142,7 +143,7 @@ def _joined(docs: DataFrame, items: DataFrame, window: int) -> DataFrame:
     def windows(n):
         return F.transform(F.sequence(F.lit(0), F.size("w") - n), lambda i: F.struct(i.alias("at"), F.array_join(F.slice("w", i + 1, n), " ").alias("key")))
 
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text", words(F.col("text")).alias("w"))
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash"), words(F.col("text")).alias("w"))
     keys = items.select(F.col("item_id").cast("string").alias("item"), words(F.col("text")).alias("w")).where(F.size("w") > 0)
     keys = keys.withColumn("n", F.least(F.lit(window), F.size("w")))
     keys = keys.select("item", "n", F.explode(windows(F.col("n"))).alias("x")).select("item", "n", F.col("x.key").alias("key")).distinct()
@@ -154,21 +155,21 @@ def _joined(docs: DataFrame, items: DataFrame, window: int) -> DataFrame:
     hits = hits.groupBy("row").agg(F.collect_set("word").alias("words"), F.sort_array(F.collect_set("item")).alias("items"))
     full = rows.join(hits, "row", "left").select(
         "doc_id", F.size("w").cast("long").alias("n_words"), F.coalesce(F.size("words"), F.lit(0)).cast("long").alias("n_hit"),
-        F.coalesce("items", F.array().cast("array<string>")).alias("items"), F.when(F.col("words").isNotNull(), F.col("text")).alias("text"), F.coalesce("words", F.array().cast("array<int>")).alias("words"),
+        F.coalesce("items", F.array().cast("array<string>")).alias("items"), F.when(F.col("words").isNotNull(), F.col("text")).alias("text"), F.coalesce("words", F.array().cast("array<int>")).alias("words"), "text_hash",
     )
     return full.mapInArrow(_spans, OUT)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, *, window: int = 13, broadcast_bytes: int = 8 << 20) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): n_words, n_hit, the sorted ids of the items with occurring windows
-    and the hit byte ranges. ``benchmark``: (item_id, text); an item without id hits words, but is not named.
+    and the hit byte ranges, and the hash of the text. ``benchmark``: (item_id, text); an item without id hits words, but is not named.
     """
     size = benchmark.select(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first()["n"]
     if size > broadcast_bytes:
         return _joined(docs, benchmark, window)
     items = [(None if r["item_id"] is None else str(r["item_id"]), r["text"]) for r in benchmark.where("text is not null").select("item_id", "text").collect()]
     shared = docs.sparkSession.sparkContext.broadcast(WindowSet(items, window).__dict__)  # plain data
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(lambda batches: _scan(shared.value, batches), OUT)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash")).mapInArrow(lambda batches: _scan(shared.value, batches), OUT)
 
 
 def verdicts(found: DataFrame, *, one_in: int = 20) -> DataFrame:
@@ -177,21 +178,23 @@ def verdicts(found: DataFrame, *, one_in: int = 20) -> DataFrame:
 
 
 def remove_spans(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """``docs`` with the hit byte ranges of ``found`` cut out of their texts; doc_id must be unique."""
+    """``docs`` with the hit byte ranges of ``found`` cut out of their texts. Rows are told apart by (doc_id, text), null ids
+    included: ``found`` is what ``decontaminate`` gives for ``docs``; rows that share both have the same ranges."""
     def kept(text, spans):
         edges = F.concat(F.array(F.lit(0)), F.flatten(F.transform(spans, lambda s: F.array(s["start"].cast("int"), s["stop"].cast("int")))), F.array(F.octet_length(text)))
         raw, last = text.cast("binary"), (F.size(edges) / 2 - 1).cast("int")
         part = lambda i: F.substring(raw, F.get(edges, i * 2) + 1, F.get(edges, i * 2 + 1) - F.get(edges, i * 2))
         return F.aggregate(F.transform(F.sequence(F.lit(0), last), part), F.lit(b""), lambda a, b: F.concat(a, b)).cast("string")
 
-    spans = found.where("n_hit > 0").select("doc_id", F.col("spans").alias("_spans"))
-    joined = docs.join(spans, "doc_id", "left")
-    return joined.select(*[F.when(F.col("_spans").isNotNull(), kept(F.col("text"), F.col("_spans"))).otherwise(F.col("text")).alias("text") if c == "text" else joined[c] for c in docs.columns])
+    hit = found.where("n_hit > 0").groupBy("doc_id", "text_hash").agg(F.first("spans").alias("spans"))
+    joined = docs.join(hit, docs["doc_id"].cast("long").eqNullSafe(hit["doc_id"]) & (F.xxhash64(docs["text"]) == hit["text_hash"]), "left")
+    text, spans = docs["text"], hit["spans"]
+    return joined.select(*[F.when(spans.isNotNull(), kept(text, spans)).otherwise(text).alias("text") if c == "text" else docs[c] for c in docs.columns])
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, *, window: int = 13, one_in: int = 20) -> DataFrame:
     """The rows of ``docs``, as they are, that are not contaminated; rows are told apart by (doc_id, text)."""
-    mark = F.xxhash64("text")
+    mark = F.xxhash64(docs["text"])
     numbered = docs.select(mark.alias("doc_id"), "text")
-    bad = verdicts(decontaminate(numbered, benchmark, window=window), one_in=one_in).where("contaminated").select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(cut(bad, "bad"), mark == F.col("_bad"), "left_anti")
+    bad = cut(verdicts(decontaminate(numbered, benchmark, window=window), one_in=one_in).where("contaminated").select("doc_id").distinct(), "bad")
+    return docs.join(bad, mark == bad["doc_id"], "left_anti")

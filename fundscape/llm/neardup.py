@@ -221,5 +221,6 @@ def near_duplicates(docs: DataFrame, *, shingle_words: int = 5, percent: int = 8
 
 def drop_near_duplicates(docs: DataFrame, *, shingle_words: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs``, as they are, whose document is the first of its component."""
-    gone = near_duplicates(docs, shingle_words=shingle_words, percent=percent).where("not kept and doc_id is not null").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(cut(gone, "gone"), docs["doc_id"].cast("long") == F.col("_gone"), "left_anti")
+    gone = near_duplicates(docs, shingle_words=shingle_words, percent=percent).where("not kept and doc_id is not null").select("doc_id").distinct()
+    gone = cut(gone, "gone")
+    return docs.join(gone, docs["doc_id"].cast("long") == gone["doc_id"], "left_anti")
