@@ -182,9 +182,39 @@ def forward_returns(panel: DataFrame, months: tuple[int, ...] = (1, 3, 12)) -> D
     return each.join(later, ["isin", "to"]).select("isin", "date", "h", (F.col("later") / F.col("nav") - 1).alias("ret"))
 
 
-def portfolio_returns(weights: DataFrame, forward: DataFrame) -> DataFrame:
-    """(date, h, ret): weighted mean of the available funds of a portfolio (isin, weight)."""
-    return forward.join(F.broadcast(weights), "isin").groupBy("date", "h").agg((F.sum(F.col("weight") * F.col("ret")) / F.sum("weight")).alias("ret"))  # a chosen portfolio
+def refilled(scores: DataFrame, *, most: int = 10) -> DataFrame:
+    """(part, isin, total): of each part, in order, the ``most`` best funds that no earlier part has taken.
+
+    An earlier part can take at most ``most`` of a part's funds, so the fold sees no more than the best ``most`` times the
+    number of parts of each, whatever the number of funds.
+    """
+    w = Window.partitionBy("part").orderBy(F.desc("total"), "isin")
+    best = scores.where("total > 0").withColumn("_k", F.row_number().over(w)).where(F.col("_k") <= most * len(PARTS))
+    item = F.struct(by_part({p: k for k, p in enumerate(PARTS)}, F.col("part")).alias("o"), F.col("_k").alias("k"), "part", "isin", "total")
+    rows = best.groupBy().agg(F.array_sort(F.collect_list(item)).alias("items"))
+    none = F.filter("items", lambda x: F.lit(False))
+
+    def take(taken, x):
+        free = ~F.exists(taken, lambda y: y["isin"] == x["isin"]) & (F.size(F.filter(taken, lambda y: y["part"] == x["part"])) < most)
+        return F.when(free, F.concat(taken, F.array(x))).otherwise(taken)
+
+    return rows.select(F.explode(F.aggregate("items", none, take)).alias("x")).select("x.part", "x.isin", "x.total")
+
+
+def regime_portfolios(chosen: DataFrame, regimes: dict[str, tuple[float, float, float]]) -> DataFrame:
+    """(regime, part, isin, weight): in each regime a part has the regime's share, dealt to its funds (part, isin, total) by score."""
+    inside = chosen.withColumn("share", F.col("total") / F.sum("total").over(Window.partitionBy("part")))
+    shares = {f"{r}/{p}": w for r, ws in regimes.items() for p, w in zip(PARTS, ws, strict=True) if w}
+    every = inside.withColumn("regime", F.explode(F.array(*map(F.lit, regimes))))
+    return every.select("regime", "part", "isin", (F.col("share") * by_part(shares, F.concat_ws("/", "regime", "part"))).alias("weight")).where("weight is not null")
+
+
+def portfolio_returns(weights: DataFrame, forward: DataFrame, regimes: DataFrame) -> DataFrame:
+    """(date, regime, h, ret): each month's return of the portfolio of its own regime, (regime, isin, weight), as the weighted
+    mean of its available funds. ``regimes`` (date, regime) has a row a month; Spark broadcasts what it finds small."""
+    held = weights.groupBy("regime", "isin").agg(F.sum("weight").alias("weight"))
+    rows = forward.join(weights.select("isin").distinct(), "isin", "left_semi").join(regimes.select("date", "regime"), "date").join(held, ["regime", "isin"])
+    return rows.groupBy("date", "regime", "h").agg((F.sum(F.col("weight") * F.col("ret")) / F.sum("weight")).alias("ret"))
 
 
 def equal_weight(forward: DataFrame, *, funds: int = 100) -> DataFrame:
@@ -193,8 +223,12 @@ def equal_weight(forward: DataFrame, *, funds: int = 100) -> DataFrame:
     return forward.withColumn("_k", F.row_number().over(w)).where(F.col("_k") <= funds).groupBy("date", "h").agg(F.avg("ret").alias("bench"))
 
 
-def evaluate(portfolio: DataFrame, bench: DataFrame, regimes: DataFrame) -> DataFrame:
-    """(regime, h, months, ret, bench, excess, hit) over the months of a regime."""
-    full = portfolio.join(bench, ["date", "h"]).join(F.broadcast(regimes), "date")  # one row per month
-    hit = F.avg(F.when(F.col("ret") > F.col("bench"), 1.0).otherwise(0.0))
-    return full.groupBy("regime", "h").agg(F.count("*").alias("months"), F.avg("ret").alias("ret"), F.avg("bench").alias("bench"), F.avg(F.col("ret") - F.col("bench")).alias("excess"), hit.alias("hit"))
+def evaluate(portfolio: DataFrame, bench: DataFrame) -> DataFrame:
+    """(regime, h, months, ret, bench, excess, hit) of (date, regime, h, ret) over the months of each regime, and over all of them
+    as regime GLOBAL, there a year's: the mean return compounded, the mean excess times the windows in a year."""
+    full = portfolio.join(bench, ["date", "h"])
+    hit = F.avg(F.when(F.col("ret") > F.col("bench"), 1.0).otherwise(0.0)).alias("hit")
+    means = [F.count("*").alias("months"), F.avg("ret").alias("ret"), F.avg("bench").alias("bench"), F.avg(F.col("ret") - F.col("bench")).alias("excess"), hit]
+    year = lambda c: (F.pow(1 + F.col(c), 12 / F.col("h")) - 1).alias(c)
+    whole = full.groupBy("h").agg(*means).select(F.lit("GLOBAL").alias("regime"), "h", "months", year("ret"), year("bench"), (F.col("excess") * 12 / F.col("h")).alias("excess"), "hit")
+    return full.groupBy("regime", "h").agg(*means).unionByName(whole)

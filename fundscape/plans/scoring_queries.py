@@ -161,33 +161,45 @@ def top(s, d, scored=None):
     return (scores(s, d) if scored is None else scored).where("total > 0").withColumn("k", F.row_number().over(w)).where("k <= 10").select("isin", "part", "nature", "total")
 
 
-PORTFOLIO = TOP + ", pw AS (SELECT isin, sum(total) / (SELECT sum(total) FROM tp) AS weight FROM tp GROUP BY isin), ix AS (SELECT isin, date, nav, year(date) * 12 + month(date) AS m FROM nav), fw AS (SELECT a.isin, a.date, h, b.nav / a.nav - 1 AS ret FROM ix a CROSS JOIN (VALUES (1), (3), (12)) v(h) JOIN ix b ON a.isin = b.isin AND b.m = a.m + h)"
+_BEST = lambda part, used: f"SELECT isin, part, total FROM sc WHERE part = '{part}' AND total > 0{used} ORDER BY total DESC, isin LIMIT 10"
+#: The portfolio of each regime: ten funds a part that no earlier part has, weighted by score and the regime's share of the part.
+PORTFOLIO = f"""{SCORES}, t1 AS ({_BEST("Defensiva", "")}), t2 AS ({_BEST("Equilibrada", " AND isin NOT IN (SELECT isin FROM t1)")}),
+ t3 AS ({_BEST("Dinamica", " AND isin NOT IN (SELECT isin FROM t1 UNION SELECT isin FROM t2)")}), rf AS (SELECT * FROM t1 UNION ALL SELECT * FROM t2 UNION ALL SELECT * FROM t3),
+ pw AS (SELECT regime, part, isin, total / sum(total) OVER (PARTITION BY regime, part) * CASE part WHEN 'Defensiva' THEN d WHEN 'Equilibrada' THEN e ELSE y END AS weight
+ FROM rf CROSS JOIN (VALUES ('Crisis_Financiera', 0.70::DOUBLE, 0.25::DOUBLE, 0.05::DOUBLE), ('Shock_Energetico', 0.55, 0.35, 0.10), ('Estanflacion', 0.50, 0.35, 0.15), ('Contraccion', 0.60, 0.35, 0.05),
+ ('Recalentamiento_Tardio', 0.40, 0.40, 0.20), ('Recalentamiento', 0.30, 0.40, 0.30), ('Expansion', 0.20, 0.45, 0.35)) v(regime, d, e, y)),
+ ix AS (SELECT isin, date, nav, year(date) * 12 + month(date) AS m FROM nav), fw AS (SELECT a.isin, a.date, h, b.nav / a.nav - 1 AS ret FROM ix a CROSS JOIN (VALUES (1), (3), (12)) v(h) JOIN ix b ON a.isin = b.isin AND b.m = a.m + h),
+ pf AS (SELECT date, regime, h, sum(weight * ret) / sum(weight) AS ret FROM fw JOIN rg USING (date) JOIN pw USING (regime, isin) GROUP BY date, regime, h)"""
 
 
-def portfolio(s, d):
-    t = top(s, d).withColumn("w", F.col("total") / F.sum("total").over(Window.partitionBy(F.lit(0))))  # ten funds a part
-    return t.groupBy("isin").agg(F.sum("w").alias("weight"))
+def portfolios(s, d):
+    """(regime, part, isin, weight), written once: a row for each regime and chosen fund."""
+    return stored(S.regime_portfolios(S.refilled(scores(s, d)), M.REGIMES), "portfolios")
+
+
+def monthly(s, d, forward):
+    return S.portfolio_returns(portfolios(s, d), forward, regimes(s, d))
 
 
 query("forward_returns", sql(", ix AS (SELECT isin, date, nav, year(date) * 12 + month(date) AS m FROM nav) SELECT a.isin, a.date, h, round(b.nav / a.nav - 1, 6) AS ret FROM ix a CROSS JOIN (VALUES (1), (3), (12)) v(h) JOIN ix b ON a.isin = b.isin AND b.m = a.m + h", "nav"))(lambda s, d: S.forward_returns(T.nav(s, d)).select("isin", "date", "h", F.round("ret", 6).alias("ret")))
-query("portfolio_forward_return", sql(f"{PORTFOLIO} SELECT date, h, round(sum(weight * ret) / sum(weight), 6) AS ret FROM fw JOIN pw USING (isin) GROUP BY date, h", *NEED))(lambda s, d: S.portfolio_returns(portfolio(s, d), S.forward_returns(T.nav(s, d))).select("date", "h", F.round("ret", 6).alias("ret")))
+query("portfolio_forward_return", sql(f"{PORTFOLIO} SELECT date, h, round(ret, 6) AS ret FROM pf", *NEED))(lambda s, d: monthly(s, d, S.forward_returns(T.nav(s, d))).select("date", "h", F.round("ret", 6).alias("ret")))
 BENCH = "bn AS (SELECT date, h, avg(ret) AS bench FROM (SELECT * FROM fw QUALIFY row_number() OVER (PARTITION BY date, h ORDER BY isin) <= 100) GROUP BY date, h)"
 query("equal_weight_benchmark", sql(f"{PORTFOLIO}, {BENCH} SELECT date, h, round(bench, 6) AS bench FROM bn", *NEED))(lambda s, d: S.equal_weight(S.forward_returns(T.nav(s, d))).select("date", "h", F.round("bench", 6).alias("bench")))
 
 
-@query("evaluate_by_regime", sql(f"{PORTFOLIO}, {BENCH}, pf AS (SELECT date, h, sum(weight * ret) / sum(weight) AS ret FROM fw JOIN pw USING (isin) GROUP BY date, h) SELECT regime, h, count(*) AS months, round(avg(ret), 6) AS ret, round(avg(bench), 6) AS bench, round(avg(ret - bench), 6) AS excess, round(avg(CASE WHEN ret > bench THEN 1.0 ELSE 0.0 END), 6) AS hit FROM pf JOIN bn USING (date, h) JOIN rg USING (date) GROUP BY regime, h", *NEED))
+@query("evaluate_by_regime", sql(f"""{PORTFOLIO}, {BENCH}, j AS (SELECT *, CASE WHEN ret > bench THEN 1.0 ELSE 0.0 END AS won FROM pf JOIN bn USING (date, h)),
+ ev AS (SELECT regime, h, count(*) AS months, avg(ret) AS ret, avg(bench) AS bench, avg(ret - bench) AS excess, avg(won) AS hit FROM j GROUP BY regime, h
+ UNION ALL SELECT 'GLOBAL', h, count(*), pow(1 + avg(ret), 12.0 / h) - 1, pow(1 + avg(bench), 12.0 / h) - 1, avg(ret - bench) * 12 / h, avg(won) FROM j GROUP BY h)
+ SELECT regime, h, months, round(ret, 6) AS ret, round(bench, 6) AS bench, round(excess, 6) AS excess, round(hit, 6) AS hit FROM ev""", *NEED))
 def evaluate_by_regime(s, d):
     forward = S.forward_returns(T.nav(s, d))
-    out = S.evaluate(S.portfolio_returns(portfolio(s, d), forward), S.equal_weight(forward), regimes(s, d))
+    out = S.evaluate(monthly(s, d, forward), S.equal_weight(forward))
     return out.select("regime", "h", "months", *[F.round(c, 6).alias(c) for c in ("ret", "bench", "excess", "hit")])
 
 
-@query("regime_portfolio_weights", sql(f"{TOP}, k AS (SELECT *, row_number() OVER (PARTITION BY isin ORDER BY CASE part WHEN 'Defensiva' THEN 0 WHEN 'Equilibrada' THEN 1 ELSE 2 END) AS n FROM tp) SELECT part, isin, round(total / sum(total) OVER (PARTITION BY part) * CASE part WHEN 'Defensiva' THEN 0.20::DOUBLE WHEN 'Equilibrada' THEN 0.45 ELSE 0.35 END, 6) AS weight FROM k WHERE n = 1", *NEED))
+@query("regime_portfolio_weights", sql(f"{PORTFOLIO} SELECT regime, part, isin, round(weight, 6) AS weight FROM pw", *NEED))
 def regime_portfolio_weights(s, d):
-    order = S.by_part({p: k for k, p in enumerate(S.PARTS)}, F.col("part"))
-    once = top(s, d).withColumn("n", F.row_number().over(Window.partitionBy("isin").orderBy(order))).where("n = 1")
-    factor = S.by_part(dict(zip(S.PARTS, M.REGIMES["Expansion"], strict=True)), F.col("part"))
-    return once.select("part", "isin", F.round(F.col("total") / F.sum("total").over(Window.partitionBy("part")) * factor, 6).alias("weight"))
+    return portfolios(s, d).select("regime", "part", "isin", F.round("weight", 6).alias("weight"))
 
 
 COSTS = [("Monetario", 0.0, 0.0), ("Renta Variable", 0.01, 0.005), ("Mixtos", 0.005, 0.005)]
@@ -253,9 +265,9 @@ query("nav_matrix_rebased", sql("SELECT isin, date, round(100 * nav / first_valu
 )
 
 
-@query("curve_drawdown", sql(f"{PORTFOLIO}, pf AS (SELECT date, sum(weight * ret) / sum(weight) AS ret FROM fw JOIN pw USING (isin) WHERE h = 1 GROUP BY date), c AS (SELECT date, exp(sum(ln(1 + ret)) OVER (ORDER BY date)) AS v FROM pf) SELECT date, round(v / max(v) OVER (ORDER BY date) - 1, 6) AS dd FROM c", *NEED))
+@query("curve_drawdown", sql(f"{PORTFOLIO}, c AS (SELECT date, exp(sum(ln(1 + ret)) OVER (ORDER BY date)) AS v FROM pf WHERE h = 1) SELECT date, round(v / max(v) OVER (ORDER BY date) - 1, 6) AS dd FROM c", *NEED))
 def curve_drawdown(s, d):
-    p = S.portfolio_returns(portfolio(s, d), S.forward_returns(T.nav(s, d), (1,)))
+    p = monthly(s, d, S.forward_returns(T.nav(s, d), (1,)))
     c = p.select("date", F.exp(F.sum(F.log1p("ret")).over(M.calendar())).alias("v"))
     return c.select("date", F.round(F.col("v") / F.max("v").over(M.calendar()) - 1, 6).alias("dd"))
 
