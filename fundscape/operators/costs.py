@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from . import text as X
+from .evidence import let
 
 # Heads of the sections, signals of the two formats, labels of rows and horizons.
 OVER_TIME = r"(?i)costes?\s*a\s*lo\s*largo\s*del\s*tiempo|costs?\s*over\s*time"
@@ -79,8 +80,9 @@ def tables(docs: DataFrame, key: str, text: str, *, most: int = 15) -> DataFrame
 def _labelled(row: Column, pattern: str) -> Column:
     """The row with its label in one cell, if the first one to four cells, joined with or without a blank, fit; else null."""
     tries = [(n, F.array_join(F.slice(row, 1, n), gap)) for n in (1, 2, 3, 4) for gap in ((" ",) if n == 1 else (" ", ""))]
-    fits = [F.when((F.size(row) >= n) & s.rlike(pattern) & (F.length(s) < 150), F.concat(F.array(s), F.slice(row, n + 1, F.size(row)))) for n, s in tries]
-    return F.coalesce(*fits)
+    labels = F.array(*[F.when(F.size(row) >= n, F.struct(F.lit(n).alias("n"), s.alias("s"))) for n, s in tries])
+    fits = F.filter(labels, lambda x: x["s"].rlike(pattern) & (F.length(x["s"]) < 150))
+    return F.get(F.transform(fits, lambda x: F.concat(F.array(x["s"]), F.slice(row, x["n"] + 1, F.size(row)))), F.lit(0))
 
 
 def _first_row(rows: Column, pattern: str) -> Column:
@@ -89,8 +91,9 @@ def _first_row(rows: Column, pattern: str) -> Column:
 
 def _amount(cell: Column) -> Column:
     """The amount with a currency, else the cell's number if it is one of at least 1 and no percentage."""
-    plain = F.when(~cell.contains("%") & cell.rlike(r"^[^\d]*\d[\d.,]*[^\d]*$"), X.number(cell))
-    return F.coalesce(X.number(X.ordered_extract(cell, ["(?i)" + X.AMOUNT])), F.when(plain >= 1, plain))
+    priced = X.ordered_extract(cell, ["(?i)" + X.AMOUNT])
+    lone = F.when(~cell.contains("%") & cell.rlike(r"^[^\d]*\d[\d.,]*[^\d]*$"), cell)
+    return let(F.struct(priced.isNotNull().alias("priced"), F.coalesce(priced, lone).alias("t")), lambda x: let(X.number(x["t"]), lambda v: F.when(x["priced"] | (v >= 1), v)))
 
 
 def _values(row: Column, read) -> Column:
@@ -108,32 +111,32 @@ def schedule(docs: DataFrame, key: str, text: str) -> DataFrame:
     without them. Equal horizons become one row: the first value of each kind, recommended if any of them is.
     """
     names_time = lambda x: x.rlike(YEARS) | x.rlike(MONTHS) | x.rlike(PERIOD)
-    o = tables(docs, key, text).where("over_time is not null").withColumnsRenamed({"over_time": "o"})
+    o = tables(docs, key, text).withColumnsRenamed({"over_time": "o"})
     timed = F.array_position(F.transform("o", lambda r: F.exists(F.slice(r, 2, F.size(r)), names_time)), F.lit(True))
     data = F.array_position(F.transform("o", lambda r: F.coalesce(_labelled(r, TOTAL), _labelled(r, IMPACT)).isNotNull()), F.lit(True))
-    o = o.select(key, "period", "o", timed.alias("timed"), data.alias("data")).where("timed > 0 or data > 0")
+    o = o.select(key, "period", "o", timed.alias("timed"), data.alias("data"))
     head, below = F.get("o", F.col("timed").cast("int") - 1), F.get("o", F.col("timed").cast("int"))
     carried = F.when((F.get(below, F.lit(0)) == "") & F.exists(below, names_time), below).otherwise(F.array().cast("array<string>"))
     o = o.select(key, "period", "o", "timed", "data", head.alias("head"), carried.alias("carried"))
     extra = lambda i: F.get("carried", i)
     merged = F.transform("head", lambda x, i: F.when((i > 0) & F.coalesce(names_time(extra(i)), F.lit(False)), F.trim(F.concat_ws(" ", x, extra(i)))).otherwise(x))
     keep = lambda x: (x != "") & ~x.rlike(INVESTED) & (names_time(x) | x.rlike(r"\d") | (F.length(x) >= 7))
-    labels = F.when(F.col("timed") > 0, F.filter(F.slice(merged, 2, F.size(merged)), keep)).otherwise(F.array(F.lit("1 year")))
-    rows = F.slice("o", F.when(F.col("timed") > 0, F.col("timed") + 1).otherwise(F.col("data")).cast("int"), F.size("o"))
+    labels = F.when(F.col("timed") > 0, F.filter(F.slice(merged, 2, F.size(merged)), keep)).when(F.col("data") > 0, F.array(F.lit("1 year")))
+    rows = F.slice("o", F.when(F.col("timed") > 0, F.col("timed") + 1).otherwise(F.greatest("data", F.lit(1))).cast("int"), F.size("o"))
     o = o.select(key, "period", labels.alias("labels"), _first_row(rows, TOTAL).alias("total"), _first_row(rows, IMPACT).alias("impact"))
     inside = F.array_compact(F.array(X.percent(F.get("impact", F.lit(0)))))
     impacts = _values(F.col("impact"), X.percent)
     o = o.select(key, "period", "labels", "total", "impact", _values(F.col("total"), _amount).alias("totals"), F.when(F.size(impacts) > 0, impacts).otherwise(F.coalesce(inside, F.array().cast("array<double>"))).alias("impacts"))
     more = F.greatest(F.size("totals"), F.size("impacts")) > F.size("labels")
     o = o.withColumn("labels", F.when(more, F.concat("labels", F.array(F.lit("RHP")))).otherwise(F.col("labels")))
-    each = o.select(key, "period", "total", "impact", "totals", "impacts", F.size("labels").alias("n"), F.posexplode("labels").alias("i", "label"))
+    each = o.select(key, "period", "total", "impact", "totals", "impacts", F.size("labels").alias("n"), F.posexplode_outer("labels").alias("i", "label"))
     value = lambda values, row, read: F.when(F.size(values) == F.col("n"), F.get(values, F.col("i"))).otherwise(read(F.get(row, F.col("i") + 1)))
     label, given = F.col("label"), horizon(F.col("label"))
     dated = label.rlike(r"\d{1,2}/\d{1,2}/\d{4}") & (F.col("i") == F.col("n") - 1)
     recommended = label.rlike(PERIOD) | (given.isNull() & ((F.col("n") == 1) | dated))
     years = F.round(F.when(recommended | given.isNull(), F.coalesce("period", given)).otherwise(given), 4)
     near = F.coalesce(F.abs(years - F.col("period")) <= 0.01, F.lit(False))
-    out = each.select(key, "i", years.alias("years"), value("totals", "total", _amount).alias("amount"), value("impacts", "impact", X.percent).alias("pct"), (recommended | near).alias("recommended")).where("years is not null")
+    out = each.select(key, "i", "label", years.alias("years"), value("totals", "total", _amount).alias("amount"), value("impacts", "impact", X.percent).alias("pct"), (recommended | near).alias("recommended")).where("label is not null and years is not null")
     first = lambda x: F.min_by(x, F.when(F.col(x).isNotNull(), F.col("i"))).alias(x)
     return out.groupBy(key, "years").agg(first("amount"), first("pct"), F.max("recommended").alias("recommended"))
 
