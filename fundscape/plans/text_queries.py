@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import dictionary as D, text as X
+from ..operators import costs as K, dictionary as D, evidence as E, text as X
 from ..sources import tables as T
 from .registry import query as Q
 
@@ -69,25 +69,81 @@ _joined = " ".join("WHEN " + " + ".join(f"CAST(contains({_BARE}, '{w}') AS INTEG
 Q("txt_language_detect", f"SELECT doc_id, CASE {_marks('lower(text)')} {_marks('strip_accents(lower(text))')} {_joined} END AS found FROM documents")(
     lambda s, d: docs(s, d).select("doc_id", X.language(c("text"), MARKERS, FUSED).alias("found"))
 )
-Q("txt_published_date", "SELECT o_orderkey, CAST(try_strptime(regexp_extract(t, 'published on (\\d{2}/\\d{2}/\\d{4})', 1), '%d/%m/%Y') AS DATE) AS published FROM (SELECT o_orderkey, 'Key facts, published on ' || strftime(o_orderdate, '%d/%m/%Y') || ' by us' AS t FROM orders)")(
-    lambda s, d: T.read(s, d, "orders").select("o_orderkey", F.concat(F.lit("Key facts, published on "), F.date_format("o_orderdate", "dd/MM/yyyy"), F.lit(" by us")).alias("t")).select("o_orderkey", F.try_to_timestamp(F.regexp_extract("t", r"published on (\d{2}/\d{2}/\d{4})", 1), F.lit("dd/MM/yyyy")).cast("date").alias("published"))
+# Each text of an order has another date before, the published one (in one of three languages, by number or by month name),
+# one in the next sentence, and a second word for publication without a date.
+DATES = """SELECT o_orderkey, CASE o_orderkey % 4 WHEN 3 THEN NULL ELSE o_orderdate END AS published FROM orders"""
+
+
+@Q("txt_published_date", DATES)
+def published(s, d):
+    k, date = c("o_orderkey") % 4, c("o_orderdate")
+    month = lambda code: F.get(F.array(*map(F.lit, E.MONTHS[code])), F.month(date) - 1)
+    parts = lambda *p: F.concat(*[F.lit(x) if isinstance(x, str) else x for x in p])
+    day = F.dayofmonth(date)
+    text = (
+        F.when(k == 0, parts("Fund of 01/01/1990. This text was PUBLISHED on ", day, " ", month("EN"), " ", F.year(date), ". Prices of 02/02/1991. It is updated yearly."))
+        .when(k == 1, parts("Datos a 01/01/1990. Este documento se publicó el ", day, " de ", month("ES"), " de ", F.year(date), " en\nMadrid. Inicio: 02/02/1991."))
+        .when(k == 2, parts("Créé le 01/01/1990. Date de publication ", F.date_format(date, "dd/MM/yyyy"), ", cours du 02/02/1991."))
+        .otherwise("Founded on 31/02/1990 and published on 30/02/1991. Then 01/01/1992.")
+    )
+    language = F.get(F.array(*map(F.lit, ("EN", "ES", "FR", "EN"))), k.cast("int"))
+    return T.read(s, d, "orders").select("o_orderkey", E.published_date(text, language).alias("published"))
+
+
+# Texts of seven kinds by id: run together, declared, declared twice, stated, stated twice, near a word, and none; the class
+# drawn is told for four of five parts.
+RISK = """SELECT p_partkey AS id, p_partkey % 7 AS kind, p_size % 7 + 1 AS x, p_partkey % 3 + 1 AS y, CASE WHEN p_partkey % 5 > 0 THEN p_partkey % 4 + 1 END AS drawn FROM part"""
+TOLD = f"""SELECT *, CASE WHEN kind IN (0, 1, 3, 5) OR kind IN (2, 4) AND x = y THEN x END AS risk,
+ CASE kind WHEN 0 THEN 'L0_FUSED' WHEN 1 THEN 'L0' WHEN 2 THEN CASE WHEN x = y THEN 'L0' ELSE 'L0_CONFLICT' END WHEN 3 THEN 'L1' WHEN 4 THEN CASE WHEN x = y THEN 'L1' ELSE 'L1_CONFLICT' END WHEN 5 THEN 'L2' END AS level FROM ({RISK})"""
+
+
+@Q(
+    "txt_risk_class",
+    f"""SELECT id, risk, level, CASE WHEN drawn IS NULL AND risk IS NULL THEN 'NONE' WHEN drawn IS NULL THEN 'MEDIUM_TEXT' WHEN risk IS NULL THEN 'MEDIUM_VISUAL' WHEN drawn = risk THEN 'HIGH'
+ WHEN drawn = 1 AND level IN ('L0', 'L0_FUSED') THEN 'MEDIUM_TEXT' ELSE 'LOW_CONFLICT' END AS quality FROM ({TOLD})""",
 )
-RISK = "SELECT id, CASE WHEN id % 2 = 0 THEN 'risk class ' || (id % 7 + 1) ELSE 'clase de riesgo: ' || (id % 9) END AS t FROM (" + NAMES + ")"
-risk = lambda s, d: names(s, d).select("id", F.when(c("id") % 2 == 0, F.concat(F.lit("risk class "), c("id") % 7 + 1)).otherwise(F.concat(F.lit("clase de riesgo: "), c("id") % 9)).alias("t"))
-Q("txt_risk_class", f"SELECT id, TRY_CAST(coalesce(nullif(regexp_extract(t, 'risk class ([1-7])', 1), ''), nullif(regexp_extract(t, 'riesgo: ([1-7])', 1), '')) AS INTEGER) AS risk FROM ({RISK})")(lambda s, d: risk(s, d).select("id", X.ordered_extract(c("t"), ["risk class ([1-7])", "riesgo: ([1-7])"]).cast("int").alias("risk")))
+def risk_classes(s, d):
+    x, y, kind = (c("p_size") % 7 + 1).cast("string"), (c("p_partkey") % 3 + 1).cast("string"), c("p_partkey") % 7
+    forms = [
+        F.concat(F.lit("laclasederiesgo"), x, F.lit("enunaescala de 1 a 7, clasederiesgo"), x, F.lit("enunaescala")),
+        F.concat(F.lit("We have classified this fund as "), x, F.lit(" out of 7. Risk class 9")),
+        F.concat(F.lit("Nivel de riesgo: "), x, F.lit(" y\nrisk class "), y, F.lit(" on a scale")),
+        F.concat(F.lit("Key investor information document 1/3. Summary risk indicator is "), x, F.lit(", 3% a year for 4 years")),
+        F.concat(F.lit("risk class "), x, F.lit("; risk category "), y),
+        F.concat(F.lit("3 pages: the SRRI of 2021 is at "), x, F.lit(" and not 8")),
+        F.lit("no class of 4"),
+    ]
+    text = F.get(F.array(*forms), kind.cast("int"))
+    rows = T.read(s, d, "part").select(c("p_partkey").alias("id"), F.when(c("p_partkey") % 5 > 0, c("p_partkey") % 4 + 1).alias("drawn"), E.risk_class(text).alias("told"))
+    return rows.select("id", c("told.value").alias("risk"), c("told.level").alias("level"), E.risk_grade(c("drawn"), c("told.value"), c("told.level"))["quality"].alias("quality"))
+
+
 Q("txt_policy_attributes", f"SELECT id, contains(name, 'Hedged') OR regexp_matches(name, ' H$') AS hedged, CASE WHEN contains(name, 'Acc') THEN 'Accumulation' WHEN contains(name, 'Dist') OR contains(name, 'Income') THEN 'Distribution' END AS income, nullif(regexp_extract(name, '(EUR|USD)', 1), '') AS currency FROM ({NAMES})")(
     lambda s, d: names(s, d).select("id", (c("name").contains("Hedged") | c("name").rlike(" H$")).alias("hedged"), X.first_label(c("name"), [("Accumulation", ["Acc"]), ("Distribution", ["Dist", "Income"])]).alias("income"), X.ordered_extract(c("name"), ["(EUR|USD)"]).alias("currency"))
 )
 FEES = "SELECT id, CASE id % 4 WHEN 0 THEN 'no entry fee' WHEN 1 THEN 'entry fee up to ' || (p_size / 10.0) || '%' WHEN 2 THEN 'entry fee ' || (p_size / 10.0) || ' %' ELSE 'nothing' END AS t FROM (" + NAMES + ")"
 fees = lambda s, d: names(s, d).select("id", F.when(c("id") % 4 == 0, "no entry fee").when(c("id") % 4 == 1, F.concat(F.lit("entry fee up to "), c("p_size") / 10, F.lit("%"))).when(c("id") % 4 == 2, F.concat(F.lit("entry fee "), c("p_size") / 10, F.lit(" %"))).otherwise("nothing").alias("t"))
-Q("txt_fee_extract", f"SELECT id, CASE WHEN contains(t, 'no entry fee') THEN 0.0 WHEN v BETWEEN 0 AND 4.5 THEN v END AS fee, CASE WHEN contains(t, 'no entry fee') THEN 'ZERO' WHEN v > 4.5 THEN 'OUT_OF_RANGE' WHEN contains(t, 'up to') THEN 'CEILING' WHEN v IS NOT NULL THEN 'TEXT' ELSE 'NOT_FOUND' END AS origin FROM (SELECT *, TRY_CAST(regexp_extract(t, 'entry fee (?:up to )?([0-9.]+) ?%', 1) AS DOUBLE) AS v FROM ({FEES}))")(lambda s, d: fee_rows(s, d))
+# Entry fees in three languages beside other percentages of the same sentence.
+ENTRY = """SELECT p_partkey AS id, p_partkey % 6 AS kind, p_size / 4 AS x FROM part"""
 
 
-def fee_rows(s, d):
-    v = fees(s, d).withColumn("v", X.ordered_extract(c("t"), [r"entry fee (?:up to )?([0-9.]+) ?%"]).try_cast("double"))
-    none = c("t").contains("no entry fee")
-    origin = F.when(none, "ZERO").when(c("v") > 4.5, "OUT_OF_RANGE").when(c("t").contains("up to"), "CEILING").when(c("v").isNotNull(), "TEXT").otherwise("NOT_FOUND")
-    return v.select("id", F.when(none, 0.0).when(c("v").between(0, 4.5), c("v")).alias("fee"), origin.alias("origin"))
+@Q(
+    "txt_fee_extract",
+    f"""SELECT id, CASE WHEN kind = 0 THEN 0.0 WHEN kind < 5 AND x <= 10 THEN x END AS fee,
+ CASE WHEN kind = 0 THEN 'ZERO' WHEN kind = 5 THEN 'NOT_FOUND' WHEN x > 10 THEN 'OUT_OF_RANGE' WHEN kind IN (1, 3) THEN 'CEILING' ELSE 'TEXT' END AS origin FROM ({ENTRY})""",
+)
+def entry_fees(s, d):
+    x, comma = F.format_number(c("p_size") / 4, 2), F.translate(F.format_number(c("p_size") / 4, 2), ".", ",")
+    forms = [
+        F.lit("There is no entry charge; 4% of it goes to us"),
+        F.concat(F.lit("Costes de salida 1,5%, costes de entrada: hasta el "), comma, F.lit(" % del importe que usted paga")),
+        F.concat(F.lit("We keep 1% yearly, a front-end load of "), x, F.lit("% once")),
+        F.concat(F.lit("frais d'entrée jusqu'à "), comma, F.lit("%, frais de gestion 2%")),
+        F.concat(F.lit("After "), x, F.lit(" % as initial charge, which is all. 2% a year")),
+        F.lit("Entry costs are not told. Performance 3%"),
+    ]
+    fee = E.entry_fee(F.get(F.array(*forms), (c("p_partkey") % 6).cast("int")))
+    return T.read(s, d, "part").select(c("p_partkey").alias("id"), fee.alias("f")).select("id", "f.fee", "f.origin")
 
 
 Q("txt_fee_near_anchor", f"SELECT id, TRY_CAST(regexp_extract(t, 'entry fee (?:up to )?([0-9]+(?:[.][0-9]+)?) ?%', 1) AS DOUBLE) AS pct FROM ({FEES})")(lambda s, d: fees(s, d).select("id", X.near_anchor(c("t"), "entry fee").alias("pct")))
@@ -137,25 +193,47 @@ def grids(s, d):
 
 
 Q("txt_grid_parse", f"SELECT id, CAST(k - 1 AS INTEGER) AS row, trim(string_split(line, '|||')[2]) AS label, CAST(len(string_split(line, '|||')) - 3 AS INTEGER) AS cells FROM (SELECT id, unnest(string_split(t, chr(10))) AS line, unnest(range(1, 100)[1:len(string_split(t, chr(10)))]) AS k FROM ({GRID})) WHERE contains(line, '|||')")(lambda s, d: X.grid(grids(s, d), "id", "t").select("id", "row", "label", F.size("cells").alias("cells")))
-Q("txt_cost_schedule", f"SELECT id, 1.0::DOUBLE AS years, p_size::DOUBLE AS amount, round(p_size / 10.0, 4) AS pct FROM ({NAMES}) UNION ALL SELECT id, 5.0, (p_size * 4)::DOUBLE, round(p_size / 20.0, 4) FROM ({NAMES})")(lambda s, d: X.schedule(X.grid(grids(s, d), "id", "t"), "id").withColumn("pct", F.round("pct", 4)))
+
+
+@Q(
+    "txt_cost_schedule",
+    """SELECT p_partkey AS id, 1.0::DOUBLE AS years, p_size * 10.0::DOUBLE AS amount, p_size / 10 AS pct, p_partkey % 7 = 0 AS recommended FROM part WHERE p_partkey % 4 < 3
+ UNION ALL SELECT p_partkey, 5.0, p_size * 40.0, p_size / 20, TRUE FROM part WHERE p_partkey % 4 < 3 AND p_partkey % 7 > 0""",
+)
+def cost_plans(s, d):
+    plan = K.schedule(costs(s, d), "id", "t")
+    return plan.withColumns({x: F.round(x, 4) for x in ("years", "amount", "pct")})
 
 
 def costs(s, d):
-    """Grids of five cost lines per part, in two languages and two number formats."""
+    """Cost documents of parts, in two languages and two number formats: three of four have a schedule and five cost lines
+    in their sections, with rows of the same labels before and after; the others are of the second format."""
     even = c("id") % 2 == 0
     word = lambda es, en: F.when(even, es).otherwise(en)
     plain = lambda x, n: F.format_number(x, n)
     comma = lambda x, n: F.when(even, F.translate(plain(x, n), ",.", ".,")).otherwise(plain(x, n))
     size, price, bar = c("p_size"), c("p_retailprice"), F.lit("|||")
+    period = F.when(c("id") % 7 == 0, "1").otherwise("5")
     lines = [
+        F.concat(word("Documento de datos fundamentales. Período de mantenimiento recomendado: ", "Key information document. Recommended holding period: "), period, word(" años", " years")),
+        F.concat(word("Costes de entrada de 9%", "Entry costs of 9%")),
+        F.concat(bar, word("Costes de entrada", "Entry costs"), F.lit("|||9%|||99 EUR|||")),
+        F.concat(bar, word("Costes a lo largo del tiempo", "Costs over time"), bar),
+        F.concat(bar, word("Inversión: 10.000 EUR", "Investment: 10,000 EUR"), bar, word("Salida después de 1 año", "Exit after 1 year"), bar, word("Salida en el PMR", "Exit at the"), bar),
+        F.concat(F.lit("||||||||| "), word("", "recommended holding period"), bar),
+        F.concat(bar, word("Costes totales", "Total costs"), bar, comma(size * 10, 2), F.lit(" EUR|||"), comma(size * 40, 2), F.lit(" EUR|||")),
+        F.concat(bar, word("Incidencia anual de|||los costes (*)", "Annual cost impact"), bar, comma(size / 10, 1), F.lit("%|||"), comma(size / 20, 2), F.lit("|||%|||")),
         F.concat(bar, word("Composición de los costes", "Composition of costs"), bar),
         F.concat(bar, word("Costes de entrada", "Entry costs"), bar, word("hasta ", "up to "), comma(size / 10, 1), F.lit("% of what you pay"), bar, comma(size * 10, 2), F.lit(" EUR"), bar),
         F.concat(bar, word("Costes de salida", "Exit cost"), bar, comma(c("id") % 7 / 10, 1), F.lit(" %"), bar),
         F.concat(bar, word("Comisiones de gestión", "Management fees and others"), bar, comma(F.floor(price / 10) / 100, 2), F.lit("%"), bar, comma(price, 2), F.lit(" €"), bar),
         F.concat(bar, word("Costes de operación", "Transaction costs"), bar, comma(size / 20, 2), F.lit("%"), bar),
         F.concat(bar, word("Comisiones de éxito", "Performance fee"), bar, comma(size.cast("double"), 1), F.lit("%"), bar),
+        F.concat(bar, word("Escenarios de rentabilidad", "Performance scenarios"), bar),
+        F.concat(bar, word("Comisiones de gestión", "Management fees"), F.lit("|||4.9%|||7 EUR|||")),
     ]
-    return names(s, d).select("id", F.concat_ws("\n", *lines).alias("t"))
+    old = F.concat(word("Datos fundamentales para el inversor. Gastos corrientes: ", "Key investor information. Entry charge 1%, exit charge 2%, ongoing charges: "), comma(size / 10, 1), F.lit(" %"))
+    return names(s, d).select("id", F.when(c("id") % 4 < 3, F.concat_ws("\n", *lines)).otherwise(old).alias("t"))
 
 
 COST_COLUMNS = ["entry_fee_pct", "entry_fee_max_pct", "entry_fee_eur", "exit_fee_pct", "exit_fee_eur", "management_fee_pct", "management_fee_eur", "transaction_cost_pct", "performance_fee_pct", "performance_fee_max_pct"]
@@ -165,18 +243,22 @@ COSTS = """SELECT p_partkey AS id, p_size, p_size / 10 AS entry_fee_pct, p_size
 R4 = ", ".join(f"round({x}, 4) AS {x}" for x in COST_COLUMNS)
 
 
-@Q("txt_cost_composition", f"SELECT id, {R4} FROM ({COSTS})")
+@Q("txt_cost_composition", f"SELECT id, {R4} FROM ({COSTS}) WHERE id % 4 < 3")
 def cost_lines(s, d):
-    return X.composition(X.grid(costs(s, d), "id", "t"), "id").select("id", *[F.round(x, 4).alias(x) for x in COST_COLUMNS])
+    return K.composition(costs(s, d), "id", "t").select("id", *[F.round(x, 4).alias(x) for x in COST_COLUMNS])
 
 
-@Q("txt_cost_extract", f"SELECT id, round(entry_fee_pct, 4) AS entry_fee_pct, round(management_fee_pct, 4) AS management_fee_pct, round(transaction_cost_pct, 4) AS transaction_cost_pct, 2 AS horizons, CASE WHEN transaction_cost_pct IS NOT NULL AND performance_fee_pct IS NOT NULL THEN 'HIGH' WHEN management_fee_pct IS NOT NULL THEN 'MEDIUM' ELSE 'NONE' END AS quality, round(p_size / 20, 4) > round(management_fee_pct, 4) AS mismatch FROM ({COSTS})")
+@Q(
+    "txt_cost_extract",
+    f"""SELECT id, CASE WHEN id % 4 = 3 THEN 'UCITS_KIID' ELSE 'PRIIPS_KID' END AS format, CASE WHEN id % 4 < 3 THEN 'EUR' END AS currency, CASE WHEN id % 4 < 3 THEN round(entry_fee_pct, 4) END AS entry_fee_pct,
+ CASE WHEN id % 4 < 3 THEN round(management_fee_pct, 4) END AS management_fee_pct, CASE WHEN id % 4 = 3 OR id % 7 = 0 THEN 1 ELSE 2 END AS horizons,
+ round(CASE WHEN id % 4 = 3 OR id % 7 = 0 THEN p_size / 10 ELSE p_size / 20 END, 4) AS impact,
+ CASE WHEN id % 4 = 3 OR management_fee_pct IS NOT NULL AND transaction_cost_pct IS NOT NULL AND performance_fee_pct IS NOT NULL THEN 'HIGH' WHEN management_fee_pct IS NOT NULL THEN 'MEDIUM' ELSE 'NONE' END AS quality,
+ CASE WHEN id % 4 < 3 THEN round(CASE WHEN id % 7 = 0 THEN p_size / 10 ELSE p_size / 20 END, 4) > round(management_fee_pct, 4) END AS mismatch FROM ({COSTS})""",
+)
 def cost_records(s, d):
-    plan = X.schedule(X.grid(grids(s, d), "id", "t"), "id").groupBy("id").agg(F.count("*").cast("int").alias("horizons"), F.max_by("pct", "years").alias("pct"))
-    full = cost_lines(s, d).join(plan, "id", "left")
-    every = c("entry_fee_pct").isNotNull() & c("management_fee_pct").isNotNull() & c("transaction_cost_pct").isNotNull() & c("performance_fee_pct").isNotNull()
-    quality = F.when(every & (c("horizons") > 0), "HIGH").when(c("management_fee_pct").isNotNull(), "MEDIUM").otherwise("NONE")
-    return full.select("id", "entry_fee_pct", "management_fee_pct", "transaction_cost_pct", "horizons", quality.alias("quality"), (F.round("pct", 4) > c("management_fee_pct")).alias("mismatch"))
+    r = K.records(costs(s, d), "id", "t").withColumns({x: F.round(x, 4) for x in ("entry_fee_pct", "management_fee_pct", "impact")})
+    return r.select("id", "format", "currency", "entry_fee_pct", "management_fee_pct", "horizons", "impact", "quality", (c("impact") > c("management_fee_pct")).alias("mismatch"))
 
 
 FP = r"entry fee (?:up to )?([0-9]*[1-9][0-9.]*|0\.[0-9]*[1-9][0-9]*) ?%"
