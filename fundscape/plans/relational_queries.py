@@ -100,7 +100,14 @@ Q("upsert_policy_merge", sql("""SELECT coalesce(a.isin, b.isin) AS isin, CASE WH
 )
 Q("table_export", sql("SELECT isin, fund_name, size FROM master WHERE srri > 3 ORDER BY size DESC, isin LIMIT 20", "master"))(lambda s, d: L.export(T.master(s, d), include=["isin", "fund_name", "size", "not_there", "nature"], exclude=("nature",), where="srri > 3", order=[F.desc("size"), "isin"], limit=20))
 Q("block_filtered_export", sql("SELECT nav.* FROM nav SEMI JOIN (SELECT isin FROM master WHERE nature = 'Mixtos') USING (isin)", "nav", "master"))(lambda s, d: T.nav(s, d).join(T.master(s, d).where("nature = 'Mixtos'"), "isin", "left_semi"))
-Q("jdbc_copy_clean", "SELECT doc_id, replace(text, chr(0), '') AS text, lang, source, n_chars FROM documents")(lambda s, d: files.stored(L.strip_nul(T.read(s, d, "documents")), "copy"))
+@Q("jdbc_copy_clean", "SELECT doc_id, replace(text, chr(0), '') AS text, lang, source, n_chars FROM documents")
+def jdbc_copy_clean(s, d):
+    """Through a database where the session names one or runs in one process; else through files."""
+    rows, url = L.strip_nul(T.read(s, d, "documents")), files.database(s)
+    if not url:
+        return files.stored(rows, "copy")
+    files.jdbc_sink(rows, url, "documents_copy", "doc_id")
+    return files.jdbc_source(s, url, "documents_copy", "doc_id")
 
 
 @Q("event_log_append", "SELECT event_id, ts, event_type AS status, CASE WHEN value < 20 THEN 'load' ELSE 'repair' END AS step FROM events")

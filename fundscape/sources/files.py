@@ -50,9 +50,68 @@ def read_partitioned(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
-def jdbc_sink(df: DataFrame, url: str, table: str, *, mode: str = "append", tasks: int = 16, **properties: str) -> None:
-    """Write to a database table through at most ``tasks`` connections."""
-    df.coalesce(tasks).write.jdbc(url, table, mode=mode, properties=properties)
+def jdbc_run(spark: SparkSession, url: str, *statements: str, **properties: str) -> None:
+    """SQL statements in one transaction of a database."""
+    given = spark._jvm.java.util.Properties()
+    for name, value in properties.items():
+        given.setProperty(name, value)
+    connection = spark._jvm.java.sql.DriverManager.getConnection(url, given)
+    try:
+        connection.setAutoCommit(False)
+        work = connection.createStatement()
+        for sql in statements:
+            work.executeUpdate(sql)
+        work.close()
+        connection.commit()
+    except Exception:
+        connection.rollback()
+        raise
+    finally:
+        connection.close()
+
+
+def jdbc_sink(df: DataFrame, url: str, table: str, key: str, *, tasks: int = 16, **properties: str) -> None:
+    """Put rows into a database table by ``key``: a row replaces the one with its key, others stay; a null key is an error.
+
+    At most ``tasks`` connections write a staging table. Each write of a row has a name of its own, so that a task that runs
+    twice leaves copies with different names; one transaction then moves one copy of each key and drops the staging table.
+    Readers see all rows or none; a failed run leaves the table as it was and may be repeated. Of rows with equal keys one
+    is kept.
+    """
+    spark, part = df.sparkSession, uuid.uuid4().hex[:10]
+    staging, copy, index = f"{table}_{part}", f"copy_{part}", f"by_key_{part}"
+    present = F.when(F.col(key).isNotNull(), F.col(key)).otherwise(F.raise_error(F.lit(f"{key} is null")).cast(df.schema[key].dataType))
+    named = df.withColumn(key, present).repartition(tasks, key).withColumn(copy, F.reflect(F.lit("java.util.UUID"), F.lit("randomUUID")))
+    df.where(F.lit(False)).write.jdbc(url, table, mode="append", properties=properties)
+    columns = ", ".join(f'"{c}"' for c in df.columns)
+    try:
+        named.write.option("createTableColumnTypes", f"{copy} VARCHAR(36)").jdbc(url, staging, mode="error", properties=properties)
+        jdbc_run(
+            spark, url, f'CREATE INDEX {index} ON {staging} ("{key}")',
+            f'DELETE FROM {table} WHERE EXISTS (SELECT 1 FROM {staging} s WHERE s."{key}" = {table}."{key}")',
+            f'INSERT INTO {table} ({columns}) SELECT {", ".join("s." + c for c in columns.split(", "))} FROM {staging} s JOIN (SELECT MIN("{copy}") AS one FROM {staging} GROUP BY "{key}") m ON s."{copy}" = m.one',
+            **properties,
+        )
+    finally:
+        jdbc_run(spark, url, f"DROP TABLE {staging}", **properties)
+
+
+def jdbc_source(spark: SparkSession, url: str, table: str, key: str, *, tasks: int = 16, **properties: str) -> DataFrame:
+    """A database table read through at most ``tasks`` connections, each for a range of a whole-number ``key``."""
+    low, high = spark.read.jdbc(url, f'(SELECT MIN("{key}") AS low, MAX("{key}") AS high FROM {table}) ends', properties=properties).first()
+    if low is None:
+        return spark.read.jdbc(url, table, properties=properties)
+    return spark.read.jdbc(url, table, column=key, lowerBound=low, upperBound=high + 1, numPartitions=tasks, properties=properties)
+
+
+def database(spark: SparkSession) -> str | None:
+    """The url that ``spark.fundscape.jdbc.url`` names; in local runs else a new embedded database; else none."""
+    url = spark.conf.get("spark.fundscape.jdbc.url", None)
+    if url or not spark.sparkContext.master.startswith("local["):
+        return url
+    path = shared_path(spark, "database").removeprefix("file:")
+    spark._jvm.java.lang.System.setProperty("derby.stream.error.file", path + ".log")
+    return f"jdbc:derby:{path};create=true"
 
 
 LOG = "event_id long, ts timestamp, status string, step string"
