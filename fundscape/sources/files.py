@@ -87,10 +87,10 @@ def jdbc_sink(df: DataFrame, url: str, table: str, key: str, *, tasks: int = 16,
     try:
         named.write.option("createTableColumnTypes", f"{copy} VARCHAR(36)").jdbc(url, staging, mode="error", properties=properties)
         jdbc_run(
-            spark, url, f'CREATE INDEX {index} ON {staging} ("{key}")',
-            f'DELETE FROM {table} WHERE EXISTS (SELECT 1 FROM {staging} s WHERE s."{key}" = {table}."{key}")',
-            f'INSERT INTO {table} ({columns}) SELECT {", ".join("s." + c for c in columns.split(", "))} FROM {staging} s JOIN (SELECT MIN("{copy}") AS one FROM {staging} GROUP BY "{key}") m ON s."{copy}" = m.one',
-            **properties,
+            spark, url, f'CREATE INDEX {index} ON {staging} ("{key}", "{copy}")',
+            f'DELETE FROM {staging} WHERE EXISTS (SELECT 1 FROM {staging} x WHERE x."{key}" = {staging}."{key}" AND x."{copy}" < {staging}."{copy}")',
+            f'DELETE FROM {table} WHERE EXISTS (SELECT 1 FROM {staging} x WHERE x."{key}" = {table}."{key}")',
+            f"INSERT INTO {table} ({columns}) SELECT {columns} FROM {staging}", **properties,
         )
     finally:
         jdbc_run(spark, url, f"DROP TABLE {staging}", **properties)
