@@ -68,14 +68,18 @@ def date_of(token: Column, language: str) -> Column:
     name = F.regexp_replace(F.lower(F.regexp_extract(token, r"(\p{L}{3,})", 1)), "^setiembre$", "septiembre")
     named = F.array_position(F.array(*map(F.lit, MONTHS[language])), name).cast("string")
     month = F.when(token.contains("/"), F.regexp_extract(token, r"/(\d{1,2})/", 1)).otherwise(named)
-    return F.try_to_timestamp(F.concat_ws("-", year, F.lpad(month, 2, "0"), F.lpad(day, 2, "0")), F.lit("yyyy-MM-dd")).cast("date")
+    number = F.struct(year.try_cast("int").alias("y"), month.try_cast("int").alias("m"), day.try_cast("int").alias("d"))
+    known = lambda x: x["m"].between(1, 12) & (x["y"] >= 1) & (x["d"] >= 1)
+    first = lambda x: F.when(known(x), F.make_date(x["y"], x["m"], F.lit(1)))
+    return let(number, lambda x: F.when(x["d"] <= F.dayofmonth(F.last_day(first(x))), F.date_add(first(x), x["d"] - 1)))
 
 
 def published_date(text: Column, language: Column, *, reach: int = 80) -> Column:
     """The date nearest to a word for publication, in the text's language (ES, EN or FR); null for others."""
     flat = F.regexp_replace(F.lower(text), r"[\n\r ]", " ")
-    found = [F.when(language == code, nearest(flat, words, r"\b\d{1,2}/\d{1,2}/\d{4}\b|\b" + DATE_FORMS[code] + r"\b", lambda t, code=code: date_of(t, code), kind="date", reach=reach)["value"]) for code, words in DATE_WORDS.items()]
-    return F.coalesce(*found)
+    form = lambda code: r"\b\d{1,2}/\d{1,2}/\d{4}\b|\b" + DATE_FORMS[code] + r"\b"
+    found = lambda t: F.coalesce(*[F.when(language == code, nearest(t, words, form(code), lambda x, code=code: date_of(x, code), kind="date", reach=reach)["value"]) for code, words in DATE_WORDS.items()])
+    return let(flat, found)
 
 
 # Statements that there is no entry fee, words for it, and the largest that is believed (percent).
