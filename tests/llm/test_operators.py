@@ -151,6 +151,31 @@ def test_line_dedup_recall(spark):
     assert (got[100_001], got[100_003]) == (1, 1)
 
 
+def test_line_dedup_recall_of_clustered_characters(spark):
+    """Long lines whose anchors stand in a code at the beginning, the middle or the end, in which all edits fall; the rest has
+    none, few, or as many as usual."""
+    rng = random.Random(12)
+    rest = {"none": "abcdefghjlpqrtuvxyz", "few": "abcdefghjlpqrtuvxyz" * 3 + "iw", "usual": "abcdefghijklmnopqrstuvwxyz", "cjk": "abcdefgh"}
+    docs, pairs = [], {}
+    for kind, letters in rest.items():
+        while len(pairs.setdefault(kind, [])) < 40:
+            own = [words_of(rng, letters, 60) for _ in range(2)]
+            codes = ["".join(rng.choices("ikmw147" if kind != "cjk" else "".join(map(chr, range(0x4E00, 0x4F00))), k=24)) for _ in range(2)]
+            at = rng.choice((0, len(own[0]) // 2, len(own[0])))
+            a, b = (own[0][:at] + " " + code + " " + own[0][at:] for code in codes)
+            x, y = ({t.strip()[k : k + 5] for k in range(len(t.strip()) - 4)} for t in (a, b))
+            if len(x & y) >= 0.8 * len(x | y):
+                pairs[kind].append(len(docs))
+                docs += [(len(docs), a), (len(docs) + 1, b)]
+    got = {r["doc_id"]: r["n_removed"] for r in linededup.dedup_lines(frame(spark, docs)).collect()}
+    recall = {kind: sum(got[k + 1] for k in own) / len(own) for kind, own in pairs.items()}
+    assert min(recall.values()) == 1, recall
+
+
+def words_of(rng, letters, n):
+    return " ".join("".join(rng.choices(letters, k=rng.randint(3, 8))) for _ in range(n))
+
+
 def test_line_dedup_is_native(spark):
     plan = linededup.dedup_lines(frame(spark, corpus()))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
