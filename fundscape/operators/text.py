@@ -187,11 +187,6 @@ def label_heads(docs: DataFrame, text: str, wanted: str, known: str, *, words: i
     return lines.groupBy(F.array_join(F.slice(F.split(F.lower(F.trim("line")), " +"), 1, words), " ").alias("head")).agg(F.count("*").alias("n"))
 
 
-def layers(*columns: Column) -> Column:
-    """The first layer that knows."""
-    return F.coalesce(*columns)
-
-
 def last_block(funds: DataFrame, blocks: list[tuple[str, str, str]], key: str, name: str) -> DataFrame:
     """(key, block): of the blocks (name, include, exclude patterns) that a fund fits, the last."""
     low = F.lower(name)

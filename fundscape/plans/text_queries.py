@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import costs as K, dictionary as D, evidence as E, text as X
+from ..operators import classify as L, costs as K, dictionary as D, evidence as E, text as X
 from ..sources import tables as T
 from .registry import query as Q
 
@@ -21,13 +21,6 @@ def docs(s, d):
     return T.read(s, d, "documents")
 
 
-def case(text: str, dictionary) -> str:
-    return "CASE " + " ".join("WHEN " + " OR ".join(f"contains({text}, '{x}')" for x in signals) + f" THEN '{label}'" for label, signals in dictionary) + " END"
-
-
-THEMES = [("metal", ["ring", "bolt"]), ("shape", ["gear", "plate"]), ("colour", ["red", "blue", "green"])]
-
-
 # Signals taken from the documents themselves: words of 8 to 12 plain letters that occur in 5 or more of them, the most frequent first.
 SIGNALS = """SELECT -count(DISTINCT doc_id) AS ord, signal, min(lang) AS label FROM (SELECT doc_id, lang, unnest(regexp_extract_all(text, '[a-z]{8,}')) AS signal FROM documents)
  WHERE length(signal) <= 12 GROUP BY signal HAVING count(DISTINCT doc_id) >= 5"""
@@ -47,8 +40,6 @@ def signal_first_match(s, d):
     return D.match_signals(docs(s, d).select("doc_id", "text"), "text", signals(s, d)).select("doc_id", "match.ord", "match.signal", "match.label", "match.at")
 
 
-DOCS = [("junk", ["!!", "###"]), ("en", ["the ", "with "]), ("fr", [" les ", " des "]), ("de", [" und ", " der "])]
-Q("txt_nature_cascade", f"SELECT doc_id, coalesce({case('substr(text, 1, 200)', DOCS)}, {case('text', DOCS[:2])}, lang) AS nature FROM documents")(lambda s, d: docs(s, d).select("doc_id", X.layers(X.first_label(F.substring("text", 1, 200), DOCS), X.first_label(c("text"), DOCS[:2]), c("lang")).alias("nature")))
 Q("txt_window_by_format", "SELECT doc_id, CASE WHEN contains(substr(text, 1, 600), ' | ') THEN substr(text, 1, 100) WHEN contains(substr(text, 1, 600), '!!') THEN substr(text, 50, 200) ELSE substr(text, 1, 1000) END AS part FROM documents")(lambda s, d: docs(s, d).select("doc_id", X.window_by_format(c("text"), [("table", " | ", 1, 100), ("loud", "!!", 50, 200)]).alias("part")))
 HIT = lambda *p: " + ".join(f"CAST(regexp_matches(text, '{x}') AS INTEGER)" for x in p)
 R1, R2 = ["the ", " of ", "ing"], [" de ", " la ", "tion"]
@@ -152,7 +143,6 @@ PHRASES = ("MSCI World Index NR EUR", "Euro Stoxx 50 Index, which tracks shares"
 bm = lambda s, d: names(s, d).select("id", F.get(F.array(*map(F.lit, PHRASES)), (c("id") % 6).cast("int")).alias("t"))
 CLEAN = "SELECT id, CASE WHEN regexp_matches(t, '(?i)\\b(no benchmark|not applicable)\\b') THEN 'NO_BENCHMARK' WHEN NOT regexp_matches(t, '(?i)\\b(the fund|we|investors)\\b') AND length(u) >= 4 THEN u END AS benchmark FROM (SELECT *, trim(regexp_replace(t, '(?i)\\s*(,?\\s*(which|that)\\b|;|\\. [A-Z]).*$', '')) AS u FROM (" + BM + "))"
 Q("txt_benchmark_clean", CLEAN)(lambda s, d: bm(s, d).select("id", X.clean_benchmark(c("t")).alias("benchmark")))
-Q("txt_benchmark_extract", f"SELECT id, CASE WHEN benchmark = 'NO_BENCHMARK' THEN NULL ELSE benchmark END AS benchmark, coalesce(benchmark = 'NO_BENCHMARK', FALSE) AS declared_none FROM ({CLEAN})")(lambda s, d: bm(s, d).select("id", X.clean_benchmark(c("t")).alias("b")).select("id", F.nullif("b", F.lit("NO_BENCHMARK")).alias("benchmark"), F.coalesce(c("b") == "NO_BENCHMARK", F.lit(False)).alias("declared_none")))
 # Index names: a part's brand, its name's words and a return variant. The first table knows makers with the name's first
 # word (the longer the earlier), the second one full names of some sizes, of which the variant may differ.
 INDEXES = "SELECT p_partkey AS id, p_brand || '  ' || p_name || CASE p_size % 3 WHEN 0 THEN ' NR EUR' WHEN 1 THEN ' gr usd ' ELSE '' END AS t, p_brand, p_name, p_size FROM part"
@@ -270,9 +260,6 @@ Q("txt_length_profile", "SELECT lang, count(*) AS n, min(n_chars) AS low, max(n_
 Q("txt_defect_signatures", "SELECT lang, count(*) FILTER (regexp_matches(text, '!!|###|[$]{3}')) AS broken FROM documents GROUP BY lang")(lambda s, d: docs(s, d).groupBy("lang").agg(F.count_if(c("text").rlike("!!|###|[$]{3}")).alias("broken")))
 Q("txt_label_variants", "SELECT array_to_string(string_split_regex(lower(trim(line)), ' +')[1:2], ' ') AS head, count(*) AS n FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents) WHERE regexp_matches(line, '^The ') AND NOT regexp_matches(line, 'The (and|than)') GROUP BY 1")(lambda s, d: X.label_heads(docs(s, d), "text", "^The ", "The (and|than)"))
 Q("txt_duplicate_tables", "SELECT doc_id, count(*) AS rows FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents) WHERE contains(line, ' | ') GROUP BY doc_id HAVING count(*) >= 2")(lambda s, d: docs(s, d).select("doc_id", F.explode(F.split("text", "\n")).alias("line")).where(c("line").contains(" | ")).groupBy("doc_id").agg(F.count("*").alias("rows")).where("rows >= 2"))
-Q("name_characterize", f"SELECT id, {case('name', THEMES)} AS theme, CASE WHEN contains(name, 'Hedged') OR contains(name, ' H') THEN 'Hedged' ELSE 'Unhedged' END AS hedge, CASE WHEN contains(name, 'Acc') THEN 'Acc' WHEN contains(name, 'Dist') OR contains(name, 'Income') THEN 'Dist' ELSE 'Acc' END AS income FROM ({NAMES})")(
-    lambda s, d: names(s, d).select("id", X.first_label(c("name"), THEMES).alias("theme"), X.layers(X.first_label(c("name"), [("Hedged", ["Hedged", " H"])]), F.lit("Unhedged")).alias("hedge"), X.layers(X.first_label(c("name"), [("Acc", ["Acc"]), ("Dist", ["Dist", "Income"])]), F.lit("Acc")).alias("income"))
-)
 Q("attr_derive", f"SELECT id, CASE WHEN p_size < 10 THEN 'short' WHEN p_size < 30 THEN 'medium' ELSE 'long' END AS duration, greatest(1, least(5, CAST(floor(p_size / 8.0) AS INTEGER))) AS profile, CASE WHEN p_retailprice > 1200 THEN 'premium' ELSE 'plain' END AS vehicle FROM ({NAMES})")(
     lambda s, d: names(s, d).select("id", F.when(c("p_size") < 10, "short").when(c("p_size") < 30, "medium").otherwise("long").alias("duration"), F.greatest(F.lit(1), F.least(F.lit(5), F.floor(c("p_size") / 8).cast("int"))).alias("profile"), F.when(c("p_retailprice") > 1200, "premium").otherwise("plain").alias("vehicle"))
 )
@@ -282,7 +269,6 @@ Q("block_universe", "SELECT id, CASE " + " ".join(f"WHEN {_fits(i, e)} THEN '{b}
 Q("block_classify", "SELECT id, block, CASE block WHEN 'money' THEN 'cash' WHEN 'bonds' THEN CASE WHEN p_size < 20 THEN 'short' ELSE 'long' END WHEN 'shares' THEN CASE WHEN contains(name, 'EUR') THEN 'Europe' ELSE 'Global' END WHEN 'mixed' THEN 'balanced' END AS kind FROM (SELECT *, CASE " + " ".join(f"WHEN {_fits(i, e)} THEN '{b}'" for b, i, e in reversed(BLOCKS)) + f" END AS block FROM ({NAMES}))")(
     lambda s, d: X.last_block(names(s, d), BLOCKS, "id", "name").join(names(s, d), "id").select("id", "block", F.when(c("block") == "money", "cash").when(c("block") == "bonds", F.when(c("p_size") < 20, "short").otherwise("long")).when(c("block") == "shares", F.when(c("name").contains("EUR"), "Europe").otherwise("Global")).when(c("block") == "mixed", "balanced").alias("kind"))
 )
-Q("attr_impute_cascade", f"SELECT id, coalesce(CASE WHEN contains(name, 'EUR') THEN 'Europe' WHEN contains(name, 'USD') THEN 'America' END, CASE WHEN id % 6 = 0 THEN 'World' END, 'Unknown') AS geography FROM ({NAMES})")(lambda s, d: names(s, d).select("id", X.layers(X.first_label(c("name"), [("Europe", ["EUR"]), ("America", ["USD"])]), F.when(c("id") % 6 == 0, "World"), F.lit("Unknown")).alias("geography")))
 Q("fn_accent_fold", "SELECT doc_id, strip_accents(lower(text)) AS folded FROM documents")(lambda s, d: docs(s, d).select("doc_id", X.fold_accents(F.lower("text")).alias("folded")))
 Q("fn_number_parse", "SELECT p_partkey AS id, round(p_retailprice, 2) AS grouped, p_size / 10 AS single, p_partkey::DOUBLE AS whole, p_size / 4 AS capped, NULL::DOUBLE AS none FROM part")(lambda s, d: numbers(s, d))
 
@@ -301,3 +287,88 @@ def numbers(s, d):
 Q("fn_code_to_years", "SELECT p_partkey AS id, CASE p_partkey % 5 WHEN 0 THEN p_size::DOUBLE WHEN 1 THEN round(p_size / 12, 6) WHEN 2 THEN p_size::DOUBLE WHEN 3 THEN -1 END AS years FROM part")(
     lambda s, d: T.read(s, d, "part").select(c("p_partkey").alias("id"), F.round(X.years(F.concat(F.when(c("p_partkey") % 5 == 3, "Recommended holding period ").otherwise(""), F.when(c("p_partkey") % 5 != 4, c("p_size").cast("string")).otherwise("some"), F.get(F.array(*map(F.lit, ("Y+", " meses", " años", " years", " time"))), (c("p_partkey") % 5).cast("int")))), 6).alias("years"))
 )
+
+
+def pick(index, *forms):
+    return F.get(F.array(*[F.lit(x) if x is None or isinstance(x, str) else x for x in forms]), index.cast("int"))
+
+
+# Funds of ten kinds by id, each with wording that one layer or one guard is for, and a risk class by size.
+NATURES = """SELECT p_partkey AS id, p_partkey % 10 AS k, p_size % 7 + 1 AS r FROM part"""
+
+
+@Q(
+    "txt_nature_cascade",
+    f"""SELECT id, CASE WHEN k IN (0, 3, 5) AND r >= 5 OR k = 6 AND r >= 5 OR k = 1 THEN 'Renta Variable' WHEN k IN (0, 5) OR k = 6 AND r = 1 THEN 'Monetario' WHEN k IN (2, 9) OR k = 6 AND r = 2 THEN 'Renta Fija Flexible'
+ WHEN k = 3 THEN 'Renta Fija Corto Plazo' WHEN k IN (4, 8) THEN 'Mixtos' WHEN k = 7 THEN 'Alternativo' ELSE 'Restantes' END AS nature,
+ CASE WHEN k IN (0, 2, 3, 7, 8, 9) THEN 'text' WHEN k IN (1, 4) THEN 'name' WHEN k = 5 THEN 'benchmark' WHEN r NOT IN (3, 4) THEN 'risk' END AS layer,
+ CASE WHEN k IN (0, 5) AND r >= 5 THEN 'high_risk' WHEN k = 1 THEN 'other_than_money' WHEN k = 2 OR k = 6 AND r = 2 THEN 'flexible_bonds' WHEN k = 3 AND r >= 5 THEN 'short_bonds,high_risk' WHEN k = 3 THEN 'short_bonds'
+ WHEN k = 6 AND r IN (3, 4) THEN 'nothing_known' WHEN k = 9 THEN 'linked_bonds' ELSE '' END AS guards FROM ({NATURES})""",
+)
+def natures(s, d):
+    k, own = c("p_partkey") % 10, F.concat_ws(" ", "p_brand", "p_name")
+    text = pick(
+        k, F.concat(F.lit("The aim of "), own, F.lit(" is that of a money market fund.")), "A money market fund under the rules for ucits", "It invests mainly in bonds of states", "Compra deuda soberana",
+        "Mainly in bonds, at times common shares", None, "Nothing is told", "Absolute return above the sofr by equity securities", "Invierte en acciones y en renta fija", "Primarily in bonds linked to inflation, some of them short term",
+    )
+    name = F.concat_ws(" ", own, pick(k, None, "Global Equity", None, "Short Duration", "Allocation", None, None, None, "Cash", "Equity"))
+    rows = T.read(s, d, "part").select(c("p_partkey").alias("id"), name.alias("name"), text.alias("text"), F.when(k.isin(5, 8), "Rate").alias("class"), (c("p_size") % 7 + 1).alias("risk"))
+    rows = rows.select("id", L.fund_nature(c("name"), c("text"), c("class"), c("risk")).alias("x"))
+    return rows.select("id", c("x.value").alias("nature"), "x.layer", F.array_join("x.guards", ",").alias("guards"))
+
+
+# Benchmarks inside running text, beside names of other indices, statements of none, and makers that are no index.
+@Q(
+    "txt_benchmark_extract",
+    """SELECT p_partkey AS id, CASE p_partkey % 7 WHEN 0 THEN 'msci ' || n || ' index (net return)' WHEN 2 THEN 'ftse ' || n || ' total return' WHEN 3 THEN 'bloomberg ' || n || ' (nr)' WHEN 4 THEN '€STR' WHEN 6 THEN 's&p ' || n || ' net return' END AS benchmark,
+ (['LABEL', 'NONE', 'ACTION', 'NAME', 'RATE', NULL, 'LABEL'])[p_partkey % 7 + 1] AS level, p_partkey % 7 = 1 AS declared_none FROM (SELECT *, lower(p_name) AS n FROM part)""",
+)
+def benchmarks(s, d):
+    parts = lambda a, b: F.concat(F.lit(a), "p_name", F.lit(b))
+    text = pick(
+        c("p_partkey") % 7, parts("El fondo crece. Índice de referencia: MSCI ", " Index (Net Return), un índice que no mide el FTSE 100 Index."), parts("No sigue ningún índice, aunque conoce el MSCI ", " Index"),
+        parts("We know the Nikkei. The fund aims to outperform the FTSE ", " Total Return over five years."), parts("En 2020 el Bloomberg ", " (NR) cayó"), parts("Índice de referencia: €STR (en EUR), no el MSCI ", " Index"),
+        parts("Benchmark: JPMorgan Asset Management (Europe), ", ""), parts("Objetivo\nÍndice de referencia\nS&P ", " Net Return\nRiesgos del MSCI World Index"),
+    )
+    return T.read(s, d, "part").select(c("p_partkey").alias("id"), L.benchmark_of(text).alias("b")).select("id", "b.*")
+
+
+# Five layers by turns of different length, so that each meets each other one.
+REGION = """SELECT p_partkey AS id, p_partkey % 5 AS u, (['EUR', 'USD', 'GBP'])[p_partkey % 3 + 1] AS currency, p_partkey % 11 = 0 AS liquid, (['EEUU', 'Europa', 'China', 'Asia', NULL, NULL])[p_size % 6 + 1] AS by_name,
+ (['EEUU', 'China', 'Global', 'Europa', 'Emergentes', NULL, NULL, NULL])[p_partkey % 8 + 1] AS by_index, p_partkey % 4 AS t FROM part"""
+
+
+@Q(
+    "attr_impute_cascade",
+    f"""SELECT id, CASE WHEN u = 0 THEN 'Global' WHEN u = 1 AND currency = 'EUR' THEN 'Europa' WHEN u = 1 AND currency = 'USD' THEN 'EEUU' WHEN NOT liquid THEN coalesce(by_name, by_index, CASE t WHEN 1 THEN 'EEUU' WHEN 2 THEN 'Asia' END) END AS geography,
+ CASE WHEN u = 0 THEN 'universe' WHEN u = 1 AND currency <> 'GBP' THEN 'currency' WHEN liquid THEN NULL WHEN by_name IS NOT NULL THEN 'name' WHEN by_index IS NOT NULL THEN 'benchmark' WHEN t IN (1, 2) THEN 'text' END AS layer FROM ({REGION})""",
+)
+def regions(s, d):
+    key = c("p_partkey")
+    universe, currency = F.when(key % 5 == 0, "Global").when(key % 5 == 1, "Liquidity"), pick(key % 3, "EUR", "USD", "GBP")
+    name = F.concat_ws(" ", "p_brand", "p_name", pick(c("p_size") % 6, "US Growth", "Euro Stars", "China", "Asia ex", "Euro STR", "Australasia"))
+    index = pick(key % 8, "Russell 1000", "Hang Seng", "MSCI AC World", "EURO STOXX 50", "MSCI EM", None, "NO_BENCHMARK", "Worldwide")
+    text = pick(key % 4, "Invierte en Asia y en Estados Unidos", "Invierte\nprincipalmente en Norteamérica", "principalmente en valores asiáticos", "Estados Unidos es grande")
+    nature = F.when(key % 11 == 0, "Monetario").otherwise("Renta Variable")
+    return T.read(s, d, "part").select(key.alias("id"), L.region(universe, currency, name, index, text, nature).alias("x")).select("id", c("x.value").alias("geography"), "x.layer")
+
+
+@Q(
+    "name_characterize",
+    """SELECT id, (['Unhedged', 'Hedged', 'Hedged', 'Hedged', 'Unhedged', NULL])[k + 1] AS currency_hedged, CASE WHEN g THEN 'given' ELSE (['Accumulation', 'Distribution', 'Distribution', NULL])[j + 1] END AS accumulation,
+ CASE WHEN g THEN 'given' ELSE (['name', 'name', 'text', NULL])[j + 1] END AS accumulation_layer, CASE WHEN id % 3 > 0 THEN (['Small', NULL, 'Large', NULL, 'Small'])[id % 5 + 1] END AS cap, CASE WHEN id % 7 = 0 THEN '1' ELSE '0' END AS esg,
+ CASE WHEN id % 3 = 0 THEN 'Liquidity' WHEN id % 5 = 1 THEN 'Country' WHEN id % 5 = 3 THEN 'Regional' END AS universe FROM (SELECT p_partkey AS id, p_partkey % 6 AS k, p_size % 4 AS j, p_partkey % 9 = 0 AS g FROM part)""",
+)
+def characterized(s, d):
+    key, size = c("p_partkey"), c("p_size")
+    name = F.concat_ws(
+        " ", "p_name", pick(key % 6, "Unhedged", "EURH", "(H)", None, None, "High"), pick(size % 4, "Acc", "Dist", None, None), pick(key % 5, "Smaller Companies", "China", None, "Asia", None), F.when(key % 7 == 0, "Sustainable")
+    )
+    text = F.concat_ws(". ", pick(key % 6, "is hedged", None, None, "The class is hedged", "It is not hedged", None), F.when(size % 4 == 2, "Distributes income").when(size % 4 == 0, "pays dividends"), pick(key % 5, None, None, "blue chip shares", None, "small cap"))
+    nature = F.when(key % 3 == 0, "Monetario").otherwise("Renta Variable")
+    rows = T.read(s, d, "part").select(key.alias("id"), name.alias("name"), text.alias("text"), nature.alias("nature"), F.when(key % 9 == 0, "given").alias("given"))
+    rows = rows.select("id", L.characterize(c("name"), c("text"), c("nature"), {"accumulation_policy": c("given")}).alias("x"))
+    return rows.select(
+        "id", c("x.currency_hedged.value").alias("currency_hedged"), c("x.accumulation_policy.value").alias("accumulation"), c("x.accumulation_policy.layer").alias("accumulation_layer"),
+        c("x.market_cap_focus.value").alias("cap"), c("x.is_esg.value").alias("esg"), c("x.universe.value").alias("universe"),
+    )
