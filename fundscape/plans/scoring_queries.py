@@ -7,7 +7,7 @@ from pyspark.sql import Window, functions as F
 from ..operators import macro as M, panel as P, peers as R, scoring as S
 from ..sources import tables as T
 from ..sources.files import stored
-from .macro_queries import FRAME, FX, WIDE, factor_frame, regimes
+from .macro_queries import FRAME, FX, LIQ, WIDE, factor_frame, regimes, target_hurdle
 from .panel_queries import PEERS, PERSIST, PRICES, prices
 from .registry import query
 from .sqlbase import risk, sql
@@ -277,9 +277,24 @@ def holdings(s, d, wide):
     return chosen.join(wide.drop("nature"), "isin").select("part", "isin", "fund_name", "manager", "sharpe", "max_drawdown", "return_real", "total")
 
 
-query("report_holdings", sql(f"{TOP} SELECT part, isin, fund_name, manager, sharpe, max_drawdown, return_real, total FROM tp JOIN mw USING (isin, nature)", *NEED))(
-    lambda s, d: holdings(s, d, stored(metrics_wide(s, d), "measures"))
+#: What a fund has to earn, by the newest month that has it.
+HURDLE = "SELECT max_by(round(ipc_yoy_avg + m, 6), date) FROM (SELECT date, total / lag(total, 12) OVER (ORDER BY date) - 1 AS m FROM lt) JOIN ind USING (date) WHERE ipc_yoy_avg + m IS NOT NULL"
+
+
+@query(
+    "report_holdings",
+    sql(
+        f"""{TOP}{LIQ} SELECT part, isin, fund_name, manager, sharpe, max_drawdown, return_real, total, ({HURDLE}) AS hurdle, round(return_real - ({HURDLE}), 6) AS excess
+ FROM tp JOIN mw USING (isin, nature)""",
+        *NEED,
+    ),
 )
+def report_holdings(s, d):
+    hurdle = target_hurdle(s, d).agg(F.max_by("hurdle", "date")).scalar()
+    rows = holdings(s, d, stored(metrics_wide(s, d), "measures"))
+    return rows.withColumn("hurdle", hurdle).withColumn("excess", F.round(F.col("return_real") - F.col("hurdle"), 6))
+
+
 _PCT = lambda c, v: f"(CASE WHEN {c} IS NOT NULL THEN (rank() OVER (PARTITION BY {c} IS NULL ORDER BY {v}) + (count(*) OVER (PARTITION BY {c}) - 1) / 2.0) / count({c}) OVER () END)"
 
 
