@@ -372,3 +372,14 @@ def characterized(s, d):
         "id", c("x.currency_hedged.value").alias("currency_hedged"), c("x.accumulation_policy.value").alias("accumulation"), c("x.accumulation_policy.layer").alias("accumulation_layer"),
         c("x.market_cap_focus.value").alias("cap"), c("x.is_esg.value").alias("esg"), c("x.universe.value").alias("universe"),
     )
+
+
+# Labels of whole documents in three layers: what their beginning holds, what they hold anywhere, and their language.
+DOCS = [("junk", ["!!", "###"]), ("en", ["the ", "with "]), ("fr", [" les ", " des "]), ("de", [" und ", " der "])]
+_has = lambda t, entries: "CASE " + " ".join("WHEN " + " OR ".join(f"contains({t}, '{x}')" for x in signals) + f" THEN '{label}'" for label, signals in entries) + " END"
+
+
+@Q("txt_layered_labels", f"SELECT doc_id, coalesce(a, b, lang) AS nature, CASE WHEN a IS NOT NULL THEN 'begin' WHEN b IS NOT NULL THEN 'text' WHEN lang IS NOT NULL THEN 'lang' END AS layer FROM (SELECT doc_id, lang, {_has('substr(text, 1, 200)', DOCS)} AS a, {_has('text', DOCS[:2])} AS b FROM documents)")
+def layered_labels(s, d):
+    layers = [L.Layer("begin", X.first_label(F.substring("text", 1, 200), DOCS)), L.Layer("text", X.first_label(c("text"), DOCS[:2])), L.Layer("lang", c("lang"))]
+    return docs(s, d).select("doc_id", L.cascade(layers).alias("x")).select("doc_id", c("x.value").alias("nature"), "x.layer")
