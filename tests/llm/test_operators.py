@@ -342,3 +342,18 @@ def test_pipeline_stages(spark):
     assert 0 < docs.count() < before
     packed = corpus_pipeline.STAGES[-1][1](spark, docs, SF)
     assert {r["doc_id"] for r in packed.select("doc_id").distinct().collect()} == {r["doc_id"] for r in docs.collect()}
+
+
+def test_nearest_inside_dense_groups(spark):
+    """Groups far larger than what is reranked at first, whose members share their codes, and one of all rows."""
+    rng = np.random.default_rng(5)
+    for x in (rng.normal(size=(3, 16))[rng.integers(0, 3, 3000)] + 0.005 * rng.normal(size=(3000, 16)), 3 + 0.05 * rng.normal(size=(3000, 16))):
+        df = spark.createDataFrame([(k, v) for k, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
+        got = ann.nearest(df, F.col("vec_id") % 100 == 0).toPandas()
+        u = x / np.linalg.norm(x, axis=1, keepdims=True)
+        hits = 0
+        for q in range(0, 3000, 100):
+            score = u @ u[q]
+            score[q] = -2
+            hits += len(set(np.argsort(-score)[:5]) & set(got[got.query_id == q].vec_id))
+        assert hits >= 0.99 * 150
