@@ -61,32 +61,45 @@ def _cells(line: Column) -> Column:
     return F.transform(F.split(inner, r"\|\|\|"), lambda x: F.trim(x))
 
 
-def _section(lines: Column, head: str, ends: list[str], most: int) -> Column:
-    """Rows of cells from the first line that fits ``head`` to the one before the next other head, at most ``most``."""
-    begin = F.array_position(F.transform(lines, lambda x: x.rlike(head)), F.lit(True))
-    rest = F.slice(lines, begin + 1, F.size(lines))
-    end = F.array_position(F.transform(rest, lambda x: x.rlike("|".join(ends))), F.lit(True))
-    rows = F.slice(lines, begin, F.when(end > 0, F.least(end, F.lit(most))).otherwise(F.lit(most)).cast("int"))
-    return F.when(begin > 0, F.transform(rows, _cells))
+def _section(lines: Column, heads: Column, head: str, most: int) -> Column:
+    """Rows of cells from the first line that fits ``head`` to the one before the next other head, at most ``most``.
+
+    ``heads`` has the fits of every line by name; they and the places found in them are computed once.
+    """
+    others = lambda x: (x["over_time"].cast("int") + x["composition"].cast("int") + x["scenarios"].cast("int")) > x[head].cast("int")
+
+    def of(begin: Column) -> Column:
+        rest = F.slice(heads, begin + 1, F.size(lines))
+        return let(F.array_position(F.transform(rest, others), F.lit(True)), lambda end: F.slice(lines, begin, F.when(end > 0, F.least(end, F.lit(most))).otherwise(F.lit(most)).cast("int")))
+
+    return let(F.array_position(F.transform(heads, lambda x: x[head]), F.lit(True)), lambda begin: F.when(begin > 0, F.transform(of(begin), _cells)))
 
 
 def tables(docs: DataFrame, key: str, text: str, *, most: int = 15) -> DataFrame:
     """(key, period, over_time, composition): the recommended period in years and the rows of both sections, as cells."""
     lines = F.filter(F.split(text, "\n"), lambda x: x.contains("|||"))
     d = docs.select(F.col(key), horizon(X.ordered_extract(F.col(text), [PERIOD_VALUE])).alias("period"), lines.alias("lines"))
-    return d.select(key, "period", _section(F.col("lines"), OVER_TIME, [COMPOSITION, SCENARIOS], most).alias("over_time"), _section(F.col("lines"), COMPOSITION, [OVER_TIME, SCENARIOS], most).alias("composition"))
+    fits = F.transform("lines", lambda x: F.struct(x.rlike(OVER_TIME).alias("over_time"), x.rlike(COMPOSITION).alias("composition"), x.rlike(SCENARIOS).alias("scenarios")))
+    d = d.select(key, "period", "lines", fits.alias("heads"))
+    return d.select(key, "period", *[_section(F.col("lines"), F.col("heads"), name, most).alias(name) for name in ("over_time", "composition")])
 
 
-def _labelled(row: Column, pattern: str) -> Column:
-    """The row with its label in one cell, if the first one to four cells, joined with or without a blank, fit; else null."""
+def _labelled(row: Column, **patterns: str) -> Column:
+    """By name of a pattern, the row with its label in one cell, if the first one to four cells, joined with or without a
+    blank, fit; else null. The joins are made once for all patterns."""
     tries = [(n, F.array_join(F.slice(row, 1, n), gap)) for n in (1, 2, 3, 4) for gap in ((" ",) if n == 1 else (" ", ""))]
     labels = F.array(*[F.when(F.size(row) >= n, F.struct(F.lit(n).alias("n"), s.alias("s"))) for n, s in tries])
-    fits = F.filter(labels, lambda x: x["s"].rlike(pattern) & (F.length(x["s"]) < 150))
-    return F.get(F.transform(fits, lambda x: F.concat(F.array(x["s"]), F.slice(row, x["n"] + 1, F.size(row)))), F.lit(0))
+
+    def fit(short: Column, pattern: str) -> Column:
+        first = F.get(F.filter(short, lambda x: x["s"].rlike(pattern)), F.lit(0))
+        return let(first, lambda x: F.when(x.isNotNull(), F.concat(F.array(x["s"]), F.slice(row, x["n"] + 1, F.size(row)))))
+
+    short = F.filter(labels, lambda x: F.length(x["s"]) < 150)
+    return let(short, lambda short: F.struct(*[fit(short, p).alias(name) for name, p in patterns.items()]))
 
 
-def _first_row(rows: Column, pattern: str) -> Column:
-    return F.get(F.filter(F.transform(rows, lambda r: _labelled(r, pattern)), lambda r: r.isNotNull()), F.lit(0))
+def _first_row(rows: Column, name: str) -> Column:
+    return F.get(F.filter(F.transform(rows, lambda r: r[name]), lambda r: r.isNotNull()), F.lit(0))
 
 
 def _amount(cell: Column) -> Column:
@@ -113,17 +126,18 @@ def schedule(docs: DataFrame, key: str, text: str) -> DataFrame:
     names_time = lambda x: x.rlike(YEARS) | x.rlike(MONTHS) | x.rlike(PERIOD)
     o = tables(docs, key, text).withColumnsRenamed({"over_time": "o"})
     timed = F.array_position(F.transform("o", lambda r: F.exists(F.slice(r, 2, F.size(r)), names_time)), F.lit(True))
-    data = F.array_position(F.transform("o", lambda r: F.coalesce(_labelled(r, TOTAL), _labelled(r, IMPACT)).isNotNull()), F.lit(True))
-    o = o.select(key, "period", "o", timed.alias("timed"), data.alias("data"))
+    o = o.select(key, "period", "o", timed.alias("timed"), F.transform("o", lambda r: _labelled(r, total=TOTAL, impact=IMPACT)).alias("marked"))
+    data = F.array_position(F.transform("marked", lambda r: F.coalesce(r["total"], r["impact"]).isNotNull()), F.lit(True))
+    o = o.select(key, "period", "o", "timed", "marked", data.alias("data"))
     head, below = F.get("o", F.col("timed").cast("int") - 1), F.get("o", F.col("timed").cast("int"))
     carried = F.when((F.get(below, F.lit(0)) == "") & F.exists(below, names_time), below).otherwise(F.array().cast("array<string>"))
-    o = o.select(key, "period", "o", "timed", "data", head.alias("head"), carried.alias("carried"))
+    o = o.select(key, "period", "o", "timed", "marked", "data", head.alias("head"), carried.alias("carried"))
     extra = lambda i: F.get("carried", i)
     merged = F.transform("head", lambda x, i: F.when((i > 0) & F.coalesce(names_time(extra(i)), F.lit(False)), F.trim(F.concat_ws(" ", x, extra(i)))).otherwise(x))
     keep = lambda x: (x != "") & ~x.rlike(INVESTED) & (names_time(x) | x.rlike(r"\d") | (F.length(x) >= 7))
     labels = F.when(F.col("timed") > 0, F.filter(F.slice(merged, 2, F.size(merged)), keep)).when(F.col("data") > 0, F.array(F.lit("1 year")))
-    rows = F.slice("o", F.when(F.col("timed") > 0, F.col("timed") + 1).otherwise(F.greatest("data", F.lit(1))).cast("int"), F.size("o"))
-    o = o.select(key, "period", labels.alias("labels"), _first_row(rows, TOTAL).alias("total"), _first_row(rows, IMPACT).alias("impact"))
+    rows = F.slice("marked", F.when(F.col("timed") > 0, F.col("timed") + 1).otherwise(F.greatest("data", F.lit(1))).cast("int"), F.size("o"))
+    o = o.select(key, "period", labels.alias("labels"), _first_row(rows, "total").alias("total"), _first_row(rows, "impact").alias("impact"))
     inside = F.array_compact(F.array(X.percent(F.get("impact", F.lit(0)))))
     impacts = _values(F.col("impact"), X.percent)
     o = o.select(key, "period", "labels", "total", "impact", _values(F.col("total"), _amount).alias("totals"), F.when(F.size(impacts) > 0, impacts).otherwise(F.coalesce(inside, F.array().cast("array<double>"))).alias("impacts"))

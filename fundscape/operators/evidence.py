@@ -7,11 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, functions as F
 
 from . import text as X
-
-
-def let(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use`` of a value that is computed once, however often ``use`` names it."""
-    return F.get(F.transform(F.array(value), lambda v: use(v)), F.lit(0))
+from .text import let
 
 
 def nearest(text: Column, keyword: str, value: str, read: Callable[[Column], Column], *, kind: str, reach: int = 80, stop: str = r"[.;!?]\s") -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -71,9 +72,17 @@ def fold_accents(text: Column) -> Column:
     return F.regexp_replace(F.translate(text, MARKED, PLAIN), r"\p{Mn}", "")
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), lambda v: use(v)), F.lit(0))
+
+
 def number(text: Column) -> Column:
     """A number with European or English separators; a lone separator before three digits groups thousands."""
-    t = F.regexp_replace(F.regexp_replace(F.lower(text), r"^\s*hasta\s+", ""), r"[^0-9.,\-]", "")
+    return let(F.regexp_replace(F.regexp_replace(F.lower(text), r"^\s*hasta\s+", ""), r"[^0-9.,\-]", ""), _number)
+
+
+def _number(t: Column) -> Column:
     comma, dot = F.length(t) - F.locate(",", F.reverse(t)), F.length(t) - F.locate(".", F.reverse(t))
     has_comma, has_dot = t.contains(","), t.contains(".")
     last = F.when(comma > dot, F.regexp_replace(F.replace(t, F.lit("."), F.lit("")), ",", ".")).otherwise(F.replace(t, F.lit(","), F.lit("")))
@@ -105,7 +114,12 @@ def near_anchor(text: Column, anchor: str, *, reach: int = 80) -> Column:
 
 def ordered_extract(text: Column, patterns: list[str]) -> Column:
     """The first group of the first pattern that matches."""
-    return F.coalesce(*[F.nullif(F.regexp_extract(text, p, 1), F.lit("")) for p in patterns])
+    return F.coalesce(*[_filled(F.regexp_extract(text, p, 1)) for p in patterns])
+
+
+def _filled(text: Column) -> Column:
+    """Null for an empty text; the text is computed once, also inside higher-order functions."""
+    return let(text, lambda t: F.when(t != "", t))
 
 
 def grid(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -139,7 +153,7 @@ AMOUNT = r"(\d{1,3}(?:[.,]\d{3})*(?:[.,]\d{1,2})?)\s*(?:EUR|USD|GBP|CHF|€|\$)"
 
 def percent(text: Column, pattern: str = PERCENT) -> Column:
     """The first percentage of a text; its separator is always the decimal one."""
-    return F.replace(F.nullif(F.regexp_extract(text, pattern, 1), F.lit("")), F.lit(","), F.lit(".")).try_cast("double")
+    return F.replace(_filled(F.regexp_extract(text, pattern, 1)), F.lit(","), F.lit(".")).try_cast("double")
 
 
 def composition(cells: DataFrame, key: str) -> DataFrame:
@@ -147,7 +161,7 @@ def composition(cells: DataFrame, key: str) -> DataFrame:
     the value. A line is told by the first label pattern that fits; percentages above the line's limit are no costs."""
     line = F.coalesce(*[F.when(F.col("label").rlike("(?i)" + p), F.lit(n)) for n, (p, _, _) in COST_LINES.items()])
     whole = F.concat_ws(" ", "label", F.array_join("cells", " "))
-    amounts = F.filter(F.transform("cells", lambda x: number(F.nullif(F.regexp_extract(x, AMOUNT, 1), F.lit("")))), lambda v: v.isNotNull())
+    amounts = F.filter(F.transform("cells", lambda x: number(_filled(F.regexp_extract(x, AMOUNT, 1)))), lambda v: v.isNotNull())
     rows = cells.select(key, "row", line.alias("line"), percent(whole).alias("pct"), percent(whole, AT_MOST).alias("max_pct"), F.get(amounts, F.lit(0)).alias("eur")).where("line is not null")
     out = []
     for name, (_, most, word) in COST_LINES.items():
