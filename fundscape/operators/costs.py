@@ -157,7 +157,8 @@ def schedule(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 def composition(docs: DataFrame, key: str, text: str) -> DataFrame:
     """(key, per cost line pct, max_pct and eur) from the rows of the composition section alone."""
-    rows = tables(docs, key, text).select(key, F.posexplode("composition").alias("row", "c")).where("row > 0")
+    # The outer form, as Spark infers a filter from the other one that works every text out a second time.
+    rows = tables(docs, key, text).select(key, F.posexplode_outer("composition").alias("row", "c")).where("row > 0")
     return X.composition(rows.select(key, "row", F.get("c", F.lit(0)).alias("label"), F.slice("c", 2, F.size("c")).alias("cells")), key)
 
 
