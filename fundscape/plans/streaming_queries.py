@@ -14,7 +14,7 @@ from .registry import query as Q
 def inc_nav_upsert(s, d):
     source = shared_path(s, "nav-files")
     rows = T.read(s, d, "lineitem").select(F.col("l_suppkey").alias("isin"), F.col("l_shipdate").alias("at"), F.col("l_extendedprice").alias("nav"))
-    rows.repartition(6).write.parquet(source)
+    rows.repartition(6, *rows.columns).write.parquet(source)
     return I.upsert_stream(s, source, "isin long, at timestamp, nav double")
 
 

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from ..sources.files import shared_path
+from ..sources.files import shared_path, stored
 
 
 def _parts(target: str):
@@ -30,39 +30,45 @@ def _run(spark: SparkSession, rows: DataFrame, mode: str, target: str, offsets:
 CHANGES = "isin long, date date, nav double, at timestamp"
 
 
-def open_months(reopen: int, idle_ms: int):
-    """A state function that keeps, per fund, the last values of its newest months and passes on only what a batch changes.
+STATE = f"{CHANGES}, seen timestamp"
 
-    ``reopen`` months before a fund's newest one stay open. A value of an open month is passed on if it is later than the one
-    kept (equal times: larger); one of a month that is closed already is passed on as well, as nothing is kept to compare it
-    with: where the table is read the later value wins. So the state of a fund is a few numbers, however long its history.
-    Funds that bring nothing for ``idle_ms`` lose their state by a timer, which costs no value for the same reason.
+
+def open_months(kept: DataFrame, new: DataFrame, reopen: int, idle_days: int) -> DataFrame:
+    """(isin, date, nav, at, seen, fresh, opened): of each fund and month the latest of the ``kept`` values, (isin, date, nav, at,
+    seen), and of the (isin, at, nav) rows of a batch.
+
+    ``fresh`` marks values that the batch changes: those later than the one kept (equal times: larger), and those of a month
+    that is closed already, as nothing is kept to compare them with: where the table is read the later value wins. ``opened``
+    marks what stays in the state: a fund's newest month and ``reopen`` months before it, so a fund takes a few numbers however
+    long its history. Funds that bring nothing for ``idle_days`` leave the state, which costs no value for the same reason.
     """
+    last = new.where("at is not null").groupBy("isin", F.last_day("at").alias("date")).agg(F.max(F.struct("at", "nav")).alias("v"))
+    both = kept.select("isin", "date", "at", "nav", "seen", F.lit(True).alias("known"))
+    both = both.unionByName(last.select("isin", "date", "v.at", "v.nav", F.current_timestamp().alias("seen"), F.lit(False).alias("known")))
+    # Of equal values the kept one, which is no change.
+    v = both.groupBy("isin", "date").agg(F.max(F.struct("at", "nav", "known")).alias("v"), F.max("seen").alias("seen"))
+    fund = Window.partitionBy("isin")
+    opened = (F.col("date") > F.last_day(F.add_months(F.max("date").over(fund), -reopen - 1))) & (F.max("seen").over(fund) > F.current_timestamp() - F.make_dt_interval(F.lit(idle_days)))
+    return v.select("isin", "date", "v.nav", "v.at", F.max("seen").over(fund).alias("seen"), (~F.col("v.known")).alias("fresh"), opened.alias("opened"))
+
+
+def _upserts(target: str, state: str, reopen: int, idle_days: int):
+    """A writer of what each batch changes. The state after batch n lies in ``state/after=n``; a batch that is repeated reads
+    the state before it again, which is kept until the next one ends."""
 
-    def update(key, batches, state):
-        import pandas as pd
-
-        columns = ["date", "nav", "at"]
-        if state.hasTimedOut:
-            state.remove()
-            return
-        new = pd.concat([b[["at", "nav"]] for b in batches])
-        new = new[new["at"].notna()]
-        new["date"] = new["at"].dt.to_period("M").dt.end_time.dt.date
-        kept = pd.DataFrame(dict(zip(columns, state.get, strict=True)) if state.exists else {c: [] for c in columns})
-        kept["at"] = pd.to_datetime(kept["at"]).astype(new["at"].dtype)
-        both = pd.concat([f.assign(fresh=n)[[*columns, "fresh"]] for f, n in ((kept, False), (new, True)) if len(f)] or [new.assign(fresh=True)])
-        # Of a month's values the latest; of equal ones the kept one, which is no change.
-        last = both.sort_values("fresh", ascending=False).sort_values(["at", "nav"], na_position="first", kind="stable").drop_duplicates("date", keep="last").sort_values("date")
-        if len(last):
-            opened = (pd.Period(last["date"].iloc[-1], "M") - reopen).start_time.date()
-            keep = last[last["date"] >= opened]
-            state.update((keep["date"].tolist(), keep["nav"].tolist(), [t.to_pydatetime() for t in keep["at"]]))
-            state.setTimeoutDuration(idle_ms)
-        changed = last[last["fresh"].astype(bool)]
-        yield pd.DataFrame({"isin": [key[0]] * len(changed), "date": changed["date"].tolist(), "nav": changed["nav"].tolist(), "at": changed["at"].tolist()})
-
-    return update
+    def write(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        at = {int(n.split("=")[1]): path for n, path in _folders(spark, state).items() if n.startswith("after=")}
+        before = max((n for n in at if n < number), default=None)
+        kept = spark.createDataFrame([], STATE) if before is None else spark.read.schema(STATE).parquet(f"{state}/after={before}")
+        rows = stored(open_months(kept, batch, reopen, idle_days), "nav-batch")
+        _parts(target)(rows.where("fresh").select("isin", "date", "nav", "at"), number)
+        rows.where("opened").select("isin", "date", "nav", "at", "seen").write.mode("overwrite").parquet(f"{state}/after={number}")
+        for n, path in at.items():
+            if before is not None and n < before:
+                path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+    return write
 
 
 def _folders(spark: SparkSession, target: str) -> dict[str, object]:
@@ -107,17 +113,13 @@ def upsert_stream(spark: SparkSession, source: str, schema: str, *, target: str
     many batches there were. All state lies in ``target`` and ``offsets``, so a restarted stream keeps the earlier table.
     """
     target, offsets = target or shared_path(spark, "nav-state"), offsets or shared_path(spark, "nav-offsets")
+    state = f"{offsets}/kept"
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(source).select("isin", "at", "nav")
-    state = "date array<date>, nav array<double>, at array<timestamp>"
-    changes = stream.groupBy("isin").applyInPandasWithState(open_months(reopen, idle_days * 86_400_000), CHANGES, state, "update", "ProcessingTimeTimeout")
     spark.createDataFrame([], CHANGES).write.mode("overwrite").parquet(f"{target}/batch=-1")
-    idle, before = "spark.sql.streaming.noDataMicroBatches.enabled", spark.conf.get("spark.sql.streaming.noDataMicroBatches.enabled")
-    spark.conf.set(idle, "false")  # timers would have empty batches run without end
-    try:
-        query = changes.writeStream.foreachBatch(_parts(target)).outputMode("update").option("checkpointLocation", offsets).trigger(availableNow=True).start()
-        query.awaitTermination()
-    finally:
-        spark.conf.set(idle, before)
+    spark.createDataFrame([], STATE).write.mode("ignore").parquet(f"{state}/after=-1")
+    write = _upserts(target, state, reopen, idle_days)
+    query = stream.writeStream.foreachBatch(write).option("checkpointLocation", offsets).trigger(availableNow=True).start()
+    query.awaitTermination()
     if len(_current(spark, target)[0]) > most_parts:
         compact(spark, target)
     return read_upserted(spark, target).select("isin", "date", "nav")
