@@ -15,6 +15,7 @@ from .sqlbase import risk, sql
 
 def metrics_wide(s, d):
     """One row per fund with the measures that scores use."""
+    d = T.made(s, d)
     panel, master = T.nav(s, d), T.master(s, d)
     nominal = P.risk_measures(panel)
     real = P.risk_measures(P.deflate(panel, prices(s, d))).select("isin", F.round("ret", 6).alias("return_real"))
@@ -91,6 +92,7 @@ def regime_returns(s, d):
 
 
 def scores(s, d, wide=None):
+    d = T.made(s, d)
     wide = stored(metrics_wide(s, d), "measures") if wide is None else wide
     flat = features(s, d, wide).join(regime_returns(s, d).where("regime = 'Expansion'").drop("regime"), "isin", "left")
     out = S.score(flat, "Expansion", p25=F.col("p25"), p75=F.col("p75")).join(wide.select("isin", "manager", "family_id"), "isin")
@@ -100,9 +102,11 @@ def scores(s, d, wide=None):
 
 def multipliers(s, d):
     """Of every fund in every regime."""
+    d = T.made(s, d)
+    returns = regime_returns(s, d)
     wide = features(s, d, metrics_wide(s, d).select("isin", "alpha_persistence"))
-    each = wide.withColumn("regime", F.explode(F.array(*map(F.lit, M.REGIMES)))).join(regime_returns(s, d).drop("p25", "p75"), ["isin", "regime"], "left")
-    each = each.join(regime_returns(s, d).select("regime", "p25", "p75").distinct(), "regime", "left")
+    each = wide.withColumn("regime", F.explode(F.array(*map(F.lit, M.REGIMES)))).join(returns.drop("p25", "p75"), ["isin", "regime"], "left")
+    each = each.join(returns.select("regime", "p25", "p75").distinct(), "regime", "left")
     return S.multiplier(each, F.col("regime"), p25=F.col("p25"), p75=F.col("p75"), keys=("isin", "regime"))
 
 
@@ -177,12 +181,16 @@ def portfolios(s, d):
     return stored(S.regime_portfolios(S.refilled(scores(s, d)), M.REGIMES), "portfolios")
 
 
-def monthly(s, d, forward):
-    return S.portfolio_returns(portfolios(s, d), forward, regimes(s, d))
+def monthly(s, d, months=(1, 3, 12)):
+    """(date, regime, h, ret) of the portfolios; only the few chosen funds' values are put beside later ones."""
+    d = T.made(s, d)
+    weights = portfolios(s, d)
+    held = T.nav(s, d).join(F.broadcast(weights.select("isin").distinct()), "isin", "left_semi")  # at most ten funds a part
+    return S.portfolio_returns(weights, S.forward_returns(held, months), regimes(s, d))
 
 
 query("forward_returns", sql(", ix AS (SELECT isin, date, nav, year(date) * 12 + month(date) AS m FROM nav) SELECT a.isin, a.date, h, round(b.nav / a.nav - 1, 6) AS ret FROM ix a CROSS JOIN (VALUES (1), (3), (12)) v(h) JOIN ix b ON a.isin = b.isin AND b.m = a.m + h", "nav"))(lambda s, d: S.forward_returns(T.nav(s, d)).select("isin", "date", "h", F.round("ret", 6).alias("ret")))
-query("portfolio_forward_return", sql(f"{PORTFOLIO} SELECT date, h, round(ret, 6) AS ret FROM pf", *NEED))(lambda s, d: monthly(s, d, S.forward_returns(T.nav(s, d))).select("date", "h", F.round("ret", 6).alias("ret")))
+query("portfolio_forward_return", sql(f"{PORTFOLIO} SELECT date, h, round(ret, 6) AS ret FROM pf", *NEED))(lambda s, d: monthly(s, d).select("date", "h", F.round("ret", 6).alias("ret")))
 BENCH = "bn AS (SELECT date, h, avg(ret) AS bench FROM (SELECT * FROM fw QUALIFY row_number() OVER (PARTITION BY date, h ORDER BY isin) <= 100) GROUP BY date, h)"
 query("equal_weight_benchmark", sql(f"{PORTFOLIO}, {BENCH} SELECT date, h, round(bench, 6) AS bench FROM bn", *NEED))(lambda s, d: S.equal_weight(S.forward_returns(T.nav(s, d))).select("date", "h", F.round("bench", 6).alias("bench")))
 
@@ -192,8 +200,8 @@ query("equal_weight_benchmark", sql(f"{PORTFOLIO}, {BENCH} SELECT date, h, round
  UNION ALL SELECT 'GLOBAL', h, count(*), pow(1 + avg(ret), 12.0 / h) - 1, pow(1 + avg(bench), 12.0 / h) - 1, avg(ret - bench) * 12 / h, avg(won) FROM j GROUP BY h)
  SELECT regime, h, months, round(ret, 6) AS ret, round(bench, 6) AS bench, round(excess, 6) AS excess, round(hit, 6) AS hit FROM ev""", *NEED))
 def evaluate_by_regime(s, d):
-    forward = S.forward_returns(T.nav(s, d))
-    out = S.evaluate(monthly(s, d, forward), S.equal_weight(forward))
+    d = T.made(s, d)
+    out = S.evaluate(monthly(s, d), S.equal_weight(S.forward_returns(T.nav(s, d))))
     return out.select("regime", "h", "months", *[F.round(c, 6).alias(c) for c in ("ret", "bench", "excess", "hit")])
 
 
@@ -267,7 +275,7 @@ query("nav_matrix_rebased", sql("SELECT isin, date, round(100 * nav / first_valu
 
 @query("curve_drawdown", sql(f"{PORTFOLIO}, c AS (SELECT date, exp(sum(ln(1 + ret)) OVER (ORDER BY date)) AS v FROM pf WHERE h = 1) SELECT date, round(v / max(v) OVER (ORDER BY date) - 1, 6) AS dd FROM c", *NEED))
 def curve_drawdown(s, d):
-    p = monthly(s, d, S.forward_returns(T.nav(s, d), (1,)))
+    p = monthly(s, d, (1,))
     c = p.select("date", F.exp(F.sum(F.log1p("ret")).over(M.calendar())).alias("v"))
     return c.select("date", F.round(F.col("v") / F.max("v").over(M.calendar()) - 1, 6).alias("dd"))
 
@@ -290,6 +298,7 @@ HURDLE = "SELECT max_by(round(ipc_yoy_avg + m, 6), date) FROM (SELECT date, tota
     ),
 )
 def report_holdings(s, d):
+    d = T.made(s, d)
     hurdle = target_hurdle(s, d).agg(F.max_by("hurdle", "date")).scalar()
     rows = holdings(s, d, stored(metrics_wide(s, d), "measures"))
     return rows.withColumn("hurdle", hurdle).withColumn("excess", F.round(F.col("return_real") - F.col("hurdle"), 6))
@@ -304,6 +313,7 @@ v AS (SELECT isin, round(max_drawdown, 6) AS dd, round(worst_month, 6) AS wm, ro
 k AS (SELECT isin, coalesce({_PCT('dd', 'dd')}, 0) AS a, coalesce({_PCT('wm', 'wm')}, 0) AS b, coalesce({_PCT('pp', 'pp')}, 0) AS c, coalesce({_PCT('ps', 'ps DESC')}, 0) AS e, coalesce({_PCT('rc', 'rc DESC')}, 0) AS f, coalesce({_PCT('crisis', 'crisis')}, 0) AS g FROM v)
 SELECT isin, round(0.7 * a + 0.3 * b + 1e-9, 5) AS damage, round(0.6 * c + 0.4 * e + 1e-9, 5) AS consistent, round(0.6 * f + 0.4 * g + 1e-9, 5) AS resilience FROM k""", "nav", "macro", "rk"))
 def score_preservation(s, d):
+    d = T.made(s, d)
     measures = P.risk_measures(T.nav(s, d)).select("isin", *[F.round(c, 6).alias(c) for c in ("max_drawdown", "worst_month", "pct_positive", "pct_severe")], "recovery")
     bad = regimes(s, d).where(F.col("regime").isin("Crisis_Financiera", "Shock_Energetico", "Contraccion")).withColumn("regime", F.lit("crisis"))
     crisis = M.regime_stats(T.nav(s, d), bad).select("isin", F.round("return_ann", 5).alias("crisis"))

@@ -5,6 +5,9 @@ import random
 import pytest
 
 from fundscape.operators import scoring as S
+from fundscape.plans import scoring_queries as Q
+from fundscape.plans.registry import QUERIES
+from fundscape.sources import tables as T
 
 REGIMES = {"calm": (0.2, 0.5, 0.3), "bad": (0.7, 0.3, 0.0)}
 
@@ -45,3 +48,23 @@ def test_months_are_judged_by_their_own_regime(spark):
     assert out["calm"]["months"] == 2 and out["calm"]["hit"] == 1.0 and out["bad"]["excess"] == pytest.approx(-0.1)
     mean = (0.175 - 0.1 + 0.4) / 3
     assert out["GLOBAL"]["ret"] == pytest.approx((1 + mean) ** 12 - 1) and out["GLOBAL"]["excess"] == pytest.approx((mean - 0.2 / 3) * 12)
+
+
+@pytest.mark.parametrize("name", ["evaluate_by_regime", "report_holdings"])
+def test_a_query_groups_lines_and_orders_once(spark, monkeypatch, name):
+    """Every measure worked the panel out from all lines again."""
+    seen, read = [], T.read
+    monkeypatch.setattr(T, "read", lambda s, d, table: (seen.append(table), read(s, d, table))[1])
+    assert QUERIES[name](spark, "/root/testdata/sf0.001").count() > 0
+    assert seen.count("lineitem") == seen.count("orders") == 1
+
+
+def test_only_chosen_funds_are_put_beside_later_months(spark, monkeypatch):
+    panel = spark.sql("SELECT isin, last_day(date'2024-01-01') AS date, isin + 1.0D AS nav FROM range(9) t(isin)")
+    seen, forward = [], S.forward_returns
+    monkeypatch.setattr(Q, "portfolios", lambda s, d: spark.createDataFrame([("calm", "a", 4, 1.0)], "regime string, part string, isin long, weight double"))
+    monkeypatch.setattr(Q, "regimes", lambda s, d: spark.sql("SELECT date'2024-01-31' AS date, 'calm' AS regime"))
+    monkeypatch.setattr(T, "nav", lambda s, d: panel)
+    monkeypatch.setattr(S, "forward_returns", lambda p, *m: (seen.append(p), forward(p, *m))[1])
+    Q.monthly(spark, T.Made("unread")).collect()
+    assert [r["isin"] for r in seen[0].collect()] == [4]
