@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..sources.files import stored
 from .panel import percent_rank_ties, percentiles_of_values
 
 # Weights of the measures, factors of natures, limits; each by part.
@@ -226,7 +227,7 @@ def equal_weight(forward: DataFrame, *, funds: int = 100) -> DataFrame:
 def evaluate(portfolio: DataFrame, bench: DataFrame) -> DataFrame:
     """(regime, h, months, ret, bench, excess, hit) of (date, regime, h, ret) over the months of each regime, and over all of them
     as regime GLOBAL, there a year's: the mean return compounded, the mean excess times the windows in a year."""
-    full = portfolio.join(bench, ["date", "h"])
+    full = stored(portfolio.join(bench, ["date", "h"]), "months")  # a row per month and h, used twice
     hit = F.avg(F.when(F.col("ret") > F.col("bench"), 1.0).otherwise(0.0)).alias("hit")
     means = [F.count("*").alias("months"), F.avg("ret").alias("ret"), F.avg("bench").alias("bench"), F.avg(F.col("ret") - F.col("bench")).alias("excess"), hit]
     year = lambda c: (F.pow(1 + F.col(c), 12 / F.col("h")) - 1).alias(c)
